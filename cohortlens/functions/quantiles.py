@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SKETCH_ACCURACY = 10000
+COLLECTED_VALUES = 100_000
 
 
 def exact_quantiles(
@@ -41,7 +42,9 @@ def exact_quantiles(
                 position = (counts[c] - 1) * p
                 wanted[c, p] = (math.floor(position), math.ceil(position), position)
         ranks = {(c, k) for (c, _), (lo, hi, _) in wanted.items() for k in (lo, hi)}
-        found = _order_statistics(df, sorted(ranks), counts, in_memory_rows)
+        found = _order_statistics(
+            df, sorted(ranks), counts, min(in_memory_rows, COLLECTED_VALUES)
+        )
         for c in large:
             result[c] = []
             for p in probabilities:
@@ -55,7 +58,7 @@ def _value(name: str) -> Column:
     return F.nanvl(F.col(name).cast("double"), F.lit(None))
 
 
-def _order_statistics(df, targets, counts, in_memory_rows):
+def _order_statistics(df, targets, counts, collected_values):
     """Value at each 0-based rank: {(column, rank): value}."""
     # open interval (low, high), number of values <= low, number inside
     state = {t: (-math.inf, math.inf, 0, counts[t[0]]) for t in targets}
@@ -67,7 +70,7 @@ def _order_statistics(df, targets, counts, in_memory_rows):
         return F.when((value > F.lit(low)) & (value < F.lit(high)), value)
 
     while True:
-        wide = [t for t in targets if t not in found and state[t][3] > in_memory_rows]
+        wide = [t for t in targets if t not in found and state[t][3] > collected_values]
         if not wide:
             break
         proposals = []
@@ -119,7 +122,7 @@ def _order_statistics(df, targets, counts, in_memory_rows):
             .groupBy("v")
             .count()
             .orderBy("v")
-            .collect()  # at most in_memory_rows values by construction
+            .collect()  # at most collected_values rows by construction
         )
         for target in members:
             seen_rows = below
