@@ -61,3 +61,13 @@ def rows_from_aggregates(row: DataFrame, rows: list[dict[str, Column]]) -> DataF
     """Turn a one-row aggregate into several rows without a second pass."""
     structs = [F.struct(*[value.alias(key) for key, value in entry.items()]) for entry in rows]
     return row.select(F.inline(F.array(*structs)))
+
+
+def settle(value: Column, digits: int) -> Column:
+    """Round for comparison with another engine.
+
+    Sums of doubles differ in their last bits with the order of addition, so a
+    value that lies exactly half-way between two roundings could go either
+    way. The small shift moves such halves off the edge.
+    """
+    return F.round(value + F.lit(float(f"1.234567e-{digits + 3}")) + F.lit(0.0), digits)

@@ -11,7 +11,6 @@ from cohortlens.sources.contract import (
     FLOAT,
     INTEGER,
     RAW_CONTRACT,
-    SPARK_TYPES,
     TEXT,
     Contract,
 )
@@ -21,6 +20,11 @@ class CoercionError(ValueError):
     """A cell or column could not be brought to its contract type."""
 
 
+# The cell texts read as a flag, in any case.
+TRUE_CELLS = ("true", "1", "1.0")
+FALSE_CELLS = ("false", "0", "0.0")
+
+
 def _cast(name: str, kind: str) -> Column:
     raw = F.trim(F.col(name))
     if kind == TEXT:
@@ -34,7 +38,9 @@ def _cast(name: str, kind: str) -> Column:
     if kind == FLOAT:
         return raw.try_cast("double")
     if kind == FLAG:
-        return raw.try_cast("boolean")
+        return F.when(F.lower(raw).isin(*TRUE_CELLS), True).when(
+            F.lower(raw).isin(*FALSE_CELLS), False
+        )
     if kind == DATE:
         return raw.try_cast("date")
     raise ValueError(f"unknown column kind: {kind}")
