@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -198,30 +198,65 @@ def categorical_profile(
     )
 
 
-def _pearson(left: Column, right: Column) -> Column:
-    """Pearson over rows where both are present; null for a constant side."""
-    both = left.isNotNull() & right.isNotNull()
-    x, y = F.when(both, left), F.when(both, right)
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-
 def pearson_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(left, right, pearson) for each pair of columns, from one aggregate."""
+    """(left, right, pearson) for each pair of columns; null for a constant side.
+
+    A first pass finds each column's mean, deviation and completeness. Pairs of
+    complete columns then need a single sum of centred products each; a pair
+    with missing cells is restricted to the rows where both are present.
+    """
     df = nan_to_null(df)
     columns = columns or numeric_columns(df)
-    pairs = list(combinations(columns, 2))
-    values = {c: F.col(c).cast("double") for c in columns}
-    aggregates = [
-        _pearson(values[a], values[b]).alias(f"p{i}") for i, (a, b) in enumerate(pairs)
-    ]
-    aggregates += [_pearson(values[c], values[c]).alias(f"d{i}") for i, c in enumerate(columns)]
+    value = {c: F.col(c).cast("double") for c in columns}
+    first = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[
+            aggregate(value[c]).alias(f"{name}{i}")
+            for i, c in enumerate(columns)
+            for name, aggregate in (
+                ("n", F.count),
+                ("mean", F.avg),
+                ("low", F.min),
+                ("high", F.max),
+                ("std", F.stddev_pop),
+            )
+        ],
+    ).first()
+    place = {c: i for i, c in enumerate(columns)}
+
+    def known(c: str, name: str):
+        return first[f"{name}{place[c]}"]
+
+    aggregates, results = [], {}
+    for pair in combinations_with_replacement(columns, 2):
+        if any(known(c, "n") == 0 or known(c, "low") == known(c, "high") for c in pair):
+            results[pair] = F.lit(None).cast("double")
+            continue
+        centred = [value[c] - F.lit(known(c, "mean")) for c in pair]
+        key = f"p{len(results)}"
+        if all(known(c, "n") == first["n"] for c in pair):
+            aggregates.append(F.sum(centred[0] * centred[1]).alias(key))
+            scale = first["n"] * known(pair[0], "std") * known(pair[1], "std")
+            results[pair] = F.col(key) / F.lit(scale)
+            continue
+        both = centred[0].isNotNull() & centred[1].isNotNull()
+        x, y = (F.when(both, c) for c in centred)
+        aggregates += [
+            F.covar_pop(x, y).alias(f"{key}c"),
+            F.stddev_pop(x).alias(f"{key}x"),
+            F.stddev_pop(y).alias(f"{key}y"),
+            (F.min(x) < F.max(x)).alias(f"{key}vx"),
+            (F.min(y) < F.max(y)).alias(f"{key}vy"),
+        ]
+        results[pair] = F.when(
+            F.col(f"{key}vx") & F.col(f"{key}vy"),
+            F.try_divide(F.col(f"{key}c"), F.col(f"{key}x") * F.col(f"{key}y")),
+        )
     rows = []
-    for i, (a, b) in enumerate(pairs):
-        for left, right in ((a, b), (b, a)):
-            rows.append({"left": F.lit(left), "right": F.lit(right), "pearson": F.col(f"p{i}")})
-    for i, c in enumerate(columns):
-        rows.append({"left": F.lit(c), "right": F.lit(c), "pearson": F.col(f"d{i}")})
-    return rows_from_aggregates(df.agg(*aggregates), rows)
+    for (a, b), pearson in results.items():
+        for left, right in dict.fromkeys(((a, b), (b, a))):
+            rows.append({"left": F.lit(left), "right": F.lit(right), "pearson": pearson})
+    return rows_from_aggregates(df.agg(F.count(F.lit(1)), *aggregates), rows)
 
 
 def flag_correlated_pairs(
