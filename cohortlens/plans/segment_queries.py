@@ -1 +1,721 @@
-QUERIES = []
+"""Segmentation: transforms, clusters, quality, selection and scoring.
+
+Fitted results differ between engines, so operators that fit are registered
+without a SQL twin. Everything that takes labels, centres or scores as given is
+compared: labels come with the vectors, centres are their means, and score
+tables are aggregates of the events.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from cohortlens.operators import clustering, neighbours, quality, scaling, scoring, selection
+from cohortlens.operators.profiles import cluster_profile
+from cohortlens.plans.customer_queries import FEATURES_SQL, feature_rows
+from cohortlens.plans.registry import Query
+from cohortlens.session import scratch_path
+
+
+def _sql(select: str, *ctes: str) -> str:
+    """``select`` over the customer features and further CTEs."""
+    head, tail = FEATURES_SQL.rsplit("SELECT * FROM features", 1)
+    return ",\n".join([head.rstrip(), *ctes]) + "\n" + select + tail
+
+
+# --- transforms of the customer features ---
+
+
+def _standard(spark, folder):
+    df = feature_rows(spark, folder)
+    return scaling.scaled_columns(
+        df, scaling.fit_standard(df, scaling.STANDARD_COLUMNS), "customer_id"
+    )
+
+
+def _log1p(spark, folder):
+    df = feature_rows(spark, folder)
+    return scaling.scaled_columns(
+        df, scaling.fit_standard(df, scaling.SKEWED_COLUMNS, log=True), "customer_id"
+    )
+
+
+def _robust(spark, folder):
+    df = feature_rows(spark, folder)
+    return scaling.scaled_columns(
+        df, scaling.fit_robust(df, scaling.STANDARD_COLUMNS), "customer_id"
+    )
+
+
+def _one_hot(spark, folder):
+    df = feature_rows(spark, folder).select("customer_id", *scaling.CATEGORY_COLUMNS)
+    hot = scaling.one_hot_columns(
+        df, scaling.fit_levels(df, scaling.CATEGORY_COLUMNS), "customer_id"
+    )
+    names = [c for c in hot.columns if c != "customer_id"]
+    return hot.unpivot("customer_id", names, "level", "flag").filter("flag = 1").drop("flag")
+
+
+def _long_features(variant):
+    def build(spark, folder):
+        df = feature_rows(spark, folder)
+        fitted = scaling.fit_feature_map(df, variant)
+        names = F.array(*[F.lit(n) for n in fitted.feature_names()])
+        return fitted.transform(df, "customer_id").select(
+            "customer_id", F.posexplode("features").alias("place", "value")
+        ).select("customer_id", F.get(names, F.col("place")).alias("feature"), "value")
+
+    return build
+
+
+def _scaled_sql(columns, expression) -> str:
+    return ", ".join(f"{expression.format(c=c)} AS {c}" for c in columns)
+
+
+_Z = "({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1)"
+_ZLOG = _Z.replace("{c}", "ln(1 + {c})")
+_LEVEL = "lower(replace(replace({c}, ' ', '_'), '-', '_'))"
+
+_LONG_NUMERIC = " UNION ALL ".join(
+    f"SELECT customer_id, '{c}' AS feature, {e.format(c=c)} AS value FROM features"
+    for columns, e in ((scaling.STANDARD_COLUMNS, _Z), (scaling.SKEWED_COLUMNS, _ZLOG))
+    for c in columns
+)
+_LONG_HOT = " UNION ALL ".join(
+    f"SELECT f.customer_id, '{c}=' || l.level, CASE WHEN f.{c} = l.level THEN 1.0 ELSE 0.0 END "
+    f"FROM features f, (SELECT DISTINCT {c} AS level FROM features) l"
+    for c in scaling.CATEGORY_COLUMNS
+)
+_MEDIANS = "medians AS (SELECT " + ", ".join(
+    f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS m_{c}, coalesce(nullif(quantile_cont(CAST({c} AS DOUBLE), 0.75) - "
+    f"quantile_cont(CAST({c} AS DOUBLE), 0.25), 0), 1) AS s_{c}"
+    for c in scaling.STANDARD_COLUMNS
+) + " FROM features)"
+
+
+def _pca(spark, folder):
+    df = feature_rows(spark, folder)
+    fitted = scaling.fit_feature_map(df, "pca", 2)
+    return fitted.transform(df, "customer_id").select(
+        "customer_id",
+        F.get("features", F.lit(0)).alias("component_1"),
+        F.get("features", F.lit(1)).alias("component_2"),
+    )
+
+
+def _loadings(variant):
+    def build(spark, folder):
+        df = feature_rows(spark, folder)
+        return scaling.pca_loadings(spark, scaling.fit_feature_map(df, variant, 2))
+
+    return build
+
+
+# --- fits on the customer features ---
+
+
+def _points(spark, folder, variant="pca", n_components=2):
+    df = feature_rows(spark, folder)
+    fitted = scaling.fit_feature_map(df, variant, n_components)
+    return fitted.transform(df, "customer_id", "monetary_value")
+
+
+def _kmeans(spark, folder):
+    points = _points(spark, folder)
+    centres = clustering.fit_kmeans(points, 2, 42, "monetary_value")
+    return clustering.assign(points, centres).select("customer_id", "cluster")
+
+
+def _inertias(spark, folder):
+    return clustering.kmeans_inertia(_points(spark, folder, "numeric_only").persist(), [3, 4, 5])
+
+
+def _mixture(spark, folder):
+    points = _points(spark, folder).persist()
+    model = clustering.fit_diagonal_mixture(points, 3, 42, max_iter=20)
+    return clustering.assign(points, model).select("customer_id", "cluster")
+
+
+def _halves(spark, folder):
+    from cohortlens.operators.splits import frames, split_random
+
+    return frames(split_random(feature_rows(spark, folder)))
+
+
+def _candidates(spark, folder):
+    split = _halves(spark, folder)
+    fitted = scaling.fit_feature_map(split["train"], "pca", 2)
+    rows = selection.evaluate_candidates(
+        {
+            "baseline_kmeans_2": selection.kmeans_candidate(2, 42),
+            "kmeans_3": selection.kmeans_candidate(3, 42),
+            "gaussian_mixture_3": selection.mixture_candidate(3, 42),
+        },
+        fitted,
+        split["train"],
+        split["validation"],
+        "pca",
+        42,
+    )
+    return selection.score_table(spark, rows)
+
+
+def _sweep(spark, folder):
+    split = _halves(spark, folder)
+    rows = []
+    for n in (2, 3):
+        fitted = scaling.fit_feature_map(split["train"], "pca", n)
+        rows += selection.evaluate_candidates(
+            {"baseline_kmeans_2": selection.kmeans_candidate(2, 42)},
+            fitted,
+            split["train"],
+            split["validation"],
+            f"pca_{n}",
+            42,
+        )
+    return selection.score_table(spark, rows)
+
+
+def _trained(spark, folder):
+    bundle = scoring.train_segmentation(feature_rows(spark, folder))
+    return bundle.profile
+
+
+def _reloaded(spark, folder):
+    features = feature_rows(spark, folder)
+    path = scratch_path(spark, "model")
+    scoring.promote(scoring.train_segmentation(features), path)
+    return scoring.score_feature_table(features, scoring.load_model(spark, path))
+
+
+# --- given labels: the vectors ---
+
+
+def _vectors(spark, folder):
+    return spark.read.parquet(f"{folder}/embeddings.parquet").select(
+        F.col("vec_id").alias("id"),
+        F.col("embedding").cast("array<double>").alias("features"),
+        F.col("label").cast("bigint").alias("cluster"),
+    )
+
+
+_V = """v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS x, CAST(label AS BIGINT) AS cluster
+              FROM embeddings)"""
+
+
+def _silhouette_ctes(source: str, prefix: str = "") -> list[str]:
+    return [
+        f"""{prefix}gaps AS (SELECT a.id, a.cluster AS own, b.cluster AS other, sum(list_distance(a.x, b.x)) AS total,
+              count(*) AS n FROM {source} a, {source} b GROUP BY ALL)""",
+        f"""{prefix}sides AS (SELECT id, max(CASE WHEN own = other THEN total / nullif(n - 1, 0) END) AS a,
+              min(CASE WHEN own <> other THEN total / n END) AS b FROM {prefix}gaps GROUP BY id)""",
+        f"""{prefix}sil AS (SELECT avg(CASE WHEN a IS NULL THEN 0.0
+              ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0.0) END) AS silhouette_score FROM {prefix}sides)""",
+    ]
+
+
+def _bouldin_ctes(source: str, prefix: str = "") -> list[str]:
+    return [
+        f"""{prefix}centres AS (SELECT cluster, list(m ORDER BY pos) AS c FROM (
+              SELECT cluster, pos, avg(val) AS m FROM (SELECT cluster, unnest(x) AS val,
+                unnest(generate_series(1, len(x))) AS pos FROM {source}) GROUP BY cluster, pos) GROUP BY cluster)""",
+        f"""{prefix}spreads AS (SELECT cluster, avg(list_distance(x, c)) AS s, any_value(c) AS c
+              FROM {source} JOIN {prefix}centres USING (cluster) GROUP BY cluster)""",
+        f"""{prefix}db AS (SELECT avg(w) AS davies_bouldin_score FROM (
+              SELECT a.cluster, max((a.s + b.s) / list_distance(a.c, b.c)) AS w
+              FROM {prefix}spreads a JOIN {prefix}spreads b ON a.cluster <> b.cluster GROUP BY a.cluster))""",
+    ]
+
+
+def _with(select: str, *ctes: str) -> str:
+    return "WITH " + ",\n".join(ctes) + "\n" + select
+
+
+_NON_NOISE = "kept AS (SELECT id, x, cluster FROM v WHERE cluster <> 0)"
+
+
+def _non_noise(spark, folder):
+    labelled = _vectors(spark, folder).withColumn(
+        "cluster", F.when(F.col("cluster") == 0, -1).otherwise(F.col("cluster"))
+    )
+    return selection.evaluate_non_noise(labelled)
+
+
+def _fit_scope(spark, folder):
+    labelled = _vectors(spark, folder).withColumn("half", (F.col("cluster") >= 5).cast("int"))
+    rows = selection.evaluate_fit_scope(
+        labelled, {"ten": "cluster", "two": "half"}, "vectors"
+    )
+    return selection.score_table(spark, rows).select(
+        "model_name", "scoring_scope", "n_clusters_or_components", "silhouette_score", "davies_bouldin_score"
+    )
+
+
+def _mean_centres(spark, folder):
+    """Centres as given numbers: the mean vector of each label."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    rows = (
+        _vectors(spark, folder)
+        .groupBy("cluster")
+        .agg(vector_to_array(Summarizer.mean(array_to_vector("features"))).alias("c"))
+        .orderBy("cluster")
+        .collect()  # one row per label
+    )
+    return clustering.Centres(tuple(tuple(r["c"]) for r in rows))
+
+
+def _assigned(spark, folder):
+    points = _vectors(spark, folder).drop("cluster")
+    return clustering.assign(points, _mean_centres(spark, folder)).select("id", "cluster")
+
+
+_NEAREST = """SELECT id, cluster FROM (SELECT v.id, c.cluster, row_number() OVER (PARTITION BY v.id
+   ORDER BY list_distance(v.x, c.c), c.cluster) AS place FROM v, centres c) WHERE place = 1"""
+
+
+# --- given labels: customers split by a rule ---
+
+_RULE = "CAST(frequency > 10 AS INT) + CAST(monetary_value > 400000 AS INT)"
+
+
+def _labelled_customers(spark, folder):
+    return feature_rows(spark, folder).withColumn("cluster", F.expr(_RULE))
+
+
+_L = f"labelled AS (SELECT *, {_RULE} AS cluster FROM features)"
+_MEANS = [c for c in (
+    "recency_days", "frequency", "monetary_value", "avg_order_value", "order_value_std",
+    "product_diversity", "purchase_velocity", "return_rate", "coupon_usage_rate")]
+
+
+def _profile_mode(c: str) -> str:
+    return f"""p_{c} AS (SELECT cluster, {c} FROM (SELECT cluster, {c}, row_number() OVER (PARTITION BY cluster
+        ORDER BY count(*) DESC, {c} NULLS LAST) AS place FROM labelled GROUP BY cluster, {c}) WHERE place = 1)"""
+
+
+_PROFILE = (
+    "profile AS (SELECT cluster, count(*) AS cluster_size, "
+    + ", ".join(f"avg({c}) AS {c}" for c in _MEANS)
+    + """, min(customer_id) AS customer_id, any_value(p1.preferred_category) AS preferred_category,
+        any_value(p2.preferred_payment_method) AS preferred_payment_method
+      FROM labelled l JOIN p_preferred_category p1 USING (cluster)
+      JOIN p_preferred_payment_method p2 USING (cluster) GROUP BY cluster)"""
+)
+_PROFILE_CTES = [
+    _L,
+    _profile_mode("preferred_category"),
+    _profile_mode("preferred_payment_method"),
+    _PROFILE,
+]
+_PROFILE_DIGITS = {c: (2 if c in ("monetary_value", "avg_order_value", "order_value_std") else 6) for c in _MEANS}
+
+
+def _profile(spark, folder):
+    return cluster_profile(_labelled_customers(spark, folder))
+
+
+def _attached(spark, folder):
+    labels = _labelled_customers(spark, folder).select("customer_id", "cluster")
+    return scoring.attach_profile(labels, _profile(spark, folder)).select(
+        "customer_id", "cluster", "cluster_size", "monetary_value", "preferred_category"
+    )
+
+
+def _lookup(spark, folder):
+    labelled = _labelled_customers(spark, folder)
+    features = labelled.drop("cluster")
+    labels = labelled.select("customer_id", "cluster")
+    # the customer with the most orders, ties to the smaller id
+    who = features.agg(F.min_by("customer_id", F.struct(-F.col("frequency"), F.col("customer_id"))))
+    return scoring.customer_lookup(
+        features, labels, _profile(spark, folder), who.first()[0]
+    ).select(
+        "customer_id", "frequency", "monetary_value", "cluster", "cluster_size",
+        "profile_frequency", "profile_monetary_value", "profile_preferred_category",
+    )
+
+
+# --- given scores: aggregates of the events ---
+
+_MODEL = "CASE WHEN event_type = 'view' THEN 'baseline_view' ELSE event_type END"
+_SCORES = f"""scores AS (SELECT *, row_number() OVER (ORDER BY model_name, representation, seed) AS position FROM (
+   SELECT {_MODEL} AS model_name,
+          CASE WHEN hour(ts) < 12 THEN 'full' ELSE 'numeric_only' END AS representation,
+          CASE WHEN event_type = 'error' THEN 'train_fit' ELSE 'validation' END AS scoring_scope,
+          41 + day(ts) AS seed, avg(value) / 100 AS silhouette_score,
+          stddev_samp(value) / 10 AS davies_bouldin_score
+   FROM events GROUP BY ALL))"""
+_STABLE = """stable AS (SELECT model_name, representation, count(*) AS seeds, avg(silhouette_score) AS silhouette_mean,
+   stddev_pop(silhouette_score) AS silhouette_std, avg(davies_bouldin_score) AS davies_bouldin_mean,
+   stddev_pop(davies_bouldin_score) AS davies_bouldin_std FROM scores GROUP BY ALL)"""
+_STABLE_DIGITS = {
+    "silhouette_mean": 6,
+    "silhouette_std": 6,
+    "davies_bouldin_mean": 6,
+    "davies_bouldin_std": 6,
+}
+_LIMIT = 0.03
+
+
+def _scores(spark, folder):
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    grouped = events.groupBy(
+        F.expr(_MODEL).alias("model_name"),
+        F.when(F.hour("ts") < 12, "full").otherwise("numeric_only").alias("representation"),
+        F.when(F.col("event_type") == "error", "train_fit").otherwise("validation").alias(
+            "scoring_scope"
+        ),
+        (F.dayofmonth("ts") + 41).alias("seed"),
+    ).agg(
+        (F.avg("value") / 100).alias("silhouette_score"),
+        (F.stddev_samp("value") / 10).alias("davies_bouldin_score"),
+    )
+    # one row per model, representation and day
+    return grouped.withColumn(
+        "position",
+        F.row_number().over(W.orderBy("model_name", "representation", "seed")),
+    )
+
+
+def _stability(spark, folder):
+    return selection.seed_stability(_scores(spark, folder), "model_name", "representation")
+
+
+def _selected(spark, folder):
+    stable = _stability(spark, folder).withColumn(
+        "place", F.concat_ws("/", "model_name", "representation")
+    )
+    return selection.select_stable(stable, "place", _LIMIT).select(
+        "model_name", "representation", "selection_score", "is_winner",
+        F.col("reason").isNotNull().alias("is_excluded"),
+    )
+
+
+_SCORE_DIGITS = {"silhouette_score": 6, "davies_bouldin_score": 6}
+
+
+def _candidate_table(spark, folder):
+    scores = _scores(spark, folder)
+    first = scores.filter("representation = 'full'")
+    second = scores.select(
+        *[F.lit("full").alias(c) if c == "representation" else F.col(c) for c in scores.columns]
+    )
+    return selection.candidate_table(first, scores, second).drop("seed")
+
+
+def _promotion(spark, folder):
+    table = _scores(spark, folder).groupBy("model_name").agg(
+        F.avg("silhouette_score").alias("silhouette_score"),
+        F.avg("davies_bouldin_score").alias("davies_bouldin_score"),
+    )
+    stored = table.filter("model_name = 'baseline_view'")
+    result = None
+    for name in ("click", "error", "purchase", "signup"):
+        one = selection.promote_if_better(
+            table.filter(F.col("model_name") == name), stored
+        ).withColumn("model_name", F.lit(name))
+        result = one if result is None else result.unionByName(one)
+    return result
+
+
+def _comparison(spark, folder):
+    return selection.representation_comparison(
+        _scores(spark, folder).groupBy("model_name", "representation").agg(
+            F.avg("silhouette_score").alias("silhouette_score"),
+            F.avg("davies_bouldin_score").alias("davies_bouldin_score"),
+        )
+    )
+
+
+def _two_runs(spark, folder):
+    scores = _scores(spark, folder).select(
+        "model_name", "representation", "seed", "silhouette_score"
+    )
+    return selection.before_after(
+        scores.filter("representation = 'full'"), scores.filter("representation <> 'full'")
+    )
+
+
+def _seed_labels(spark, folder):
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    # two clusters per seed; for seeds above 45 almost all rows share one
+    cut = F.when(F.col("l_linenumber") > 3, 0.005).otherwise(0.05)
+    return lines.select(
+        (F.col("l_linenumber") + 41).alias("seed"),
+        (F.col("l_discount") > cut).cast("int").alias("cluster"),
+    )
+
+
+_SIZES_SQL = """diag AS (SELECT seed, count(*) AS cluster_count, CAST(sum(n) AS BIGINT) AS total_rows, max(n) / sum(n) AS largest_cluster_share,
+     count(*) = 2 AND max(n) / sum(n) >= 0.90 AS is_degenerate
+   FROM (SELECT l_linenumber + 41 AS seed, l_discount > CASE WHEN l_linenumber > 3 THEN 0.005 ELSE 0.05 END AS c,
+                count(*) AS n FROM lineitem GROUP BY ALL) GROUP BY seed)"""
+
+
+QUERIES = [
+    Query(
+        "standard_scale",
+        _standard,
+        _sql(f"SELECT customer_id, {_scaled_sql(scaling.STANDARD_COLUMNS, _Z)} FROM features"),
+        {c: 6 for c in scaling.STANDARD_COLUMNS},
+    ),
+    Query(
+        "log1p_scale",
+        _log1p,
+        _sql(f"SELECT customer_id, {_scaled_sql(scaling.SKEWED_COLUMNS, _ZLOG)} FROM features"),
+        {c: 6 for c in scaling.SKEWED_COLUMNS},
+    ),
+    Query(
+        "robust_scale",
+        _robust,
+        _sql(
+            f"SELECT customer_id, {_scaled_sql(scaling.STANDARD_COLUMNS, '({c} - m_{c}) / s_{c}')} "
+            "FROM features, medians",
+            _MEDIANS,
+        ),
+        {c: 6 for c in scaling.STANDARD_COLUMNS},
+    ),
+    Query(
+        "one_hot",
+        _one_hot,
+        _sql(
+            " UNION ALL ".join(
+                f"SELECT customer_id, '{c}_' || {_LEVEL.format(c=c)} AS level FROM features"
+                for c in scaling.CATEGORY_COLUMNS
+            )
+        ),
+    ),
+    Query("feature_map_numeric", _long_features("numeric_only"), _sql(_LONG_NUMERIC), {"value": 6}),
+    Query(
+        "feature_map_full",
+        _long_features("full"),
+        _sql(f"{_LONG_NUMERIC} UNION ALL {_LONG_HOT}"),
+        {"value": 6},
+    ),
+    Query("pca", _pca),
+    Query("pca_loadings", _loadings("pca")),
+    Query("robust_pca_loadings", _loadings("robust_pca")),
+    Query("kmeans", _kmeans),
+    Query("kmeans_inertia", _inertias),
+    Query(
+        "inertia_given_centres",
+        lambda s, f: clustering.inertia(_vectors(s, f), _mean_centres(s, f)),
+        _with(
+            """SELECT sum(d * d) AS inertia FROM (SELECT v.id, min(list_distance(v.x, c.c)) AS d
+               FROM v, centres c GROUP BY v.id)""",
+            _V,
+            *_bouldin_ctes("v"),
+        ),
+        {"inertia": 4},
+    ),
+    Query("gaussian_mixture_diag", _mixture),
+    Query(
+        "knn_graph",
+        lambda s, f: neighbours.knn_graph(_vectors(s, f), 10),
+        _with(
+            """SELECT src, rank, dst, distance FROM (SELECT a.id AS src, b.id AS dst, list_distance(a.x, b.x) AS distance,
+                 row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.x, b.x), b.id) AS rank
+               FROM v a JOIN v b ON a.id <> b.id) WHERE rank <= 10""",
+            _V,
+        ),
+        {"distance": 6},
+    ),
+    Query(
+        "core_distances",
+        lambda s, f: neighbours.core_distances(_vectors(s, f), 5),
+        _with(
+            """SELECT id, core_distance FROM (SELECT a.id, list_distance(a.x, b.x) AS core_distance,
+                 row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.x, b.x), b.id) AS rank
+               FROM v a JOIN v b ON a.id <> b.id) WHERE rank = 4""",
+            _V,
+        ),
+        {"core_distance": 6},
+    ),
+    Query(
+        "silhouette",
+        lambda s, f: quality.silhouette(_vectors(s, f)),
+        _with("SELECT * FROM sil", _V, *_silhouette_ctes("v")),
+        {"silhouette_score": 6},
+    ),
+    Query(
+        "silhouette_squared",
+        lambda s, f: s.createDataFrame(
+            [(quality.silhouette_squared(_vectors(s, f)),)], "silhouette_squared double"
+        ),
+        _with(
+            "SELECT silhouette_score AS silhouette_squared FROM sil",
+            _V,
+            *[
+                c.replace("sum(list_distance(a.x, b.x))", "sum(list_distance(a.x, b.x) ** 2)")
+                for c in _silhouette_ctes("v")
+            ],
+        ),
+        {"silhouette_squared": 6},
+    ),
+    Query(
+        "davies_bouldin",
+        lambda s, f: quality.davies_bouldin(_vectors(s, f)),
+        _with("SELECT * FROM db", _V, *_bouldin_ctes("v")),
+        {"davies_bouldin_score": 6},
+    ),
+    Query("evaluate_candidates", _candidates),
+    Query(
+        "evaluate_fit_scope",
+        _fit_scope,
+        _with(
+            """SELECT 'ten' AS model_name, 'train_fit' AS scoring_scope, 10 AS n_clusters_or_components, *
+               FROM sil, db UNION ALL SELECT 'two', 'train_fit', 2, * FROM h_sil, h_db""",
+            _V,
+            "h AS (SELECT id, x, CAST(cluster >= 5 AS BIGINT) AS cluster FROM v)",
+            *_silhouette_ctes("v"),
+            *_bouldin_ctes("v"),
+            *_silhouette_ctes("h", "h_"),
+            *_bouldin_ctes("h", "h_"),
+        ),
+        _SCORE_DIGITS,
+    ),
+    Query(
+        "evaluate_non_noise",
+        _non_noise,
+        _with(
+            """SELECT (SELECT count(*) FROM kept) AS retained_rows,
+                 (SELECT count(*) FROM v WHERE cluster = 0) AS noise_rows,
+                 (SELECT count(DISTINCT cluster) FROM kept) AS n_clusters,
+                 silhouette_score, davies_bouldin_score, 'train_fit_non_noise' AS scoring_scope FROM sil, db""",
+            _V,
+            _NON_NOISE,
+            *_silhouette_ctes("kept"),
+            *_bouldin_ctes("kept"),
+        ),
+        _SCORE_DIGITS,
+    ),
+    Query("seed_stability", _stability, _with("SELECT * FROM stable", _SCORES, _STABLE), _STABLE_DIGITS),
+    Query(
+        "select_stable",
+        _selected,
+        _with(
+            f"""SELECT model_name, representation, selection_score,
+                 selection_score IS NOT NULL AND row_number() OVER (ORDER BY selection_score DESC NULLS LAST,
+                   model_name || '/' || representation) = 1 AS is_winner,
+                 selection_score IS NULL AS is_excluded
+               FROM (SELECT *, CASE WHEN silhouette_std <= {_LIMIT} THEN silhouette_mean - silhouette_std END
+                     AS selection_score FROM stable)""",
+            _SCORES,
+            _STABLE,
+        ),
+        {"selection_score": 6},
+    ),
+    Query(
+        "baseline_margins",
+        lambda s, f: selection.baseline_margins(_scores(s, f)),
+        _with(
+            """SELECT position, model_name, silhouette_score - bs AS silhouette_margin,
+                 bd - davies_bouldin_score AS davies_bouldin_improvement,
+                 silhouette_score > bs AND davies_bouldin_score < bd AS beats_baseline_on_both,
+                 position = (SELECT position FROM scores WHERE scoring_scope = 'validation'
+                             ORDER BY silhouette_score DESC, position LIMIT 1) AS is_best_by_validation_silhouette
+               FROM scores, (SELECT silhouette_score AS bs, davies_bouldin_score AS bd FROM scores
+                             WHERE model_name LIKE 'baseline_%' ORDER BY position LIMIT 1)""",
+            _SCORES,
+        ),
+        {"silhouette_margin": 6, "davies_bouldin_improvement": 6},
+    ),
+    Query(
+        "representation_comparison",
+        _comparison,
+        _with(
+            """SELECT model_name,
+                 avg(silhouette_score) FILTER (WHERE representation = 'full') AS full_silhouette,
+                 avg(davies_bouldin_score) FILTER (WHERE representation = 'full') AS full_davies_bouldin,
+                 avg(silhouette_score) FILTER (WHERE representation <> 'full') AS numeric_only_silhouette,
+                 avg(davies_bouldin_score) FILTER (WHERE representation <> 'full') AS numeric_only_davies_bouldin
+               FROM scores GROUP BY model_name""",
+            _SCORES,
+        ),
+        {
+            "full_silhouette": 6,
+            "full_davies_bouldin": 6,
+            "numeric_only_silhouette": 6,
+            "numeric_only_davies_bouldin": 6,
+        },
+    ),
+    Query(
+        "before_after",
+        _two_runs,
+        _with(
+            """SELECT model_name, representation, seed, silhouette_score,
+                 CASE WHEN representation = 'full' THEN 'before' ELSE 'after' END AS run FROM scores""",
+            _SCORES,
+        ),
+        {"silhouette_score": 6},
+    ),
+    Query("candidate_sweeps", _sweep),
+    Query(
+        "cluster_size_diagnostics",
+        lambda s, f: selection.cluster_size_diagnostics(_seed_labels(s, f)),
+        _with("SELECT * FROM diag", _SIZES_SQL),
+        {"largest_cluster_share": 6},
+    ),
+    Query(
+        "any_degenerate",
+        lambda s, f: selection.any_degenerate(
+            selection.cluster_size_diagnostics(_seed_labels(s, f))
+        ),
+        _with("SELECT bool_or(is_degenerate) AS any_degenerate FROM diag", _SIZES_SQL),
+    ),
+    Query("cluster_profile", _profile, _sql("SELECT * FROM profile", *_PROFILE_CTES), _PROFILE_DIGITS),
+    Query("train_segmentation", _trained),
+    Query("promote_if_better", _promotion, _with(
+        """SELECT a.model_name, a.s > b.s OR (a.s = b.s AND a.d < b.d) AS promote FROM m a, m b
+           WHERE b.model_name = 'baseline_view' AND a.model_name <> 'baseline_view'""",
+        _SCORES,
+        """m AS (SELECT model_name, avg(silhouette_score) AS s, avg(davies_bouldin_score) AS d
+                 FROM scores GROUP BY model_name)""",
+    )),
+    Query("save_and_load_model", _reloaded),
+    Query("assign_clusters", _assigned, _with(_NEAREST, _V, *_bouldin_ctes("v"))),
+    Query(
+        "attach_profile",
+        _attached,
+        _sql(
+            """SELECT l.customer_id, l.cluster, p.cluster_size, p.monetary_value, p.preferred_category
+               FROM labelled l JOIN profile p USING (cluster)""",
+            *_PROFILE_CTES,
+        ),
+        {"monetary_value": 2},
+    ),
+    Query("score_feature_table", lambda s, f: scoring.score_feature_table(
+        feature_rows(s, f), scoring.train_segmentation(feature_rows(s, f)))),
+    Query(
+        "cluster_distribution",
+        lambda s, f: scoring.cluster_distribution(_vectors(s, f)),
+        _with(
+            "SELECT cluster, count(*) AS size, count(*) / sum(count(*)) OVER () AS share FROM v GROUP BY cluster",
+            _V,
+        ),
+        {"share": 6},
+    ),
+    Query(
+        "sample_map",
+        lambda s, f: scoring.sample_map(
+            s.read.parquet(f"{f}/orders.parquet").select("o_orderkey", "o_totalprice"), "o_orderkey"
+        ),
+        "SELECT o_orderkey, o_totalprice FROM orders ORDER BY md5('42:' || o_orderkey), o_orderkey LIMIT 12000",
+    ),
+    Query(
+        "customer_lookup",
+        _lookup,
+        _sql(
+            """SELECT l.customer_id, l.frequency, l.monetary_value, l.cluster, p.cluster_size,
+                 p.frequency AS profile_frequency, p.monetary_value AS profile_monetary_value,
+                 p.preferred_category AS profile_preferred_category
+               FROM labelled l JOIN profile p USING (cluster)
+               ORDER BY l.frequency DESC, l.customer_id LIMIT 1""",
+            *_PROFILE_CTES,
+        ),
+        {"monetary_value": 2, "profile_frequency": 6, "profile_monetary_value": 2},
+    ),
+]
