@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.vectors import literal_vector, squared_distance
+from cohortlens.session import kept
 
 
 @dataclass(frozen=True)
@@ -54,13 +55,13 @@ def fit_kmeans(
     Cluster numbers of a fit are arbitrary, so clusters are renumbered by the
     mean of ``order_by`` (falling), or by their centres without it.
     """
-    model = KMeans(k=k, seed=seed, maxIter=300, tol=1e-4, featuresCol="vector").fit(
-        points.select(array_to_vector("features").alias("vector"))
-    )
-    centres = Centres(
-        tuple(tuple(float(x) for x in c) for c in model.clusterCenters()),
-        float(model.summary.trainingCost),
-    )
+    estimator = KMeans(k=k, seed=seed, maxIter=300, tol=1e-4, featuresCol="vector")
+    with kept(points.select(array_to_vector("features").alias("vector"))) as vectors:
+        model = estimator.fit(vectors)
+        centres = Centres(
+            tuple(tuple(float(x) for x in c) for c in model.clusterCenters()),
+            float(model.summary.trainingCost),
+        )
     if order_by is None:
         order = sorted(range(len(centres.points)), key=lambda i: centres.points[i], reverse=True)
     else:
@@ -90,7 +91,8 @@ def inertia(points: DataFrame, centres: Centres) -> DataFrame:
 
 def kmeans_inertia(points: DataFrame, counts: list[int], seed: int = 42) -> DataFrame:
     """(n_clusters, inertia) of one fit per cluster count."""
-    rows = [(k, fit_kmeans(points, k, seed).inertia) for k in counts]
+    with kept(points):
+        rows = [(k, fit_kmeans(points, k, seed).inertia) for k in counts]
     return points.sparkSession.createDataFrame(rows, "n_clusters int, inertia double")
 
 
@@ -177,6 +179,13 @@ def fit_diagonal_mixture(
     points: DataFrame, n_components: int, seed: int = 42, max_iter: int = 100, tol: float = 1e-3
 ) -> DiagonalMixture:
     """Expectation maximisation with diagonal covariances, started from k-means."""
+    with kept(points.select("features")) as rows:
+        return _fit_mixture(rows, n_components, seed, max_iter, tol)
+
+
+def _fit_mixture(
+    points: DataFrame, n_components: int, seed: int, max_iter: int, tol: float
+) -> DiagonalMixture:
     centres = fit_kmeans(points, n_components, seed)
     labelled = assign(points, centres)
     d = len(centres.points[0])

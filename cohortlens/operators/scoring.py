@@ -17,6 +17,7 @@ from cohortlens.operators.profiles import cluster_profile
 from cohortlens.operators.quality import quality
 from cohortlens.operators.scaling import FeatureMap, fit_feature_map
 from cohortlens.operators.selection import promote_if_better
+from cohortlens.session import kept
 
 METRICS_SCHEMA = "silhouette_score double, davies_bouldin_score double"
 
@@ -44,13 +45,12 @@ def train_segmentation(
     cell_width: float | None = None,
 ) -> Bundle:
     """PCA and k-means on all rows; the scores are therefore in-sample."""
-    fitted = fit_feature_map(customer_features, "pca", n_components)
-    points = customer_features.withColumn("features", fitted.features()).persist()
-    try:
-        centres = fit_kmeans(points, k, seed, order_by="monetary_value")
-        metrics = quality(assign(points, centres), "cluster", cell_width)
-    finally:
-        points.unpersist()
+    with kept(customer_features):
+        fitted = fit_feature_map(customer_features, "pca", n_components)
+        points = customer_features.select("monetary_value", fitted.features().alias("features"))
+        with kept(points):
+            centres = fit_kmeans(points, k, seed, order_by="monetary_value")
+            metrics = quality(assign(points, centres), "cluster", cell_width)
     labelled = assign(customer_features.withColumn("features", fitted.features()), centres)
     stamp = dt.datetime.now(dt.timezone.utc).isoformat()
     return Bundle(fitted, centres, metrics, cluster_profile(labelled), stamp)

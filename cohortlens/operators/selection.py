@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cohortlens.operators.clustering import assign, fit_diagonal_mixture, fit_kmeans
 from cohortlens.operators.quality import davies_bouldin, quality, silhouette
 from cohortlens.operators.scaling import FeatureMap
+from cohortlens.session import kept
 
 SCORE_SCHEMA = (
     "position int, model_name string, representation string, scoring_scope string, seed int, "
@@ -52,16 +53,12 @@ def evaluate_candidates(
 ) -> list[dict]:
     """Fits on train, scores the labels of the validation rows.
 
-    ``fitted`` was fitted on train only. The transformed frames are persisted
-    for the iterative fits and released at the end.
+    ``fitted`` was fitted on train only.
     """
-    train_points = fitted.transform(train).persist()
-    validation_points = fitted.transform(validation).persist()
     rows = []
-    try:
+    with kept(fitted.transform(train)) as points, kept(fitted.transform(validation)) as unseen:
         for name, fit in candidates.items():
-            model, size = fit(train_points)
-            labelled = assign(validation_points, model)
+            model, size = fit(points)
             rows.append(
                 {
                     "model_name": name,
@@ -69,12 +66,9 @@ def evaluate_candidates(
                     "scoring_scope": "validation",
                     "seed": seed,
                     "n_clusters_or_components": size,
-                    **quality(labelled, "cluster", cell_width),
+                    **quality(assign(unseen, model), "cluster", cell_width),
                 }
             )
-    finally:
-        train_points.unpersist()
-        validation_points.unpersist()
     return rows
 
 

@@ -128,11 +128,11 @@ def _kmeans(spark, folder):
 
 
 def _inertias(spark, folder):
-    return clustering.kmeans_inertia(_points(spark, folder, "numeric_only").persist(), [3, 4, 5])
+    return clustering.kmeans_inertia(_points(spark, folder, "numeric_only"), [3, 4, 5])
 
 
 def _mixture(spark, folder):
-    points = _points(spark, folder).persist()
+    points = _points(spark, folder)
     model = clustering.fit_diagonal_mixture(points, 3, 42, max_iter=20)
     return clustering.assign(points, model).select("customer_id", "cluster")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +49,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of executors, bounds plan growth."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` as a table written to the shared folder and read back.
+
+    It survives the loss of executors and ends plan growth. Unlike a
+    checkpoint, which keeps the estimates of the plan it replaces, a table
+    brings its real size, so iterative joins keep choosing sound strategies.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "state")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def kept(df: DataFrame):
+    """Persists ``df`` for the block's jobs, unless its owner already did."""
+    if df.is_cached:
+        yield df
+        return
+    df.persist()
+    try:
+        yield df
+    finally:
+        df.unpersist()
