@@ -7,7 +7,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SKETCH_ACCURACY = 10000
+from cohortlens.session import kept
+
+SKETCH_ACCURACY = 1000
 COLLECTED_VALUES = 100_000
 
 
@@ -15,7 +17,7 @@ def exact_quantiles(
     df: DataFrame,
     columns: list[str],
     probabilities: list[float],
-    in_memory_rows: int = 1_000_000,
+    in_memory_rows: int = 100_000,
 ) -> dict[str, list[float | None]]:
     """Exact quantiles per column; the result is columns x probabilities numbers.
 
@@ -42,9 +44,10 @@ def exact_quantiles(
                 position = (counts[c] - 1) * p
                 wanted[c, p] = (math.floor(position), math.ceil(position), position)
         ranks = {(c, k) for (c, _), (lo, hi, _) in wanted.items() for k in (lo, hi)}
-        found = _order_statistics(
-            df, sorted(ranks), counts, min(in_memory_rows, COLLECTED_VALUES)
-        )
+        with kept(df.select(*large)) as narrow:
+            found = _order_statistics(
+                narrow, sorted(ranks), counts, min(in_memory_rows, COLLECTED_VALUES)
+            )
         for c in large:
             result[c] = []
             for p in probabilities:
@@ -64,41 +67,46 @@ def _order_statistics(df, targets, counts, collected_values):
     state = {t: (-math.inf, math.inf, 0, counts[t[0]]) for t in targets}
     found: dict[tuple[str, int], float] = {}
 
-    def inside(target) -> Column:
-        low, high, _, _ = state[target]
-        value = _value(target[0])
-        return F.when((value > F.lit(low)) & (value < F.lit(high)), value)
-
+    margin = 2 / SKETCH_ACCURACY
     while True:
         wide = [t for t in targets if t not in found and state[t][3] > collected_values]
         if not wide:
             break
+        # targets that still share an interval share one sketch of it
+        shared: dict[tuple, list] = {}
+        for target in wide:
+            shared.setdefault((target[0], *state[target]), []).append(target)
         proposals = []
-        for i, target in enumerate(wide):
-            _, _, below, size = state[target]
-            share = (target[1] - below) / size
-            margin = 2 / SKETCH_ACCURACY
-            proposals.append(
-                F.percentile_approx(
-                    inside(target),
-                    [max(share - margin, 0.0), min(share + margin, 1.0)],
-                    SKETCH_ACCURACY,
-                ).alias(f"b{i}")
-            )
-        brackets = df.agg(*proposals).first()
-        checks = []
-        for i, target in enumerate(wide):
-            value = _value(target[0])
-            for side, edge in zip("cd", brackets[i]):
-                checks.append(F.count_if(value < F.lit(edge)).alias(f"{side}lt{i}"))
-                checks.append(F.count_if(value == F.lit(edge)).alias(f"{side}eq{i}"))
-        seen = df.agg(*checks).first()
-        for i, target in enumerate(wide):
+        for i, ((column, low, high, below, size), members) in enumerate(shared.items()):
+            value = _value(column)
+            shares = [(t[1] - below) / size for t in members]
+            edges = [e for x in shares for e in (max(x - margin, 0.0), min(x + margin, 1.0))]
+            within = F.when((value > F.lit(low)) & (value < F.lit(high)), value)
+            proposals.append(F.percentile_approx(within, edges, SKETCH_ACCURACY).alias(f"b{i}"))
+        row = df.agg(*proposals).first()
+        brackets = {}
+        for i, members in enumerate(shared.values()):
+            for j, target in enumerate(members):
+                brackets[target] = (row[i][2 * j], row[i][2 * j + 1])
+        checked = sorted({(t[0], edge) for t in wide for edge in brackets[t]})
+        seen = df.agg(
+            *[
+                count.alias(f"{name}{i}")
+                for i, (column, edge) in enumerate(checked)
+                for name, count in (
+                    ("lt", F.count_if(_value(column) < F.lit(edge))),
+                    ("eq", F.count_if(_value(column) == F.lit(edge))),
+                )
+            ]
+        ).first()
+        place = {key: i for i, key in enumerate(checked)}
+        for target in wide:
             rank = target[1]
             low, high, below, size = state[target]
-            c, d = brackets[i]
-            c_below, c_upto = seen[f"clt{i}"], seen[f"clt{i}"] + seen[f"ceq{i}"]
-            d_below, d_upto = seen[f"dlt{i}"], seen[f"dlt{i}"] + seen[f"deq{i}"]
+            c, d = brackets[target]
+            at_c, at_d = place[target[0], c], place[target[0], d]
+            c_below, c_upto = seen[f"lt{at_c}"], seen[f"lt{at_c}"] + seen[f"eq{at_c}"]
+            d_below, d_upto = seen[f"lt{at_d}"], seen[f"lt{at_d}"] + seen[f"eq{at_d}"]
             if c_below <= rank < c_upto:
                 found[target] = c
             elif d_below <= rank < d_upto:
@@ -110,25 +118,34 @@ def _order_statistics(df, targets, counts, collected_values):
             else:
                 state[target] = (d, high, d_upto, below + size - d_upto)
 
-    narrow = [t for t in targets if t not in found]
-    by_interval: dict[tuple, list] = {}
-    for target in narrow:
-        by_interval.setdefault((target[0], *state[target]), []).append(target)
-    for (column, low, high, below, _), members in by_interval.items():
+    narrow: dict[tuple, list] = {}
+    for target in targets:
+        if target not in found:
+            narrow.setdefault((target[0], *state[target]), []).append(target)
+    if not narrow:
+        return found
+    # one pass counts the values of all remaining intervals; each holds at most
+    # collected_values rows, so that is what comes back per interval
+    picked = []
+    for i, (column, low, high, _, _) in enumerate(narrow):
         value = _value(column)
-        histogram = (
-            df.select(value.alias("v"))
-            .filter((F.col("v") > F.lit(low)) & (F.col("v") < F.lit(high)))
-            .groupBy("v")
-            .count()
-            .orderBy("v")
-            .collect()  # at most collected_values rows by construction
+        picked.append(
+            F.when(
+                (value > F.lit(low)) & (value < F.lit(high)),
+                F.struct(F.lit(i).alias("interval"), value.alias("v")),
+            )
         )
+    histogram = (
+        df.select(F.inline(F.array_compact(F.array(*picked))))
+        .groupBy("interval", "v")
+        .count()
+        .orderBy("interval", "v")
+        .toPandas()
+    )
+    for i, ((_, _, _, below, _), members) in enumerate(narrow.items()):
+        entries = histogram[histogram["interval"] == i]
+        upto = below + entries["count"].cumsum().to_numpy()
         for target in members:
-            seen_rows = below
-            for entry in histogram:
-                seen_rows += entry["count"]
-                if target[1] < seen_rows:
-                    found[target] = entry["v"]
-                    break
+            place = int((upto > target[1]).argmax())
+            found[target] = float(entries["v"].iloc[place])
     return found

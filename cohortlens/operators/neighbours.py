@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.columns import seeded_key
 
-_MAX_PIVOTS = 1024
-_BLOCK_VALUES = 16_384  # doubles per block, about 128 KB
-_BLOCK_ROWS = (32, 1024)
-_SLACK = 1e-9  # relative widening of bounds against rounding
+MAX_PIVOTS = 1024
+BLOCK_VALUES = 16_384  # doubles per block, about 128 KB
+BLOCK_ROWS = (32, 1024)
+SLACK = 1e-9  # relative widening of bounds against rounding
 
 
 def _distinct_vectors(points: DataFrame, id_column: str, k: int) -> DataFrame:
@@ -48,12 +48,12 @@ def _distinct_vectors(points: DataFrame, id_column: str, k: int) -> DataFrame:
 
 def _pivots(vectors: DataFrame, n: int) -> np.ndarray:
     """About sqrt(n) vectors in hashed order; bounded, so held by the driver."""
-    wanted = min(_MAX_PIVOTS, max(1, math.isqrt(n)))
+    wanted = min(MAX_PIVOTS, max(1, math.isqrt(n)))
     rows = vectors.select("key", "features").orderBy(seeded_key(1, "key"), "key").limit(wanted)
     return np.array([r["features"] for r in rows.collect()])
 
 
-def _distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+def distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     total = np.zeros((len(left), len(right)))
     for axis in range(left.shape[1]):
         step = left[:, axis, None] - right[None, :, axis]
@@ -69,7 +69,7 @@ def _to_cells(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
             cells, radii = [], []
             for start in range(0, len(batch), 1024):
                 x = np.vstack(batch["features"].iloc[start : start + 1024].to_numpy())
-                gap = _distances(x, pivots)
+                gap = distances(x, pivots)
                 cells.append(gap.argmin(axis=1))
                 radii.append(gap.min(axis=1))
             if cells:
@@ -115,7 +115,7 @@ def _nearest_in_block(k: int):
             for row in batch.itertuples(index=False):
                 asking = row.q_x.reshape(len(row.q_keys), -1)
                 answering = row.a_x.reshape(len(row.a_counts), -1)
-                gap = np.repeat(_distances(asking, answering), row.a_counts, axis=1)
+                gap = np.repeat(distances(asking, answering), row.a_counts, axis=1)
                 ids = np.broadcast_to(row.a_ids, gap.shape)
                 for i, key in enumerate(row.q_keys):
                     best = np.lexsort((ids[i], gap[i]))[: k + 1]
@@ -150,10 +150,10 @@ def _other_cells(pivots: np.ndarray, radii: np.ndarray):
             out = []
             for start in range(0, len(batch), 1024):
                 part = batch.iloc[start : start + 1024]
-                gap = _distances(np.vstack(part["features"].to_numpy()), pivots)
+                gap = distances(np.vstack(part["features"].to_numpy()), pivots)
                 least = gap - radii
-                bound = part["bound"].to_numpy() * (1 + _SLACK)
-                reachable = least <= bound[:, None] + _SLACK
+                bound = part["bound"].to_numpy() * (1 + SLACK)
+                reachable = least <= bound[:, None] + SLACK
                 reachable[np.arange(len(part)), part["cell"].to_numpy()] = False
                 reachable &= radii >= 0
                 out.append(part.assign(cells=[np.flatnonzero(r) for r in reachable]))
@@ -173,8 +173,8 @@ def nearest_lists(points: DataFrame, k: int, id_column: str = "id") -> DataFrame
     shape = vectors.agg(
         F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("d")
     ).first()
-    low, high = _BLOCK_ROWS
-    block_rows = min(high, max(low, _BLOCK_VALUES // max(shape["d"] or 1, 1)))
+    low, high = BLOCK_ROWS
+    block_rows = min(high, max(low, BLOCK_VALUES // max(shape["d"] or 1, 1)))
     pivots = _pivots(vectors, shape["n"])
     cells = _to_cells(vectors, pivots)
     radii = np.full(len(pivots), -1.0)
@@ -236,7 +236,7 @@ def knn_graph(points: DataFrame, k: int = 10, id_column: str = "id") -> DataFram
     )
 
 
-def core_distances(points: DataFrame, k: int, id_column: str = "id") -> DataFrame:
+def coredistances(points: DataFrame, k: int, id_column: str = "id") -> DataFrame:
     """(id, core_distance): distance to the k-th nearest point, itself counted."""
     joined, others = _per_point(points, k, id_column)
     if k == 1:

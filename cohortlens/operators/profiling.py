@@ -64,7 +64,7 @@ def missing_profile(df: DataFrame, threshold: float = 0.20) -> DataFrame:
 
 
 def numeric_summary(
-    df: DataFrame, columns: list[str] | None = None, in_memory_rows: int = 1_000_000
+    df: DataFrame, columns: list[str] | None = None, in_memory_rows: int = 100_000
 ) -> DataFrame:
     """(column, count, mean, std, min, q1, q2, q3, max) per numeric column."""
     df = nan_to_null(df)
@@ -123,7 +123,7 @@ def categorical_counts(
 
 
 def iqr_outliers(
-    df: DataFrame, columns: list[str] | None = None, in_memory_rows: int = 1_000_000
+    df: DataFrame, columns: list[str] | None = None, in_memory_rows: int = 100_000
 ) -> DataFrame:
     """(column, outliers): values strictly outside 1.5 IQR of the quartiles."""
     df = nan_to_null(df)

@@ -118,7 +118,7 @@ def fit_standard(df: DataFrame, columns, log: bool = False) -> tuple[Scale, ...]
     )
 
 
-def fit_robust(df: DataFrame, columns, in_memory_rows: int = 1_000_000) -> tuple[Scale, ...]:
+def fit_robust(df: DataFrame, columns, in_memory_rows: int = 100_000) -> tuple[Scale, ...]:
     """Median and interquartile range."""
     quartiles = exact_quantiles(df, list(columns), [0.25, 0.5, 0.75], in_memory_rows)
     return tuple(
