@@ -18,7 +18,7 @@ from cohortlens.operators.linkage import ward_clusters
 from cohortlens.operators.profiling import flag_correlated_pairs, pearson_matrix
 from cohortlens.operators.profiles import NUMERIC_COLUMNS, cluster_profile
 from cohortlens.operators.scaling import fit_feature_map, pca_loadings
-from cohortlens.session import kept
+from cohortlens.session import cut_lineage, kept
 
 
 @dataclass(frozen=True)
@@ -91,8 +91,14 @@ def _compare(train: DataFrame, validation: DataFrame, grid: Grid) -> dict[str, D
     reports["pca_loadings"] = pca_loadings(spark, fit_feature_map(train, "pca", 2))
 
     numeric = fit_feature_map(train, "numeric_only")
-    ids = train.select(F.xxhash64("customer_id").alias("id"), numeric.features().alias("features"))
-    with kept(ids) as points:
+    # written down once, so the row numbers stay the same in every job
+    points = cut_lineage(
+        train.select(
+            F.monotonically_increasing_id().alias("id"), numeric.features().alias("features")
+        )
+    )
+    density_rows = []
+    with kept(points):
         if grid.ward_counts:
             ward = ward_clusters(points, list(grid.ward_counts), grid.ward_neighbours)
             rows += selection.evaluate_fit_scope(
@@ -101,7 +107,6 @@ def _compare(train: DataFrame, validation: DataFrame, grid: Grid) -> dict[str, D
                 "numeric_only",
                 grid.cell_width,
             )
-        density_rows = []
         for size in grid.density_sizes:
             labelled = points.join(density_clusters(points, size), "id")
             found = labelled.filter("cluster >= 0").select("cluster").distinct().count()

@@ -8,14 +8,23 @@ tables are aggregates of the events.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortlens.operators import clustering, neighbours, quality, scaling, scoring, selection
+from cohortlens.operators.density import density_clusters
+from cohortlens.operators.linkage import ward_clusters
 from cohortlens.operators.profiles import cluster_profile
+from cohortlens.operators.splits import frames, split_random
+from cohortlens.plans.compare import Grid, compare
 from cohortlens.plans.customer_queries import FEATURES_SQL, feature_rows
 from cohortlens.plans.registry import Query
+from cohortlens.plans.stages import Options, run_stages
 from cohortlens.session import scratch_path
+from cohortlens.sources.contract import CONTRACT
+from cohortlens.sources.transactions import star_transactions
 
 
 def _sql(select: str, *ctes: str) -> str:
@@ -138,8 +147,6 @@ def _mixture(spark, folder):
 
 
 def _halves(spark, folder):
-    from cohortlens.operators.splits import frames, split_random
-
     return frames(split_random(feature_rows(spark, folder)))
 
 
@@ -189,6 +196,58 @@ def _reloaded(spark, folder):
     return scoring.score_feature_table(features, scoring.load_model(spark, path))
 
 
+def _unlabelled(spark, folder):
+    return spark.read.parquet(f"{folder}/embeddings.parquet").select(
+        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("features")
+    )
+
+
+def _ward(spark, folder):
+    return ward_clusters(_unlabelled(spark, folder), [3, 4, 5, 6, 7])
+
+
+def _density(spark, folder):
+    return density_clusters(_unlabelled(spark, folder), 5)
+
+
+def _stage_run(spark, folder):
+    df = star_transactions(spark, folder)
+    ids = ("order_id", "customer_id", "product_id")
+    source = df.withColumns({c: F.col(c).cast("string") for c in ids})
+    out = scratch_path(spark, "run")
+    result = run_stages(
+        source,
+        out,
+        Options(
+            contract=CONTRACT.restricted_to(source.columns),
+            allowed_categories={"return_status": ["No Return", "Returned"]},
+            allow_duplicate_rows=True,
+            as_of="2000-01-01",
+        ),
+    )
+    if result.status != "succeeded":
+        raise RuntimeError(f"{result.failed_stage}: {result.error}")
+    bundle = scoring.load_model(spark, f"{out}/models/best")
+    features = spark.read.parquet(f"{out}/customer_features")
+    return scoring.attach_profile(
+        scoring.assign_clusters(features, bundle), bundle.profile
+    ).select("customer_id", "cluster", "cluster_size", "preferred_category")
+
+
+def _comparison_run(spark, folder):
+    split = _halves(spark, folder)
+    grid = Grid(
+        kmeans_counts=(3,),
+        mixture_counts=(),
+        ward_counts=(),
+        pca_options=(2,),
+        pca2_counts=(),
+        density_sizes=(),
+        seeds=(42, 43),
+    )
+    return compare(split["train"], split["validation"], grid)["selection"]
+
+
 # --- given labels: the vectors ---
 
 
@@ -254,9 +313,6 @@ def _fit_scope(spark, folder):
 
 def _mean_centres(spark, folder):
     """Centres as given numbers: the mean vector of each label."""
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
-
     rows = (
         _vectors(spark, folder)
         .groupBy("cluster")
@@ -561,6 +617,8 @@ QUERIES = [
         _with("SELECT * FROM db", _V, *_bouldin_ctes("v")),
         {"davies_bouldin_score": 6},
     ),
+    Query("ward_clusters", _ward),
+    Query("density_clusters", _density),
     Query("evaluate_candidates", _candidates),
     Query(
         "evaluate_fit_scope",
@@ -676,6 +734,8 @@ QUERIES = [
                  FROM scores GROUP BY model_name)""",
     )),
     Query("save_and_load_model", _reloaded),
+    Query("run_stages", _stage_run),
+    Query("compare_models", _comparison_run),
     Query("assign_clusters", _assigned, _with(_NEAREST, _V, *_bouldin_ctes("v"))),
     Query(
         "attach_profile",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,6 +62,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut_lineages(*frames: DataFrame) -> list[DataFrame]:
+    """``cut_lineage`` of independent frames, written by concurrent jobs."""
+    with ThreadPoolExecutor(len(frames)) as pool:
+        return list(pool.map(cut_lineage, frames))
+
+
 @contextmanager
 def kept(df: DataFrame):
     """Persists ``df`` for the block's jobs, unless its owner already did."""
