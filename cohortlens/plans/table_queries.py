@@ -114,10 +114,10 @@ QUERIES = [
     Query(
         "read_transactions_rejects",
         _csv_rejects,
-        """SELECT 'l_returnflag' AS "column", l_returnflag AS value, 'not a flag' AS reason,
+        """SELECT 'l_returnflag' AS "column", l_returnflag AS value, 'not a valid flag' AS reason,
                   count(*) AS n FROM lineitem GROUP BY l_returnflag
            UNION ALL
-           SELECT 'l_linestatus', l_linestatus, 'not a float', count(*)
+           SELECT 'l_linestatus', l_linestatus, 'not a valid float', count(*)
            FROM lineitem GROUP BY l_linestatus""",
     ),
     Query(

@@ -74,7 +74,7 @@ def read_transactions(
         failed = F.col(name).isNotNull() & _cast(name, kind).isNull()
         if kind == FLOAT:
             failed = failed & (F.lower(F.trim(F.col(name))) != "nan")
-        reason = F.when(failed, F.lit(f"not a {kind}"))
+        reason = F.when(failed, F.lit(f"not a valid {kind}"))
         if kind in (INTEGER, FLAG):
             reason = F.when(F.col(name).isNull(), F.lit("empty")).otherwise(reason)
         cells.append(

@@ -176,10 +176,10 @@ def test_csv_cells(spark, tmp_path):
     assert math.isnan(rows["b"]["x"]) and rows["b"]["f"] is False
     found = {(r["column"], r["value"], r["reason"]) for r in rejects.collect()}
     assert found == {
-        ("n", "bad", "not a integer"),
+        ("n", "bad", "not a valid integer"),
         ("n", None, "empty"),
-        ("x", "oops", "not a float"),
-        ("f", "maybe", "not a flag"),
+        ("x", "oops", "not a valid float"),
+        ("f", "maybe", "not a valid flag"),
     }
     with pytest.raises(CoercionError):
         read_transactions_strict(spark, str(path), contract)
