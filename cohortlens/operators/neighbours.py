@@ -23,6 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortlens.functions.columns import seeded_key
+from cohortlens.session import cut_lineage
 
 MAX_PIVOTS = 1024
 BLOCK_VALUES = 16_384  # doubles per block, about 128 KB
@@ -176,7 +177,8 @@ def nearest_lists(points: DataFrame, k: int, id_column: str = "id") -> DataFrame
     low, high = BLOCK_ROWS
     block_rows = min(high, max(low, BLOCK_VALUES // max(shape["d"] or 1, 1)))
     pivots = _pivots(vectors, shape["n"])
-    cells = _to_cells(vectors, pivots)
+    # both are read several times below, so they are written once
+    cells = cut_lineage(_to_cells(vectors, pivots))
     radii = np.full(len(pivots), -1.0)
     for row in cells.groupBy("cell").agg(F.max("radius").alias("radius")).collect():
         radii[row["cell"]] = row["radius"]  # one row per pivot
@@ -189,7 +191,7 @@ def nearest_lists(points: DataFrame, k: int, id_column: str = "id") -> DataFrame
         asked = _packed(asking, block_rows, "q", answers=False)
         return asked.join(answers, "cell").drop("cell").mapInPandas(kernel, schema)
 
-    own = _best(visit(cells), k)
+    own = cut_lineage(_best(visit(cells), k))
     bounded = cells.join(own, "key").select(
         "key",
         "features",
@@ -211,7 +213,7 @@ def nearest_lists(points: DataFrame, k: int, id_column: str = "id") -> DataFrame
         F.transform("neighbours", lambda x: x["id"]).alias("ids"),
         F.transform("neighbours", lambda x: x["distance"]).alias("distances"),
     ).unionByName(visit(elsewhere))
-    return vectors.join(_best(nearer, k), "key").select("features", "neighbours")
+    return cells.join(_best(nearer, k), "key").select("features", "neighbours")
 
 
 def _per_point(points: DataFrame, k: int, id_column: str) -> tuple[DataFrame, Column]:
@@ -236,7 +238,7 @@ def knn_graph(points: DataFrame, k: int = 10, id_column: str = "id") -> DataFram
     )
 
 
-def coredistances(points: DataFrame, k: int, id_column: str = "id") -> DataFrame:
+def core_distances(points: DataFrame, k: int, id_column: str = "id") -> DataFrame:
     """(id, core_distance): distance to the k-th nearest point, itself counted."""
     joined, others = _per_point(points, k, id_column)
     if k == 1:

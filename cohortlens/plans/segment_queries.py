@@ -22,7 +22,7 @@ from cohortlens.plans.compare import Grid, compare
 from cohortlens.plans.customer_queries import FEATURES_SQL, feature_rows
 from cohortlens.plans.registry import Query
 from cohortlens.plans.stages import Options, run_stages
-from cohortlens.session import scratch_path
+from cohortlens.session import cut_lineage, scratch_path
 from cohortlens.sources.contract import CONTRACT
 from cohortlens.sources.transactions import star_transactions
 
@@ -33,32 +33,40 @@ def _sql(select: str, *ctes: str) -> str:
     return ",\n".join([head.rstrip(), *ctes]) + "\n" + select + tail
 
 
+def feature_table(spark, folder):
+    """Customer features as a written table, as the stages hand them on.
+
+    Fitting takes several passes, which then read the table and not the lines.
+    """
+    return cut_lineage(feature_rows(spark, folder))
+
+
 # --- transforms of the customer features ---
 
 
 def _standard(spark, folder):
-    df = feature_rows(spark, folder)
+    df = feature_table(spark, folder)
     return scaling.scaled_columns(
         df, scaling.fit_standard(df, scaling.STANDARD_COLUMNS), "customer_id"
     )
 
 
 def _log1p(spark, folder):
-    df = feature_rows(spark, folder)
+    df = feature_table(spark, folder)
     return scaling.scaled_columns(
         df, scaling.fit_standard(df, scaling.SKEWED_COLUMNS, log=True), "customer_id"
     )
 
 
 def _robust(spark, folder):
-    df = feature_rows(spark, folder)
+    df = feature_table(spark, folder)
     return scaling.scaled_columns(
         df, scaling.fit_robust(df, scaling.STANDARD_COLUMNS), "customer_id"
     )
 
 
 def _one_hot(spark, folder):
-    df = feature_rows(spark, folder).select("customer_id", *scaling.CATEGORY_COLUMNS)
+    df = feature_table(spark, folder).select("customer_id", *scaling.CATEGORY_COLUMNS)
     hot = scaling.one_hot_columns(
         df, scaling.fit_levels(df, scaling.CATEGORY_COLUMNS), "customer_id"
     )
@@ -68,7 +76,7 @@ def _one_hot(spark, folder):
 
 def _long_features(variant):
     def build(spark, folder):
-        df = feature_rows(spark, folder)
+        df = feature_table(spark, folder)
         fitted = scaling.fit_feature_map(df, variant)
         names = F.array(*[F.lit(n) for n in fitted.feature_names()])
         return fitted.transform(df, "customer_id").select(
@@ -104,7 +112,7 @@ _MEDIANS = "medians AS (SELECT " + ", ".join(
 
 
 def _pca(spark, folder):
-    df = feature_rows(spark, folder)
+    df = feature_table(spark, folder)
     fitted = scaling.fit_feature_map(df, "pca", 2)
     return fitted.transform(df, "customer_id").select(
         "customer_id",
@@ -115,7 +123,7 @@ def _pca(spark, folder):
 
 def _loadings(variant):
     def build(spark, folder):
-        df = feature_rows(spark, folder)
+        df = feature_table(spark, folder)
         return scaling.pca_loadings(spark, scaling.fit_feature_map(df, variant, 2))
 
     return build
@@ -125,7 +133,7 @@ def _loadings(variant):
 
 
 def _points(spark, folder, variant="pca", n_components=2):
-    df = feature_rows(spark, folder)
+    df = feature_table(spark, folder)
     fitted = scaling.fit_feature_map(df, variant, n_components)
     return fitted.transform(df, "customer_id", "monetary_value")
 
@@ -147,7 +155,7 @@ def _mixture(spark, folder):
 
 
 def _halves(spark, folder):
-    return frames(split_random(feature_rows(spark, folder)))
+    return frames(split_random(feature_table(spark, folder)))
 
 
 def _candidates(spark, folder):
@@ -185,12 +193,17 @@ def _sweep(spark, folder):
 
 
 def _trained(spark, folder):
-    bundle = scoring.train_segmentation(feature_rows(spark, folder))
+    bundle = scoring.train_segmentation(feature_table(spark, folder))
     return bundle.profile
 
 
+def _scored(spark, folder):
+    features = feature_table(spark, folder)
+    return scoring.score_feature_table(features, scoring.train_segmentation(features))
+
+
 def _reloaded(spark, folder):
-    features = feature_rows(spark, folder)
+    features = feature_table(spark, folder)
     path = scratch_path(spark, "model")
     scoring.promote(scoring.train_segmentation(features), path)
     return scoring.score_feature_table(features, scoring.load_model(spark, path))
@@ -747,8 +760,7 @@ QUERIES = [
         ),
         {"monetary_value": 2},
     ),
-    Query("score_feature_table", lambda s, f: scoring.score_feature_table(
-        feature_rows(s, f), scoring.train_segmentation(feature_rows(s, f)))),
+    Query("score_feature_table", _scored),
     Query(
         "cluster_distribution",
         lambda s, f: scoring.cluster_distribution(_vectors(s, f)),
