@@ -42,7 +42,8 @@ class Grid:
 
 def _stable_grid(grid: Grid) -> list[tuple[str, str, int | None, int]]:
     """(key, variant, components, clusters) of every stability candidate, in order."""
-    rows = [(f"pca_{n}_baseline_kmeans_2", "pca", n, 2) for n in grid.pca_options]
+    options = dict.fromkeys((grid.pca_components, *grid.pca_options))
+    rows = [(f"pca_{n}_baseline_kmeans_2", "pca", n, 2) for n in options]
     rows += [(f"pca_2_kmeans_{k}", "pca", 2, k) for k in grid.pca2_counts]
     rows.append(("robust_numeric_baseline_kmeans_2", "robust_numeric", None, 2))
     rows.append(("robust_pca_baseline_kmeans_2", "robust_pca", grid.pca_components, 2))
@@ -94,10 +95,12 @@ def _compare(train: DataFrame, validation: DataFrame, grid: Grid) -> dict[str, D
     # written down once, so the row numbers stay the same in every job
     points = cut_lineage(
         train.select(
-            F.monotonically_increasing_id().alias("id"), numeric.features().alias("features")
+            F.monotonically_increasing_id().alias("id"),
+            "customer_id",
+            numeric.features().alias("features"),
         )
     )
-    density_rows = []
+    density_rows, density_labels = [], {}
     with kept(points):
         if grid.ward_counts:
             ward = ward_clusters(points, list(grid.ward_counts), grid.ward_neighbours)
@@ -113,9 +116,11 @@ def _compare(train: DataFrame, validation: DataFrame, grid: Grid) -> dict[str, D
             if found < 2:
                 raise ValueError(f"min_cluster_size {size} left fewer than two clusters")
             scored = selection.evaluate_non_noise(labelled, "cluster", grid.cell_width).first()
+            name = f"hdbscan_min_cluster_size_{size}"
+            density_labels[name] = labelled.select("customer_id", "cluster")
             density_rows.append(
                 {
-                    "model_name": f"hdbscan_min_cluster_size_{size}",
+                    "model_name": name,
                     "representation": "numeric_only",
                     "scoring_scope": "train_fit_non_noise",
                     "n_clusters_or_components": scored["n_clusters"],
@@ -179,6 +184,10 @@ def _compare(train: DataFrame, validation: DataFrame, grid: Grid) -> dict[str, D
         reports["size_diagnostics"] = selection.cluster_size_diagnostics(seed_labels)
 
     best = selection.winner(reports["selection"])["model_name"]
+    if best in density_labels:
+        labels = density_labels[best].withColumnRenamed("customer_id", "_customer")
+        same = F.col("customer_id").eqNullSafe(F.col("_customer"))
+        reports["winner_profile"] = cluster_profile(train.join(labels, same).drop("_customer"))
     for key, variant, n, k in _stable_grid(grid):
         if key == best:
             fitted = fit_feature_map(train, variant, n)
