@@ -122,8 +122,8 @@ def test_resample_keeps_empty_periods_and_null_change_after_zero(spark):
     assert [r["rolling_mean"] for r in weekly] == [2.0, 1.0, 0.0, 3.0]
 
 
-def test_known_gap_dates(spark):
-    # the published gap days of the reference year
+def test_gap_pattern_at_month_end(spark):
+    # three days that end a month
     dates = ["03-29", "03-30", "03-31"]
     gaps = spark.createDataFrame([(day(f"2024-{d}"),) for d in dates], "order_date date")
     row = sales.zero_day_pattern(gaps).first()
