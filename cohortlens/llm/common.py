@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -54,22 +54,29 @@ def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(start, SLICE_ROWS)
 
 
-def bounded_sample(
-    rows: DataFrame, size: Column, by: list[str], most_rows: int, most_size: int
-) -> DataFrame:
-    """For each key of ``by`` the first rows in hash order, up to both bounds.
+def bounded_sample(rows: DataFrame, key: str, most_rows: int, most_chars: int) -> list:
+    """For each value of ``key`` at most ``most_rows`` rows with at most ``most_chars`` of text.
 
-    A first cut keeps ``most_rows`` rows of each key with map-side top-n; the
-    running size is then summed over that bounded rest only.
+    Rows (doc_id, text, key) are chosen by a hash of their id: a threshold from
+    the value's row count keeps about twice the bound, and the smallest hashes of
+    those, up to both bounds, are returned. Few distinct values are expected.
     """
-    from pyspark.sql import Window
-
-    keyed = rows.withColumn("_size", size)
-    order = Window.partitionBy(*by).orderBy("_order")
-    first = keyed.withColumn("_row", F.row_number().over(order)).where(F.col("_row") <= most_rows)
-    total = F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    counts = rows.groupBy(key).count().collect()
+    order = F.xxhash64(F.col("doc_id").cast("string"))
+    keep = F.lit(False)
+    for r in counts:
+        every = max(1, r["count"] // (2 * most_rows))
+        keep = keep | ((F.col(key) == F.lit(r[key])) & (F.pmod(order, F.lit(every)) == 0))
+    by = Window.partitionBy(key).orderBy("_order", "text")
+    size = F.sum(F.length("text")).over(by.rowsBetween(Window.unboundedPreceding, 0))
     return (
-        first.withColumn("_total", total)
-        .where((F.col("_total") <= most_size) | (F.col("_row") == 1))
-        .drop("_size", "_row", "_total", "_order")
+        rows.where(keep)
+        .withColumn("_order", order)
+        .withColumn("_row", F.row_number().over(by))
+        .where(F.col("_row") <= most_rows)
+        .withColumn("_size", size)
+        .where(F.col("_size") <= most_chars)
+        .orderBy(key, "_row")
+        .select(key, "text")
+        .collect()
     )

@@ -8,7 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import chat, decontamination, mixing, secrets, tokens
+from cohortlens.llm import (
+    chat,
+    compression,
+    decontamination,
+    languages,
+    mixing,
+    secrets,
+    tokens,
+    toxicity,
+)
 from cohortlens.llm.common import table
 
 #: Folder of the public tokenizers' vocabulary files.
@@ -23,6 +32,10 @@ def op1_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(table(spark, folder, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.rate(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, folder, "documents"))
 
@@ -54,6 +67,14 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_ppm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return compression.score_texts(table(spark, folder, "documents"))
+
+
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return languages.identify(table(spark, folder, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return tokens.count_tokens(docs, os.path.join(TOKENIZERS, "byte_bpe_50k.json"))
@@ -265,7 +286,10 @@ FROM d LEFT JOIN covered USING (rid) LEFT JOIN named USING (rid)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mix": op1_source_mix,
+    "op3_toxicity": op3_toxicity,
     "op4_secret_scan": op4_secret_scan,
+    "op5_ppm_score": op5_ppm_score,
+    "op6_language_id": op6_language_id,
     "op8_token_counts": op8_token_counts,
     "op9_decontamination": op9_decontamination,
     "op10_chat_windows": op10_chat_windows,
