@@ -14,6 +14,7 @@ from cohortlens.llm import (
     decontamination,
     languages,
     mixing,
+    near_duplicates,
     secrets,
     tokens,
     toxicity,
@@ -32,6 +33,12 @@ def op1_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(table(spark, folder, "documents"))
 
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, folder, "documents")).select(
+        "doc_id", "class_id", "n_links", "n_copies"
+    )
+
+
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.rate(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -286,6 +293,7 @@ FROM d LEFT JOIN covered USING (rid) LEFT JOIN named USING (rid)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mix": op1_source_mix,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_toxicity": op3_toxicity,
     "op4_secret_scan": op4_secret_scan,
     "op5_ppm_score": op5_ppm_score,
