@@ -118,7 +118,7 @@ def test_empty_tables(frame):
     assert nd.drop_near_duplicates(_frame(frame, [(1, None)])).count() == 1
 
 
-@pytest.mark.parametrize("target, depth", [(0.9, 8), (0.9995, 4), (0.99999, 3)])
+@pytest.mark.parametrize("target, depth", [(0.9, 8), (0.9995, 4), (0.99999, 2)])
 def test_depth(target, depth):
     got = nd.depth_for_recall(0.8, 16, 8, target)
     assert 1 - (1 - 0.8**got) ** 16 >= target and got <= 8
