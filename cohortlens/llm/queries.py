@@ -8,10 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cohortlens.llm import (
     chat,
     compression,
     decontamination,
+    graph_search,
     languages,
     mixing,
     near_duplicates,
@@ -82,6 +84,11 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return languages.identify(table(spark, folder, "documents"))
 
 
+def op7_vector_search(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    return graph_search.search(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return tokens.count_tokens(docs, os.path.join(TOKENIZERS, "byte_bpe_50k.json"))
@@ -298,9 +305,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secret_scan": op4_secret_scan,
     "op5_ppm_score": op5_ppm_score,
     "op6_language_id": op6_language_id,
+    "op7_vector_search": op7_vector_search,
     "op8_token_counts": op8_token_counts,
     "op9_decontamination": op9_decontamination,
     "op10_chat_windows": op10_chat_windows,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -309,3 +318,5 @@ ORACLE_SQL: dict[str, str] = {
     "op9_decontamination": OP9_SQL,
     "op10_chat_windows": OP10_SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
