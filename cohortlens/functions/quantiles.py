@@ -10,50 +10,47 @@ from pyspark.sql import functions as F
 from cohortlens.session import kept
 
 SKETCH_ACCURACY = 1000
-COLLECTED_VALUES = 100_000
+#: Values of an open interval that are counted one by one instead of being sketched again.
+INTERVAL_VALUES = 100_000
 
 
 def exact_quantiles(
     df: DataFrame,
     columns: list[str],
     probabilities: list[float],
-    in_memory_rows: int = 100_000,
+    interval_values: int = INTERVAL_VALUES,
 ) -> dict[str, list[float | None]]:
     """Exact quantiles per column; the result is columns x probabilities numbers.
 
-    Spark's ``percentile`` keeps every distinct value in one buffer, which is
-    fine up to ``in_memory_rows`` values. Larger columns are searched instead:
-    each round brackets the wanted order statistic with a quantile sketch,
-    counts exactly what lies below the bracket, and goes on inside it. No row
-    is shuffled and the exact counts, not the sketch, decide.
+    Each round brackets the wanted order statistics with a quantile sketch,
+    counts exactly what lies below the brackets, and goes on inside them, until
+    at most ``interval_values`` values are left; their distinct values are
+    counted. No row is shuffled and the exact counts, not the sketch, decide, so
+    the result is the same for every ``interval_values``. Null and NaN are left
+    out; infinities are values like any other. Without values a quantile is null.
     """
     counts = df.agg(*[F.count(_value(c)).alias(c) for c in columns]).first()
-    small = [c for c in columns if counts[c] <= in_memory_rows]
-    result: dict[str, list[float | None]] = {}
-    if small:
-        row = df.agg(
-            *[F.percentile(_value(c), F.lit(probabilities)).alias(c) for c in small]
-        ).first()
-        for c in small:
-            result[c] = list(row[c]) if row[c] is not None else [None] * len(probabilities)
-    large = [c for c in columns if c not in small]
-    if large:
-        wanted = {}
-        for c in large:
-            for p in probabilities:
-                position = (counts[c] - 1) * p
-                wanted[c, p] = (math.floor(position), math.ceil(position), position)
-        ranks = {(c, k) for (c, _), (lo, hi, _) in wanted.items() for k in (lo, hi)}
-        with kept(df.select(*large)) as narrow:
-            found = _order_statistics(
-                narrow, sorted(ranks), counts, min(in_memory_rows, COLLECTED_VALUES)
-            )
-        for c in large:
-            result[c] = []
-            for p in probabilities:
-                lo, hi, position = wanted[c, p]
-                low, high = found[c, lo], found[c, hi]
-                result[c].append(low + (high - low) * (position - lo))
+    wanted = {}
+    for c in columns:
+        for p in probabilities if counts[c] else ():
+            position = (counts[c] - 1) * p
+            wanted[c, p] = (math.floor(position), math.ceil(position), position)
+    shares = {(c, k): p for (c, p), (lo, hi, _) in wanted.items() for k in (hi, lo)}
+    if shares:
+        with kept(df.select(*[c for c in columns if counts[c]])) as narrow:
+            found = _order_statistics(narrow, shares, counts, interval_values)
+    result = {}
+    for c in columns:
+        result[c] = []
+        for p in probabilities:
+            if (c, p) not in wanted:
+                result[c].append(None)
+                continue
+            lo, hi, position = wanted[c, p]
+            low, high = found[c, lo], found[c, hi]
+            # equal ends first: between two infinities there is nothing to interpolate
+            between = (hi - position) * low + (position - lo) * high
+            result[c].append(low if lo == hi or low == high else between)
     return result
 
 
@@ -61,33 +58,46 @@ def _value(name: str) -> Column:
     return F.nanvl(F.col(name).cast("double"), F.lit(None))
 
 
-def _order_statistics(df, targets, counts, collected_values):
-    """Value at each 0-based rank: {(column, rank): value}."""
+def _inside(value: Column, low: float | None, high: float | None) -> Column:
+    """Whether ``value`` lies in the open interval; a null end is no end."""
+    inside = value.isNotNull()
+    if low is not None:
+        inside = inside & (value > F.lit(low))
+    if high is not None:
+        inside = inside & (value < F.lit(high))
+    return inside
+
+
+def _order_statistics(df, targets, counts, interval_values):
+    """Value at each 0-based rank of ``targets`` {(column, rank): its probability}."""
     # open interval (low, high), number of values <= low, number inside
-    state = {t: (-math.inf, math.inf, 0, counts[t[0]]) for t in targets}
+    state = {t: (None, None, 0, counts[t[0]]) for t in targets}
     found: dict[tuple[str, int], float] = {}
 
     margin = 2 / SKETCH_ACCURACY
     while True:
-        wide = [t for t in targets if t not in found and state[t][3] > collected_values]
+        wide = [t for t in targets if t not in found and state[t][3] > interval_values]
         if not wide:
             break
-        # targets that still share an interval share one sketch of it
-        shared: dict[tuple, list] = {}
+        # targets that still share an interval share one sketch of it, and the two
+        # neighbours that one probability falls between share its bracket
+        shared: dict[tuple, dict[float, list]] = {}
         for target in wide:
-            shared.setdefault((target[0], *state[target]), []).append(target)
+            own = shared.setdefault((target[0], *state[target]), {})
+            own.setdefault(targets[target], []).append(target)
         proposals = []
-        for i, ((column, low, high, below, size), members) in enumerate(shared.items()):
+        for i, ((column, low, high, below, size), own) in enumerate(shared.items()):
             value = _value(column)
-            shares = [(t[1] - below) / size for t in members]
-            edges = [e for x in shares for e in (max(x - margin, 0.0), min(x + margin, 1.0))]
-            within = F.when((value > F.lit(low)) & (value < F.lit(high)), value)
+            places = [(members[0][1] - below) / size for members in own.values()]
+            edges = [e for x in places for e in (max(x - margin, 0.0), min(x + margin, 1.0))]
+            within = F.when(_inside(value, low, high), value)
             proposals.append(F.percentile_approx(within, edges, SKETCH_ACCURACY).alias(f"b{i}"))
         row = df.agg(*proposals).first()
         brackets = {}
-        for i, members in enumerate(shared.values()):
-            for j, target in enumerate(members):
-                brackets[target] = (row[i][2 * j], row[i][2 * j + 1])
+        for i, own in enumerate(shared.values()):
+            for j, members in enumerate(own.values()):
+                for target in members:
+                    brackets[target] = (row[i][2 * j], row[i][2 * j + 1])
         checked = sorted({(t[0], edge) for t in wide for edge in brackets[t]})
         seen = df.agg(
             *[
@@ -125,13 +135,13 @@ def _order_statistics(df, targets, counts, collected_values):
     if not narrow:
         return found
     # one pass counts the values of all remaining intervals; each holds at most
-    # collected_values rows, so that is what comes back per interval
+    # interval_values rows, so that is what comes back per interval
     picked = []
     for i, (column, low, high, _, _) in enumerate(narrow):
         value = _value(column)
         picked.append(
             F.when(
-                (value > F.lit(low)) & (value < F.lit(high)),
+                _inside(value, low, high),
                 F.struct(F.lit(i).alias("interval"), value.alias("v")),
             )
         )

@@ -20,6 +20,7 @@ from cohortlens.operators.validation import check_duplicates, null_rates
 from cohortlens.sources.contract import POST_OUTCOME, snake
 
 ID_COLUMNS = ("customer_id", "order_id", "product_id")
+# Fixed value: the amounts checked for negative values.
 AMOUNT_COLUMNS = ("gross_sales_usd", "net_sales_usd", "total_order_value_usd")
 
 
@@ -63,13 +64,22 @@ def missing_profile(df: DataFrame, threshold: float = 0.20) -> DataFrame:
     )
 
 
+Quartiles = dict[str, list[float | None]]
+
+
+def quartiles(df: DataFrame, columns: list[str] | None = None) -> Quartiles:
+    """Exact quartiles of numeric columns, for the operators below to share."""
+    df = nan_to_null(df)
+    return exact_quantiles(df, columns or numeric_columns(df), [0.25, 0.5, 0.75])
+
+
 def numeric_summary(
-    df: DataFrame, columns: list[str] | None = None, in_memory_rows: int = 100_000
+    df: DataFrame, columns: list[str] | None = None, known: Quartiles | None = None
 ) -> DataFrame:
     """(column, count, mean, std, min, q1, q2, q3, max) per numeric column."""
     df = nan_to_null(df)
     columns = columns or numeric_columns(df)
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], in_memory_rows)
+    known = known or quartiles(df, columns)
     aggregates, rows = [], []
     for i, c in enumerate(columns):
         value = F.col(c).cast("double")
@@ -80,7 +90,7 @@ def numeric_summary(
             F.min(value).alias(f"l{i}"),
             F.max(value).alias(f"h{i}"),
         ]
-        q1, q2, q3 = (F.lit(q).cast("double") for q in quartiles[c])
+        q1, q2, q3 = (F.lit(q).cast("double") for q in known[c])
         rows.append(
             {
                 "column": F.lit(c),
@@ -123,15 +133,15 @@ def categorical_counts(
 
 
 def iqr_outliers(
-    df: DataFrame, columns: list[str] | None = None, in_memory_rows: int = 100_000
+    df: DataFrame, columns: list[str] | None = None, known: Quartiles | None = None
 ) -> DataFrame:
     """(column, outliers): values strictly outside 1.5 IQR of the quartiles."""
     df = nan_to_null(df)
     columns = columns or numeric_columns(df)
-    quartiles = exact_quantiles(df, columns, [0.25, 0.75], in_memory_rows)
+    known = known or quartiles(df, columns)
     counts = []
     for i, c in enumerate(columns):
-        q1, q3 = quartiles[c]
+        q1, _, q3 = known[c]
         if q1 is None:
             counts.append(F.count_if(F.lit(False)).alias(f"o{i}"))
             continue

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from cohortlens.functions.quantiles import exact_quantiles
 from cohortlens.functions.vectors import dot, literal_vector
 
+# The columns of each kind, in their published order.
 STANDARD_COLUMNS = (
     "recency_days",
     "frequency",
@@ -28,7 +29,6 @@ STANDARD_COLUMNS = (
 )
 SKEWED_COLUMNS = ("monetary_value", "avg_order_value")
 CATEGORY_COLUMNS = ("preferred_category", "preferred_payment_method")
-MAX_LEVELS = 1000
 
 
 @dataclass(frozen=True)
@@ -63,19 +63,28 @@ class FeatureMap:
         names += [f"{c}={level}" for c, levels in self.levels for level in levels]
         return names
 
-    def inputs(self) -> list[Column]:
-        """Scaled and one-hot columns, before any projection."""
-        columns = [s.expression() for s in self.scales]
+    def inputs(self) -> Column:
+        """array<double>: scaled and one-hot values, before any projection.
+
+        A category column is one expression, whatever the number of its levels.
+        """
+        parts = [F.array(*[s.expression() for s in self.scales])]
         for c, levels in self.levels:
-            columns += [
-                F.coalesce((F.col(c) == F.lit(level)).cast("double"), F.lit(0.0))
-                for level in levels
-            ]
-        return columns
+            if levels:
+                known = F.lit(list(levels))
+                parts.append(
+                    F.transform(
+                        known,
+                        lambda level, c=F.col(c): F.coalesce(
+                            (c == level).cast("double"), F.lit(0.0)
+                        ),
+                    )
+                )
+        return F.concat(*parts)
 
     def features(self) -> Column:
         """array<double>: the inputs, or their centred projection."""
-        inputs = F.array(*self.inputs())
+        inputs = self.inputs()
         if not self.components:
             return inputs
         centred = F.zip_with(inputs, literal_vector(self.means), lambda x, m: x - m)
@@ -118,33 +127,32 @@ def fit_standard(df: DataFrame, columns, log: bool = False) -> tuple[Scale, ...]
     )
 
 
-def fit_robust(df: DataFrame, columns, in_memory_rows: int = 100_000) -> tuple[Scale, ...]:
-    """Median and interquartile range."""
-    quartiles = exact_quantiles(df, list(columns), [0.25, 0.5, 0.75], in_memory_rows)
-    return tuple(
-        Scale(c, quartiles[c][1], _spread(quartiles[c][2] - quartiles[c][0])) for c in columns
-    )
+def fit_robust(df: DataFrame, columns) -> tuple[Scale, ...]:
+    """Median and interquartile range; a column without values stays without."""
+    scales = []
+    for c, (q1, q2, q3) in exact_quantiles(df, list(columns), [0.25, 0.5, 0.75]).items():
+        scales.append(Scale(c, q2, _spread(None if q1 is None else q3 - q1)))
+    return tuple(scales)
 
 
 def fit_levels(df: DataFrame, columns) -> tuple[tuple[str, tuple[str, ...]], ...]:
-    """Sorted levels per category column; columns with too many are refused."""
-    result = []
-    for c in columns:
-        found = df.select(c).filter(F.col(c).isNotNull()).distinct().limit(MAX_LEVELS + 1)
-        levels = sorted(row[0] for row in found.collect())
-        if len(levels) > MAX_LEVELS:
-            raise ValueError(f"{c} has more than {MAX_LEVELS} levels")
-        result.append((c, tuple(levels)))
-    return tuple(result)
+    """Sorted levels per category column; the fitted transform holds one entry for each."""
+    found = df.select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("level")) for c in columns]))
+    ).filter(F.col("level").isNotNull())
+    levels: dict[str, list[str]] = {c: [] for c in columns}
+    for row in found.distinct().collect():
+        levels[row["name"]].append(row["level"])
+    return tuple((c, tuple(sorted(levels[c]))) for c in columns)
 
 
 def fit_pca(df: DataFrame, fitted: FeatureMap, n_components: int) -> FeatureMap:
     """Adds a centred projection; the largest loading of each axis is positive."""
     if n_components <= 0:
         raise ValueError("n_components must be positive")
-    inputs = fitted.inputs()
-    rows = df.select(F.array(*inputs).alias("inputs"))
-    means = rows.agg(*[F.avg(F.col("inputs")[i]) for i in range(len(inputs))]).first()
+    rows = df.select(fitted.inputs().alias("inputs"))
+    width = len(fitted.feature_names())
+    means = rows.agg(*[F.avg(F.col("inputs")[i]) for i in range(width)]).first()
     model = PCA(k=n_components, inputCol="vector", outputCol="projected").fit(
         rows.select(array_to_vector("inputs").alias("vector"))
     )
