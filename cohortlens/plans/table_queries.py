@@ -9,7 +9,11 @@ from cohortlens.plans.registry import Query, over_t
 from cohortlens.session import scratch_path
 from cohortlens.sources.contract import DATE, FLAG, FLOAT, INTEGER, TEXT, Contract
 from cohortlens.sources.tables import read_features, write_report, write_table
-from cohortlens.sources.transactions import read_transactions, star_transactions
+from cohortlens.sources.transactions import (
+    read_cells,
+    read_transactions,
+    star_transactions,
+)
 
 _CSV_COLUMNS = {
     "order_id": TEXT,
@@ -42,6 +46,34 @@ def _csv_rejects(spark, folder):
     return rejects.groupBy("column", "value", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _texts_back(spark, folder):
+    """Whole texts with quotes and line breaks, written as CSV and read again."""
+    path = scratch_path(spark, "texts-csv")
+    write_table(
+        spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "source"),
+        path,
+        "csv",
+    )
+    cells, _ = read_cells(spark, path, multi_line=True, missing_cells=("",))
+    return cells.select(F.col("doc_id").cast("bigint"), F.md5("text").alias("text_md5"), "source")
+
+
+def _malformed_texts(spark, folder):
+    """Lines of the documents as records under a header of two cells: few have two."""
+    path = scratch_path(spark, "lines-text")
+    line = F.col("line")
+    lines = spark.read.parquet(f"{folder}/documents.parquet").select(
+        F.explode(F.split("text", "\n")).alias("line")
+    )
+    # a separator that no line holds, so that lines and header are written as they are
+    lines.filter(~line.contains('"') & ~line.contains("\r") & (F.trim(line) != "")).select(
+        line.alias("first,second")
+    ).write.option("header", True).option("sep", "\u0001").csv(path)
+    _, records = read_cells(spark, path)
+    commas = F.length("record") - F.length(F.replace("record", F.lit(",")))
+    return records.groupBy(commas.cast("bigint").alias("commas")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def _csv_truncated(spark, folder):
     path = scratch_path(spark, "prices-csv")
     lines = spark.read.parquet(f"{folder}/lineitem.parquet").select(
@@ -120,6 +152,20 @@ QUERIES = [
            SELECT 'l_linestatus', l_linestatus, 'not a valid float', count(*)
            FROM lineitem GROUP BY l_linestatus""",
     ),
+    Query(
+        "read_cells_texts",
+        _texts_back,
+        "SELECT doc_id, md5(text) AS text_md5, source FROM documents",
+    ),
+    Query(
+        "read_cells_malformed",
+        _malformed_texts,
+        r"""SELECT length(line) - length(replace(line, ',', '')) AS commas, count(*) AS n
+            FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
+            WHERE NOT contains(line, '"') AND NOT contains(line, chr(13)) AND trim(line) <> ''
+              AND length(line) - length(replace(line, ',', '')) <> 1
+            GROUP BY 1""",
+    ),
     Query(
         "read_transactions_truncated",
         _csv_truncated,

@@ -6,12 +6,20 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: How CSV is written and read: quotes are doubled inside quotes, blanks belong to the cell.
+CSV_FORMAT = {
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Overwrite ``path`` with the frame, as parquet or headered CSV."""
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        writer.options(**CSV_FORMAT).option("header", True).csv(path)
     elif fmt == "parquet":
         writer.parquet(path)
     else:
@@ -31,7 +39,7 @@ def read_features(
         reader = reader.schema(schema)
     try:
         if fmt == "csv":
-            df = reader.option("header", True).csv(path)
+            df = reader.options(**CSV_FORMAT).option("header", True).csv(path)
         else:
             df = reader.parquet(path)
     except AnalysisException as error:

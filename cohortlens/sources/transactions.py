@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortlens.sources.contract import (
     DATE,
@@ -14,6 +15,7 @@ from cohortlens.sources.contract import (
     TEXT,
     Contract,
 )
+from cohortlens.sources.tables import CSV_FORMAT
 
 
 class CoercionError(ValueError):
@@ -46,18 +48,64 @@ def _cast(name: str, kind: str) -> Column:
     raise ValueError(f"unknown column kind: {kind}")
 
 
+# The cell texts read as missing.
+MISSING_CELLS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+_MALFORMED = "_malformed_record"
+
+
+def read_cells(
+    spark: SparkSession,
+    path: str,
+    multi_line: bool = False,
+    missing_cells: tuple[str, ...] = MISSING_CELLS,
+) -> tuple[DataFrame, DataFrame]:
+    """Text cells of a headered CSV, and its malformed records.
+
+    Quotes inside quoted cells are doubled. Quoted line breaks need
+    ``multi_line``, which reads each file in one task. A record with more or
+    fewer cells than the header is malformed: it is in the second frame
+    (record) only, as it was written.
+    """
+    names = spark.read.options(**CSV_FORMAT).option("header", True).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*names, _MALFORMED)])
+    raw = (
+        spark.read.options(**CSV_FORMAT)
+        .schema(schema)
+        .option("header", True)
+        .option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", _MALFORMED)
+        # with fewer columns to read the parser would not notice extra or absent cells
+        .option("columnPruning", False)
+        .csv(path)
+    )
+    malformed = F.col(_MALFORMED).isNotNull()
+    cells = raw.filter(~malformed).select(
+        *[F.when(~F.col(f"`{c}`").isin(*missing_cells), F.col(f"`{c}`")).alias(c) for c in names]
+    )
+    # a condition on the cells that always holds: Spark refuses to read the record alone
+    read = F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in names])) >= 0
+    records = raw.filter(malformed & read).select(F.col(_MALFORMED).alias("record"))
+    return cells, records
+
+
 def read_transactions(
     spark: SparkSession,
     path: str,
     contract: Contract = RAW_CONTRACT,
+    multi_line: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Typed rows and rejected cells of a headered CSV.
+    """Typed rows and rejects of a headered CSV.
 
     Every cell is read as text and cast with ``try_cast``, so a bad cell turns
     into one row of the rejects frame (column, value, reason) instead of
-    ending the job. Empty cells of integer and flag columns are rejects too.
+    ending the job. Empty cells of integer and flag columns are rejects too. A
+    record with too many or too few cells is one reject without a column, and
+    no row.
     """
-    raw = spark.read.option("header", True).csv(path)
+    raw, records = read_cells(spark, path, multi_line)
     missing = [c for c in contract.columns if c not in raw.columns]
     if missing:
         raise CoercionError(f"columns missing from {path}: {missing}")
@@ -72,8 +120,6 @@ def read_transactions(
         if kind == TEXT:
             continue
         failed = F.col(name).isNotNull() & _cast(name, kind).isNull()
-        if kind == FLOAT:
-            failed = failed & (F.lower(F.trim(F.col(name))) != "nan")
         reason = F.when(failed, F.lit(f"not a valid {kind}"))
         if kind in (INTEGER, FLAG):
             reason = F.when(F.col(name).isNull(), F.lit("empty")).otherwise(reason)
@@ -87,20 +133,29 @@ def read_transactions(
                 ),
             )
         )
-    rejects = raw.select(F.inline(F.array_compact(F.array(*cells))))
+    rejects = records.select(
+        F.lit(None).cast("string").alias("column"),
+        F.col("record").alias("value"),
+        F.lit("wrong number of cells").alias("reason"),
+    )
+    if cells:
+        rejects = raw.select(F.inline(F.array_compact(F.array(*cells)))).unionByName(rejects)
     return typed, rejects
 
 
 def read_transactions_strict(
-    spark: SparkSession, path: str, contract: Contract = RAW_CONTRACT
+    spark: SparkSession,
+    path: str,
+    contract: Contract = RAW_CONTRACT,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Typed rows; the first rejected cell ends the load with one error."""
-    typed, rejects = read_transactions(spark, path, contract)
+    typed, rejects = read_transactions(spark, path, contract, multi_line)
     first = rejects.limit(1).collect()
     if first:
-        raise CoercionError(
-            f"{path}: column {first[0]['column']} {first[0]['reason']}: {first[0]['value']!r}"
-        )
+        column, value, reason = first[0]
+        where = f"column {column} " if column else ""
+        raise CoercionError(f"{path}: {where}{reason}: {value!r}")
     return typed
 
 
