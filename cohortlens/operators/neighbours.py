@@ -81,21 +81,28 @@ def _to_cells(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
     )
 
 
+def block_counts(rows: DataFrame, block_rows: int) -> DataFrame:
+    """(cell, blocks): one row per occupied cell, so at most MAX_PIVOTS rows to broadcast."""
+    return F.broadcast(
+        rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("blocks"))
+    )
+
+
 def _packed(rows: DataFrame, block_rows: int, prefix: str, answers: bool) -> DataFrame:
     """Rows of one cell packed into blocks of about ``block_rows``.
 
     The number of blocks per cell follows from its row count, so a cell that
     holds most of the rows becomes many blocks.
     """
-    sizes = rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("blocks"))
     packed = (
-        rows.join(sizes, "cell")
+        rows.join(block_counts(rows, block_rows), "cell")
         .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
         .groupBy("cell", "block")
         .agg(F.sort_array(F.collect_list(F.struct("key", "features", "ids"))).alias("rows"))
     )
     columns = [
         "cell",
+        "block",
         F.transform("rows", lambda r: r["key"]).alias(f"{prefix}_keys"),
         F.flatten(F.transform("rows", lambda r: r["features"])).alias(f"{prefix}_x"),
     ]
@@ -117,10 +124,19 @@ def _nearest_in_block(k: int):
                 asking = row.q_x.reshape(len(row.q_keys), -1)
                 answering = row.a_x.reshape(len(row.a_counts), -1)
                 gap = np.repeat(distances(asking, answering), row.a_counts, axis=1)
-                ids = np.broadcast_to(row.a_ids, gap.shape)
-                for i, key in enumerate(row.q_keys):
-                    best = np.lexsort((ids[i], gap[i]))[: k + 1]
-                    out.append((key, ids[i][best], gap[i][best]))
+                if gap.shape[1] > k + 1:
+                    # ties at the k + 1st distance stay in until ids decide
+                    bound = np.partition(gap, k, axis=1)[:, k]
+                else:
+                    bound = np.full(len(gap), np.inf)
+                at, place = np.nonzero(gap <= bound[:, None])
+                ids, near = row.a_ids[place], gap[at, place]
+                order = np.lexsort((ids, near, at))
+                ids, near = ids[order], near[order]
+                starts = np.searchsorted(at, np.arange(len(gap)))
+                ends = np.minimum(starts + k + 1, np.append(starts[1:], len(at)))
+                for key, a, b in zip(row.q_keys, starts, ends):
+                    out.append((key, ids[a:b], near[a:b]))
             yield pd.DataFrame(out, columns=["key", "ids", "distances"])
 
     return nearest
@@ -187,9 +203,23 @@ def nearest_lists(points: DataFrame, k: int, id_column: str = "id") -> DataFrame
     kernel = _nearest_in_block(k)
     schema = "key long, ids array<long>, distances array<double>"
 
+    answer_blocks = block_counts(cells, block_rows)
+
     def visit(asking: DataFrame) -> DataFrame:
-        asked = _packed(asking, block_rows, "q", answers=False)
-        return asked.join(answers, "cell").drop("cell").mapInPandas(kernel, schema)
+        # every block of a cell that asks meets every block that answers as a pair of its
+        # own key, so that the pairs of a crowded cell spread over the tasks
+        asked = (
+            _packed(asking, block_rows, "q", answers=False)
+            .drop("block")
+            .join(answer_blocks, "cell")
+            .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .drop("blocks")
+        )
+        return (
+            asked.join(answers, ["cell", "block"])
+            .drop("cell", "block")
+            .mapInPandas(kernel, schema)
+        )
 
     own = cut_lineage(_best(visit(cells), k))
     bounded = cells.join(own, "key").select(

@@ -135,18 +135,12 @@ def check_failure_cases(df: DataFrame, rules: list[Rule], key: list[str]) -> Dat
 def check_duplicates(df: DataFrame) -> DataFrame:
     """Number of rows that repeat an earlier identical row (nulls are equal).
 
-    Only a 64-bit hash per row is shuffled at first; whole rows are compared
-    just for hashes seen more than once.
+    Copies are counted before the shuffle, so a much repeated row is one entry per task.
     """
-    hashed = df.withColumn("_row_hash", F.xxhash64(*df.columns))
-    suspects = (
-        hashed.groupBy("_row_hash").count().filter("count > 1").select("_row_hash")
-    )
     return (
-        hashed.join(suspects, "_row_hash", "left_semi")
-        .groupBy(*df.columns)
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows"))
+        df.groupBy(*df.columns)
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"))
     )
 
 
@@ -259,7 +253,11 @@ def find_issues(
 
 def validation_report(df: DataFrame, **options) -> DataFrame:
     """One row: passed, issue_count, row_count, column_count."""
-    issues = find_issues(df, **options)
+    return summarize_issues(df, find_issues(df, **options))
+
+
+def summarize_issues(df: DataFrame, issues: DataFrame) -> DataFrame:
+    """The report row of issues that were found before."""
     return issues.agg(F.count(F.lit(1)).alias("issue_count")).select(
         (F.col("issue_count") == 0).alias("passed"),
         "issue_count",
