@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -14,10 +16,10 @@ from pyspark.sql import functions as F
 from cohortlens.functions.columns import seeded_key
 from cohortlens.operators.clustering import Centres, assign, fit_kmeans
 from cohortlens.operators.profiles import cluster_profile
-from cohortlens.operators.quality import quality
+from cohortlens.operators.quality import GRID_CELLS, grid_width, quality
 from cohortlens.operators.scaling import FeatureMap, fit_feature_map
 from cohortlens.operators.selection import promote_if_better
-from cohortlens.session import kept
+from cohortlens.session import cut_lineage, kept
 
 METRICS_SCHEMA = "silhouette_score double, davies_bouldin_score double"
 
@@ -42,42 +44,76 @@ def train_segmentation(
     seed: int = 42,
     n_components: int = 2,
     k: int = 2,
-    cell_width: float | None = None,
+    grid_cells: int | None = GRID_CELLS,
 ) -> Bundle:
-    """PCA and k-means on all rows; the scores are therefore in-sample."""
+    """PCA and k-means on all rows; the scores are therefore in-sample.
+
+    The silhouette is taken over the means of grid cells, ``grid_cells`` of them
+    at most for each cluster, so that its work does not grow with the square of
+    the rows; ``silhouette_distance_error`` bounds what that changes in any
+    distance. Without ``grid_cells`` it is exact and the bound is 0.
+    """
     with kept(customer_features):
         fitted = fit_feature_map(customer_features, "pca", n_components)
         points = customer_features.select("monetary_value", fitted.features().alias("features"))
         with kept(points):
             centres = fit_kmeans(points, k, seed, order_by="monetary_value")
-            metrics = quality(assign(points, centres), "cluster", cell_width)
-    labelled = assign(customer_features.withColumn("features", fitted.features()), centres)
+            width, error = grid_width(points, grid_cells) if grid_cells else (None, 0.0)
+            metrics = quality(assign(points, centres), "cluster", width)
+            metrics["silhouette_distance_error"] = error
+        labelled = assign(customer_features.withColumn("features", fitted.features()), centres)
+        # written while the features are kept: a row per cluster, read by every later use
+        profile = cut_lineage(cluster_profile(labelled))
     stamp = dt.datetime.now(dt.timezone.utc).isoformat()
-    return Bundle(fitted, centres, metrics, cluster_profile(labelled), stamp)
+    return Bundle(fitted, centres, metrics, profile, stamp)
+
+
+def training_report(bundle: Bundle, customer_features: DataFrame, **parameters) -> DataFrame:
+    """One row: rows, feature columns, parameters, scores and cluster sizes of a fit."""
+    sizes = F.map_from_entries(
+        F.array_sort(F.collect_list(F.struct("cluster", F.col("cluster_size"))))
+    )
+    return bundle.profile.agg(sizes.alias("cluster_sizes")).select(
+        customer_features.agg(F.count(F.lit(1))).scalar().alias("rows"),
+        F.lit(bundle.feature_map.feature_names()).alias("feature_columns"),
+        F.lit(json.dumps(parameters, sort_keys=True)).alias("parameters"),
+        F.lit(json.dumps(bundle.metrics, sort_keys=True)).alias("metrics"),
+        "cluster_sizes",
+        F.lit(bundle.trained_at).alias("trained_at"),
+    )
 
 
 def save_model(bundle: Bundle, path: str) -> None:
+    """Adds the bundle as the newest version at ``path``.
+
+    The profile is written first, under the version's own name. The version then
+    counts from the moment its one row is committed to the ``model`` table, to
+    which rows are only ever added: a run that ends in between changes nothing,
+    and a bundle loaded from the same path is never overwritten.
+    """
     spark = bundle.profile.sparkSession
-    bundle.profile.write.mode("overwrite").parquet(f"{path}/profile")
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    bundle.profile.write.parquet(f"{path}/profile/{version}")
     spark.createDataFrame(
         [
             (
+                version,
                 bundle.feature_map.to_json(),
                 bundle.centres.to_json(),
                 json.dumps(bundle.metrics),
                 bundle.trained_at,
             )
         ],
-        "feature_map string, centres string, metrics string, trained_at string",
-    ).write.mode("overwrite").parquet(f"{path}/model")
+        "version string, feature_map string, centres string, metrics string, trained_at string",
+    ).coalesce(1).write.mode("append").parquet(f"{path}/model")
 
 
 def load_model(spark: SparkSession, path: str) -> Bundle:
-    """Fails if the model or its profile is absent."""
+    """The newest version; fails if the model or its profile is absent."""
     try:
-        row = spark.read.parquet(f"{path}/model").first()
-        profile = spark.read.parquet(f"{path}/profile")
-    except AnalysisException as error:
+        row = spark.read.parquet(f"{path}/model").orderBy(F.desc("version")).first()
+        profile = spark.read.parquet(f"{path}/profile/{row['version']}")
+    except (AnalysisException, TypeError) as error:
         raise FileNotFoundError(f"no complete model at {path}") from error
     return Bundle(
         FeatureMap.from_json(row["feature_map"]),
@@ -114,20 +150,29 @@ def assign_clusters(features: DataFrame, bundle: Bundle, id_column: str = "custo
 def attach_profile(labels: DataFrame, profile: DataFrame) -> DataFrame:
     """Label rows with their profile; a label without a profile is an error.
 
-    Missing text in a profile reads as the empty string. The profile has one
-    row per cluster, so Spark broadcasts it by its size.
+    Missing text in a profile reads as the empty string. The profile, one row
+    per cluster, is looked up in each label row; a join on the cluster would put
+    all rows of a large cluster into one task.
     """
     texts = [f.name for f in profile.schema.fields if f.dataType.simpleString() == "string"]
-    known = profile.fillna("", texts).withColumn("_known", F.lit(True))
-    overlap = [c for c in profile.columns if c in labels.columns and c != "cluster"]
-    for c in overlap:
-        known = known.withColumnRenamed(c, f"profile_{c}")
-    joined = labels.join(known, "cluster", "left")
+    known = profile.fillna("", texts)
+    columns = [c for c in profile.columns if c != "cluster"]
+    names = {c: f"profile_{c}" if c in labels.columns else c for c in columns}
+    row = F.struct(*[F.col(f"`{c}`").alias(names[c]) for c in columns])
+    rows = known.agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("cluster"), row))).alias("rows")
+    ).scalar()
+    found = labels.withColumn("_profile", F.try_element_at(rows, F.col("cluster")))
     checked = F.when(
-        F.col("_known").isNull(),
+        F.col("_profile").isNull(),
         F.raise_error(F.concat(F.lit("no cluster profile for "), F.col("cluster").cast("string"))),
     ).otherwise(F.col("cluster"))
-    return joined.withColumn("cluster", checked).drop("_known")
+    others = [c for c in labels.columns if c != "cluster"]
+    return found.select(
+        checked.alias("cluster"),
+        *[F.col(f"`{c}`") for c in others],
+        *[F.col(f"_profile.`{n}`").alias(n) for n in names.values()],
+    )
 
 
 def score_feature_table(

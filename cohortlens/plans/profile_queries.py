@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from itertools import combinations
 
+from pyspark.sql import functions as F
+
 from cohortlens.operators import profiling
 from cohortlens.plans.customer_queries import FEATURES_SQL, feature_rows
 from cohortlens.plans.registry import Query, over_t
@@ -223,12 +225,16 @@ QUERIES = [
     Query(
         "near_zero_variance",
         lambda s, f: profiling.near_zero_variance(
-            # undiscounted lines only: the discount column is constant there
-            star_transactions(s, f, _NARROW).filter("discount_percentage = 0")
+            # a column that is the same in every row beside the table's own
+            star_transactions(s, f, _NARROW).withColumn(
+                "row_share", F.col("quantity") / F.col("quantity")
+            )
         ),
         over_t(
             "SELECT \"column\" FROM ("
-            + _distinct_sql(_NARROW).replace("FROM t", "FROM t WHERE discount_percentage = 0")
+            + _distinct_sql([*_NARROW, "row_share"]).replace(
+                "FROM t", "FROM (SELECT *, quantity / quantity AS row_share FROM t)"
+            )
             + ") WHERE distinct_values <= 1"
         ),
     ),

@@ -724,6 +724,21 @@ QUERIES = [
         {"silhouette_score": 6},
     ),
     Query("candidate_sweeps", _sweep),
+    Query(
+        "candidate_table",
+        _candidate_table,
+        _with(
+            """SELECT model_name, representation, scoring_scope, silhouette_score, davies_bouldin_score
+               FROM (SELECT *, row_number() OVER (PARTITION BY model_name, representation
+                                                  ORDER BY source, position) AS place
+                     FROM (SELECT 0 AS source, * FROM scores WHERE representation = 'full'
+                           UNION ALL SELECT 1, * FROM scores
+                           UNION ALL SELECT 2, * REPLACE ('full' AS representation) FROM scores))
+               WHERE place = 1""",
+            _SCORES,
+        ),
+        _SCORE_DIGITS,
+    ),
     Query(
         "cluster_size_diagnostics",
         lambda s, f: selection.cluster_size_diagnostics(_seed_labels(s, f)),

@@ -17,7 +17,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.operators import cleaning, customers, daily, profiling, sales, splits, validation
-from cohortlens.operators.scoring import promote, save_model, train_segmentation
+from cohortlens.operators.quality import GRID_CELLS
+from cohortlens.operators.scoring import (
+    promote,
+    save_model,
+    train_segmentation,
+    training_report,
+)
 from cohortlens.session import build_session
 from cohortlens.sources.contract import CATEGORIES, CONTRACT, FILL_VALUES, NULLABLE, snake
 from cohortlens.sources.tables import read_features, write_report, write_table
@@ -41,7 +47,7 @@ class Options:
     validation_fraction: float = 0.15
     rolling_window: int = 7
     top_n: int = 10
-    cell_width: float | None = None
+    grid_cells: int | None = GRID_CELLS
 
 
 @dataclass(frozen=True)
@@ -52,28 +58,41 @@ class RunResult:
     metrics: dict = field(default_factory=dict)
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """A raw CSV under snake-case column names."""
-    df = read_transactions_strict(spark, path)
+    df = read_transactions_strict(spark, path, multi_line=multi_line)
     return df.toDF(*[c.lower() for c in df.columns])
 
 
 def prepare(spark, source: DataFrame, out: str, o: Options) -> dict:
-    checked = validation.validate(
-        source,
+    """The report is written whether the gate opens or not; then failing cells too."""
+    rules = dict(
         contract=o.contract,
         max_null_rate=o.max_null_rate,
         allowed_categories=o.allowed_categories,
         allow_duplicate_rows=o.allow_duplicate_rows,
         nullable_columns=o.nullable_columns,
     )
-    write_table(checked, f"{out}/validated")
+    folder = f"{out}/reports/validation"
+    write_report({"issues": validation.find_issues(source, **rules)}, folder)
+    issues = spark.read.schema(validation.ISSUE_SCHEMA).json(f"{folder}/issues")
+    write_report({"summary": validation.summarize_issues(source, issues)}, folder)
+    found = issues.collect()  # one row per rule and column at most
+    if found:
+        if not validation.check_missing_columns(source, o.contract.columns):
+            cases = validation.check_failure_cases(
+                source, validation.contract_rules(source, o.contract), []
+            )
+            write_report({"failure_cases": cases}, folder)
+        raise validation.DataValidationError(found)
+    write_table(source, f"{out}/validated")
     return {}
 
 
 def profile(spark, _, out: str, o: Options) -> dict:
     df = read_features(spark, f"{out}/validated")
     numeric = [c for c in profiling.numeric_columns(df) if not c.endswith("_id")]
+    quartiles = profiling.quartiles(df, numeric)
     matrix = profiling.pearson_matrix(df, numeric)
     gaps = sales.zero_transaction_days(df)
     write_report(
@@ -81,8 +100,8 @@ def profile(spark, _, out: str, o: Options) -> dict:
             "overview": profiling.dataset_overview(df, o.as_of),
             "column_types": profiling.column_types(df),
             "missing": profiling.missing_profile(df, o.max_null_rate),
-            "numeric_summary": profiling.numeric_summary(df, numeric),
-            "outliers": profiling.iqr_outliers(df, numeric),
+            "numeric_summary": profiling.numeric_summary(df, numeric, quartiles),
+            "outliers": profiling.iqr_outliers(df, numeric, quartiles),
             "distinct_counts": profiling.distinct_counts(df, numeric),
             "categories": profiling.categorical_profile(df, o.top_n),
             "pearson": matrix,
@@ -168,10 +187,13 @@ def split(spark, _, out: str, o: Options) -> dict:
 
 
 def train(spark, _, out: str, o: Options) -> dict:
-    bundle = train_segmentation(
-        read_features(spark, f"{out}/customer_features"), o.seed, cell_width=o.cell_width
-    )
+    table = read_features(spark, f"{out}/customer_features")
+    bundle = train_segmentation(table, o.seed, grid_cells=o.grid_cells)
     save_model(bundle, f"{out}/models/candidate")
+    report = training_report(
+        bundle, table, seed=o.seed, components=2, clusters=2, grid_cells=o.grid_cells
+    )
+    write_report({"training": report}, f"{out}/reports")
     promoted = promote(bundle, f"{out}/models/best")
     return {**bundle.metrics, "promoted": promoted}
 
@@ -199,15 +221,31 @@ def run_stages(source: DataFrame, out: str, options: Options = Options()) -> Run
 
 
 def main() -> int:
+    defaults = Options()
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--input", required=True)
     parser.add_argument("--output", required=True)
-    parser.add_argument("--seed", type=int, default=42)
-    arguments = parser.parse_args()
+    parser.add_argument("--multi-line", action="store_true", help="cells may hold line breaks")
+    for name in (
+        "seed",
+        "max_null_rate",
+        "train_fraction",
+        "validation_fraction",
+        "rolling_window",
+        "top_n",
+        "grid_cells",
+    ):
+        value = getattr(defaults, name)
+        parser.add_argument(f"--{name.replace('_', '-')}", type=type(value), default=value)
+    for name in ("as_of", "reference_date"):
+        parser.add_argument(f"--{name.replace('_', '-')}")
+    parser.add_argument("--allow-duplicate-rows", action="store_true")
+    given = vars(parser.parse_args())
+    source, out, multi_line = given.pop("input"), given.pop("output"), given.pop("multi_line")
+    # 0 asks for the exact silhouette, whose work grows with the square of the rows
+    options = Options(**{**given, "grid_cells": given["grid_cells"] or None})
     spark = build_session("cohortlens-stages")
-    result = run_stages(
-        read_raw_csv(spark, arguments.input), arguments.output, Options(seed=arguments.seed)
-    )
+    result = run_stages(read_raw_csv(spark, source, multi_line), out, options)
     print(result)
     return 0 if result.status == "succeeded" else 1
 

@@ -7,15 +7,26 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortlens.functions.quantiles import exact_quantiles
-from cohortlens.operators import cleaning, customers, daily, profiling, sales, splits, validation
+from cohortlens.operators import (
+    cleaning,
+    customers,
+    daily,
+    profiling,
+    sales,
+    scaling,
+    splits,
+    validation,
+)
 from cohortlens.sources.contract import (
     COLUMNS,
     CONTRACT,
     FLAG,
     FLOAT,
     INTEGER,
+    TEXT,
     Contract,
 )
+from cohortlens.sources.tables import write_table
 from cohortlens.sources.transactions import (
     CoercionError,
     read_transactions,
@@ -166,6 +177,28 @@ def test_duplicates_treat_nulls_as_equal(spark):
     assert cleaning.drop_exact_duplicates(df).count() == 2
 
 
+def test_csv_loses_nothing(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    (folder / "one.csv").write_text(
+        'text,n\n"say ""hi"", ok",1\n"two\nlines",2\nx,3,extra\nshort\n" kept ",4\nNA,5\n'
+    )
+    contract = Contract({"text": TEXT, "n": INTEGER})
+    typed, rejects = read_transactions(spark, str(folder), contract, multi_line=True)
+    assert sorted(map(tuple, typed.collect()), key=lambda r: r[1]) == [
+        ('say "hi", ok', 1), ("two\nlines", 2), (" kept ", 4), (None, 5),
+    ]
+    assert sorted(r["value"] for r in rejects.collect()) == ["short", "x,3,extra"]
+    assert {r["reason"] for r in rejects.collect()} == {"wrong number of cells"}
+    with pytest.raises(CoercionError, match="wrong number of cells"):
+        read_transactions_strict(spark, str(folder), contract, multi_line=True)
+    back = str(tmp_path / "back")
+    write_table(typed, back, "csv")
+    again, none = read_transactions(spark, back, contract, multi_line=True)
+    assert sorted(map(tuple, again.collect()), key=str) == sorted(map(tuple, typed.collect()), key=str)
+    assert none.count() == 0
+
+
 def test_csv_cells(spark, tmp_path):
     path = tmp_path / "raw.csv"
     path.write_text("n,x,f,note\n1.5,2.5,TRUE,a\nbad,nan,0,b\n,oops,maybe,c\n")
@@ -173,7 +206,7 @@ def test_csv_cells(spark, tmp_path):
     typed, rejects = read_transactions(spark, str(path), contract)
     rows = {r["note"]: r for r in typed.collect()}
     assert (rows["a"]["n"], rows["a"]["x"], rows["a"]["f"]) == (1, 2.5, True)
-    assert math.isnan(rows["b"]["x"]) and rows["b"]["f"] is False
+    assert rows["b"]["x"] is None and rows["b"]["f"] is False
     found = {(r["column"], r["value"], r["reason"]) for r in rejects.collect()}
     assert found == {
         ("n", "bad", "not a valid integer"),
@@ -208,17 +241,37 @@ def test_pearson_uses_rows_where_both_are_present(spark):
     assert matrix["a", "b"] == pytest.approx(0.7205766921228921)
 
 
-def test_quantile_search_equals_the_in_memory_result(spark):
+def test_quantiles_are_the_same_at_every_interval_size(spark):
     # a third of the values are equal, the rest are spread widely
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, 7.0).otherwise(F.pow(F.col("id"), 2) / 7).alias("v"),
         (F.xxhash64("id") % 1000).cast("double").alias("w"),
+        F.when(F.col("id") < 1800, float("-inf")).otherwise(F.col("id") * 1.0).alias("low"),
+        F.when(F.col("id") < 20, float("inf")).when(F.col("id") < 40, float("nan"))
+        .when(F.col("id") < 60, float("-inf")).otherwise(F.col("id") % 2 * 1.0).alias("ends"),
+        F.lit(None).cast("double").alias("nothing"),
+        F.lit(3).alias("same"),
     )
     probabilities = [0.0, 0.1, 0.25, 0.333, 0.5, 0.75, 0.999, 1.0]
-    searched = exact_quantiles(df, ["v", "w"], probabilities, in_memory_rows=20)
-    direct = exact_quantiles(df, ["v", "w"], probabilities)
-    for c in ("v", "w"):
-        assert searched[c] == pytest.approx(direct[c])
+    rows = df.toPandas()
+    for size in (1, 20, 700, 100_000):
+        found = exact_quantiles(df, df.columns, probabilities, interval_values=size)
+        for c in df.columns:
+            values = sorted(x for x in rows[c] if x is not None and not math.isnan(x))
+            for p, q in zip(probabilities, found[c]):
+                if not values:
+                    assert q is None
+                    continue
+                place = (len(values) - 1) * p
+                lo, hi = values[math.floor(place)], values[math.ceil(place)]
+                assert q == (lo if lo == hi else pytest.approx(lo + (hi - lo) * (place % 1)))
+
+
+def test_robust_scale_of_an_empty_column(spark):
+    df = spark.createDataFrame([(1.0, None), (3.0, None)], "x double, nothing double")
+    scales = scaling.fit_robust(df, ["x", "nothing"])
+    rows = scaling.scaled_columns(df, scales).orderBy("x").collect()
+    assert [tuple(r) for r in rows] == [(-1.0, None), (1.0, None)]
 
 
 def test_split_sizes(spark):
