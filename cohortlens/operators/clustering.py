@@ -183,35 +183,58 @@ def fit_diagonal_mixture(
         return _fit_mixture(rows, n_components, seed, max_iter, tol)
 
 
-def _fit_mixture(
-    points: DataFrame, n_components: int, seed: int, max_iter: int, tol: float
-) -> DiagonalMixture:
-    centres = fit_kmeans(points, n_components, seed)
-    labelled = assign(points, centres)
-    d = len(centres.points[0])
-    start = {
-        r["cluster"]: r
-        for r in labelled.groupBy("cluster")
+def _moments(points: DataFrame, label: str):
+    """Share, mean and variance of each group, in order of the label."""
+    d = points.agg(F.max(F.size("features"))).first()[0]
+    rows = (
+        points.groupBy(label)
         .agg(
             F.count(F.lit(1)).alias("n"),
             *[F.avg(F.col("features")[i]).alias(f"m{i}") for i in range(d)],
             *[F.var_pop(F.col("features")[i]).alias(f"v{i}") for i in range(d)],
         )
+        .orderBy(label)
         .collect()  # one row per component
-    }
-    n = sum(r["n"] for r in start.values())
-    order = sorted(start)
-    weights = np.array([start[c]["n"] / n for c in order])
-    means = np.array([[start[c][f"m{i}"] for i in range(d)] for c in order])
-    variances = np.array([[start[c][f"v{i}"] for i in range(d)] for c in order]) + _FLOOR
+    )
+    n = sum(r["n"] for r in rows)
+    weights = np.array([r["n"] / n for r in rows])
+    means = np.array([[r[f"m{i}"] for i in range(d)] for r in rows])
+    variances = np.array([[r[f"v{i}"] for i in range(d)] for r in rows]) + _FLOOR
+    return n, [r[label] for r in rows], weights, means, variances
+
+
+def _maximised(total: np.ndarray):
+    """New weights, means and variances from the sums of one expectation."""
+    d = (total.shape[1] - 2) // 2
+    share = total[:, :1] + 10 * np.finfo(float).eps
+    means = total[:, 2 : 2 + d] / share
+    variances = np.maximum(total[:, 2 + d :] / share - means**2, 0.0) + _FLOOR
+    return (share / share.sum()).ravel(), means, variances
+
+
+def mixture_round(points: DataFrame, label: str) -> DataFrame:
+    """(label, share, mean_sum, variance_sum) after one round from the groups' moments."""
+    _, labels, *start = _moments(points, label)
+    weights, means, variances = _maximised(_expectation(points, *start))
+    rows = [
+        (int(c), float(w), float(m.sum()), float(v.sum()))
+        for c, w, m, v in zip(labels, weights, means, variances)
+    ]
+    return points.sparkSession.createDataFrame(
+        rows, f"{label} long, share double, mean_sum double, variance_sum double"
+    )
+
+
+def _fit_mixture(
+    points: DataFrame, n_components: int, seed: int, max_iter: int, tol: float
+) -> DiagonalMixture:
+    centres = fit_kmeans(points, n_components, seed)
+    n, _, weights, means, variances = _moments(assign(points, centres), "cluster")
     history: list[float] = []
     for _ in range(max_iter):
         total = _expectation(points, weights, means, variances)
         history.append(float(total[0, 1] / n))
-        share = total[:, :1] + 10 * np.finfo(float).eps
-        weights = (share / share.sum()).ravel()
-        means = total[:, 2 : 2 + d] / share
-        variances = np.maximum(total[:, 2 + d :] / share - means**2, 0.0) + _FLOOR
+        weights, means, variances = _maximised(total)
         if len(history) > 1 and abs(history[-1] - history[-2]) < tol:
             break
     by_weight = np.argsort(-weights, kind="stable")

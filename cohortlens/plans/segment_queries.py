@@ -8,6 +8,8 @@ tables are aggregates of the events.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Window as W
@@ -111,6 +113,77 @@ _MEDIANS = "medians AS (SELECT " + ", ".join(
 ) + " FROM features)"
 
 
+# Principal axes in SQL: the covariance matrix is squared until it is a projection on its
+# first axis, which is then taken out of the matrix for the second one.
+_N = len(scaling.STANDARD_COLUMNS) + len(scaling.SKEWED_COLUMNS)
+
+
+def _axes_ctes(scaled: str) -> list[str]:
+    """``axes`` (matrix, first, second, first_share, second_share) of ``scaled`` rows of (id, z)."""
+    covariance = ", ".join(
+        "[" + ", ".join(f"covar_samp(z[{i}], z[{j}])" for j in range(1, _N + 1)) + "]"
+        for i in range(1, _N + 1)
+    )
+    diagonal = ", ".join(f"m[{i}][{i}]" for i in range(1, _N + 1))
+
+    def first_axis(name: str, source: str) -> list[str]:
+        place = f"list_position([{diagonal}], list_max([{diagonal}]))"
+        vector = f"list_transform(m[{place}], lambda x: x / sqrt(m[{place}][{place}]))"
+        signed = (
+            "list_transform(v, lambda x: x * CASE WHEN list_max(v) >= -list_min(v) "
+            "THEN 1 ELSE -1 END)"
+        )
+        return [
+            f"""{name}_power AS (
+              SELECT 0 AS t, m FROM {source} UNION ALL
+              SELECT t + 1, [[list_dot_product(r, c) / list_sum([list_dot_product(d, d) FOR d IN m])
+                              FOR c IN m] FOR r IN m]
+              FROM {name}_power WHERE t < 45)""",
+            f"""{name}_axis AS (SELECT {signed} AS v FROM (
+              SELECT {vector} AS v FROM {name}_power WHERE t = 45))""",
+            f"""{name}_value AS (SELECT v, list_dot_product(v, [list_dot_product(r, v) FOR r IN m])
+                                AS value, m FROM {name}_axis, {source})""",
+        ]
+
+    return [
+        f"matrix AS (SELECT [{covariance}] AS m FROM {scaled})",
+        *first_axis("one", "matrix"),
+        """rest AS (SELECT [[m[i][j] - value * v[i] * v[j] FOR j IN range(1, len(v) + 1)]
+                            FOR i IN range(1, len(v) + 1)] AS m FROM one_value)""",
+        *first_axis("two", "rest"),
+        f"""axes AS (SELECT one_value.v AS first, two_value.v AS second,
+                       one_value.value / list_sum([{diagonal.replace("m[", "matrix.m[")}]) AS first_share,
+                       two_value.value / list_sum([{diagonal.replace("m[", "matrix.m[")}]) AS second_share
+                FROM one_value, two_value, matrix)""",
+    ]
+
+
+def _loadings_sql(scaled: str) -> str:
+    names = ", ".join(f"'{c}'" for c in (*scaling.STANDARD_COLUMNS, *scaling.SKEWED_COLUMNS))
+    return " UNION ALL ".join(
+        f"""SELECT {k} AS component, {axis}_share AS explained_variance_ratio,
+                   unnest([{names}]) AS feature, unnest({axis}) AS loading FROM axes"""
+        for k, axis in ((1, "first"), (2, "second"))
+    )
+
+
+_SCALED = "scaled AS (SELECT customer_id, [" + ", ".join(
+    f"CAST({e.format(c=c)} AS DOUBLE)"
+    for columns, e in ((scaling.STANDARD_COLUMNS, _Z), (scaling.SKEWED_COLUMNS, _ZLOG))
+    for c in columns
+) + "] AS z FROM features)"
+_ROBUST_SCALED = "scaled AS (SELECT customer_id, [" + ", ".join(
+    [f"CAST(({c} - m_{c}) / s_{c} AS DOUBLE)" for c in scaling.STANDARD_COLUMNS]
+    + [f"CAST({_ZLOG.format(c=c)} AS DOUBLE)" for c in scaling.SKEWED_COLUMNS]
+) + "] AS z FROM features, medians)"
+_MEAN = "centre AS (SELECT [" + ", ".join(f"avg(z[{i}])" for i in range(1, _N + 1)) + "] AS c FROM scaled)"
+
+
+def _recursive(sql: str) -> str:
+    """Recursive CTEs are named as such at the head of their list."""
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def _pca(spark, folder):
     df = feature_table(spark, folder)
     fitted = scaling.fit_feature_map(df, "pca", 2)
@@ -209,6 +282,70 @@ def _reloaded(spark, folder):
     return scoring.score_feature_table(features, scoring.load_model(spark, path))
 
 
+# A model whose axes and centres are given instead of fitted.
+_GIVEN_AXES = tuple(
+    tuple((-1.0) ** (i // (1 + a)) / 3.0 for i in range(_N)) for a in (0, 1)
+)
+_GIVEN_CENTRES = ((0.5, 0.5), (-0.5, 0.0), (0.0, -1.0))
+
+
+def _given_bundle(spark, folder):
+    features = feature_table(spark, folder)
+    scales = scaling.fit_standard(features, scaling.STANDARD_COLUMNS) + scaling.fit_standard(
+        features, scaling.SKEWED_COLUMNS, log=True
+    )
+    fitted = scaling.FeatureMap(
+        "given", scales, means=(0.0,) * _N, components=_GIVEN_AXES, explained_variance_ratio=(0.0,) * 2
+    )
+    centres = clustering.Centres(_GIVEN_CENTRES)
+    labelled = clustering.assign(features.withColumn("features", fitted.features()), centres)
+    metrics = {"silhouette_score": 0.0, "davies_bouldin_score": 0.0}
+    return features, scoring.Bundle(fitted, centres, metrics, cluster_profile(labelled))
+
+
+def _scored_by_given(spark, folder):
+    return scoring.score_feature_table(*_given_bundle(spark, folder))
+
+
+def _reloaded_given(spark, folder):
+    """Two versions are saved; the newer one is loaded, scored with and profiled."""
+    features, bundle = _given_bundle(spark, folder)
+    path = scratch_path(spark, "model")
+    scoring.save_model(replace(bundle, centres=clustering.Centres(((9.0, 9.0),))), path)
+    scoring.save_model(bundle, path)
+    loaded = scoring.load_model(spark, path)
+    labels = scoring.assign_clusters(features, loaded)
+    return scoring.attach_profile(labels, loaded.profile).select(
+        "customer_id", "cluster", "cluster_size"
+    )
+
+
+_GIVEN_SQL = [
+    _SCALED,
+    "placed AS (SELECT customer_id, "
+    + ", ".join(
+        f"list_dot_product(z, [{', '.join(f'CAST({x!r} AS DOUBLE)' for x in axis)}]) AS component_{i}"
+        for i, axis in enumerate(_GIVEN_AXES, 1)
+    )
+    + " FROM scaled)",
+    "given_labels AS (SELECT *, CASE "
+    + " ".join(
+        f"WHEN d{i} <= least(d0, d1, d2) THEN {i}" for i in range(len(_GIVEN_CENTRES))
+    )
+    + " END AS cluster FROM (SELECT *, "
+    + ", ".join(
+        f"(component_1 - ({x})) ** 2 + (component_2 - ({y})) ** 2 AS d{i}"
+        for i, (x, y) in enumerate(_GIVEN_CENTRES)
+    )
+    + " FROM placed))",
+]
+
+
+def _mixture_round(spark, folder):
+    """One round of expectation and maximisation from the moments of the given labels."""
+    return clustering.mixture_round(_vectors(spark, folder), "cluster")
+
+
 def _unlabelled(spark, folder):
     return spark.read.parquet(f"{folder}/embeddings.parquet").select(
         F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("features")
@@ -564,9 +701,36 @@ QUERIES = [
         _sql(f"{_LONG_NUMERIC} UNION ALL {_LONG_HOT}"),
         {"value": 6},
     ),
-    Query("pca", _pca),
-    Query("pca_loadings", _loadings("pca")),
-    Query("robust_pca_loadings", _loadings("robust_pca")),
+    Query(
+        "pca",
+        _pca,
+        _recursive(
+            _sql(
+                """SELECT customer_id,
+                     list_dot_product(first, z) - list_dot_product(first, c) AS component_1,
+                     list_dot_product(second, z) - list_dot_product(second, c) AS component_2
+                   FROM scaled, axes, centre""",
+                _SCALED,
+                _MEAN,
+                *_axes_ctes("scaled"),
+            )
+        ),
+        {"component_1": 5, "component_2": 5},
+    ),
+    Query(
+        "pca_loadings",
+        _loadings("pca"),
+        _recursive(_sql(_loadings_sql("scaled"), _SCALED, *_axes_ctes("scaled"))),
+        {"explained_variance_ratio": 6, "loading": 5},
+    ),
+    Query(
+        "robust_pca_loadings",
+        _loadings("robust_pca"),
+        _recursive(
+            _sql(_loadings_sql("scaled"), _MEDIANS, _ROBUST_SCALED, *_axes_ctes("scaled"))
+        ),
+        {"explained_variance_ratio": 6, "loading": 5},
+    ),
     Query("kmeans", _kmeans),
     Query("kmeans_inertia", _inertias),
     Query(
@@ -581,6 +745,29 @@ QUERIES = [
         {"inertia": 4},
     ),
     Query("gaussian_mixture_diag", _mixture),
+    Query(
+        "gaussian_mixture_round",
+        _mixture_round,
+        _with(
+            """SELECT cluster, share, mean_sum, variance_sum FROM new_sums""",
+            _V,
+            """u AS (SELECT id, cluster, unnest(range(1, len(x) + 1)) AS i, unnest(x) AS y FROM v)""",
+            """start AS (SELECT cluster, i, avg(y) AS m, var_pop(y) + 1e-6 AS s,
+                           count(*) / (SELECT count(*) FROM v) AS w FROM u GROUP BY cluster, i)""",
+            """joint AS (SELECT u.id, start.cluster,
+                           ln(any_value(w)) - 0.5 * sum(ln(2 * pi() * s) + (y - m) ** 2 / s) AS g
+                         FROM u JOIN start USING (i) GROUP BY u.id, start.cluster)""",
+            """top AS (SELECT id, cluster, exp(g - max(g) OVER (PARTITION BY id)) AS e FROM joint)""",
+            """resp AS (SELECT id, cluster, e / sum(e) OVER (PARTITION BY id) AS r FROM top)""",
+            """moments AS (SELECT resp.cluster, i, sum(r) AS n, sum(r * y) / sum(r) AS m,
+                             sum(r * y * y) / sum(r) AS q
+                           FROM resp JOIN u USING (id) GROUP BY resp.cluster, i)""",
+            """new_sums AS (SELECT cluster, any_value(n) / (SELECT count(*) FROM v) AS share,
+                              sum(m) AS mean_sum, sum(greatest(q - m * m, 0) + 1e-6) AS variance_sum
+                            FROM moments GROUP BY cluster)""",
+        ),
+        {"share": 6, "mean_sum": 5, "variance_sum": 5},
+    ),
     Query(
         "knn_graph",
         lambda s, f: neighbours.knn_graph(_vectors(s, f), 10),
@@ -776,6 +963,23 @@ QUERIES = [
         {"monetary_value": 2},
     ),
     Query("score_feature_table", _scored),
+    Query(
+        "score_with_given_model",
+        _scored_by_given,
+        _sql(
+            "SELECT customer_id, cluster, component_1, component_2 FROM given_labels", *_GIVEN_SQL
+        ),
+        {"component_1": 6, "component_2": 6},
+    ),
+    Query(
+        "save_and_load_given_model",
+        _reloaded_given,
+        _sql(
+            """SELECT customer_id, cluster, count(*) OVER (PARTITION BY cluster) AS cluster_size
+               FROM given_labels""",
+            *_GIVEN_SQL,
+        ),
+    ),
     Query(
         "cluster_distribution",
         lambda s, f: scoring.cluster_distribution(_vectors(s, f)),
