@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Arrow batches are cut to this many rows before Python holds them as lists.
-SLICE_ROWS = 256
+#: Arrow batches are cut to this many rows and bytes of text before Python holds them as lists.
+SLICE_ROWS, SLICE_BYTES = 256, 2 * 1024 * 1024
 
 #: Byte table of the word rule: A-Z lower-cased, other ASCII but letters and digits is a gap.
 WORD_BYTES = bytes(
@@ -48,13 +50,27 @@ def byte_words(text: str | None) -> list[bytes]:
 
 
 def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of few rows, so that very long texts never gather in Python lists."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, SLICE_ROWS):
-            yield batch.slice(start, SLICE_ROWS)
-
+    """Parts of the batches with few rows and little text each.
 
-def bounded_sample(rows: DataFrame, key: str, most_rows: int, most_chars: int) -> list:
+    Python lists of texts and words stay small, however long the texts are; a
+    row that is longer than SLICE_BYTES is a part by itself.
+    """
+    for batch in batches:
+        size = np.zeros(batch.num_rows, np.int64)
+        for column in batch.columns:
+            if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+                size += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        start, total = 0, 0
+        for i, n in enumerate(size.tolist()):
+            if i > start and (total + n > SLICE_BYTES or i - start >= SLICE_ROWS):
+                yield batch.slice(start, i - start)
+                start, total = i, 0
+            total += n
+        if batch.num_rows:
+            yield batch.slice(start)
+
+
+def bounded_sample(rows: DataFrame, key: str, most_rows: int, most_chars: int) -> DataFrame:
     """For each value of ``key`` at most ``most_rows`` rows with at most ``most_chars`` of text.
 
     Rows (doc_id, text, key) are chosen by a hash of their id: a threshold from
@@ -76,7 +92,5 @@ def bounded_sample(rows: DataFrame, key: str, most_rows: int, most_chars: int) -
         .where(F.col("_row") <= most_rows)
         .withColumn("_size", size)
         .where(F.col("_size") <= most_chars)
-        .orderBy(key, "_row")
         .select(key, "text")
-        .collect()
     )

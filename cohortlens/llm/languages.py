@@ -223,7 +223,7 @@ def identify(docs: DataFrame, folds: int = 5) -> DataFrame:
         "lang",
         SAMPLE_ROWS,
         SAMPLE_CHARS,
-    )
+    ).collect()
     predicted = predict(docs, learn([(r.lang, r.text) for r in sample]))
     return predicted.select(
         "doc_id", (id_remainder("doc_id", folds) == 0).alias("held_out"), "lang_pred", "score"

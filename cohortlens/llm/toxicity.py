@@ -15,6 +15,7 @@ round by round. Learning takes a bounded sample, scoring every whole text.
 
 from __future__ import annotations
 
+import pickle
 import re
 import unicodedata
 from collections import Counter
@@ -28,10 +29,10 @@ from pyspark.sql import functions as F
 from cohortlens.llm.common import bounded_sample, id_remainder, slices
 
 #: Bounds of the learning sample, for each label.
-SAMPLE_ROWS = 1_500
-SAMPLE_CHARS = 8_000_000
+SAMPLE_ROWS = 1_000
+SAMPLE_CHARS = 3_000_000
 DECAY, SPAN = 0.7, 5
-LANDMARKS = 256
+LANDMARKS = 192
 ROUNDS = 5
 #: Share of clean texts whose strongest string a toxic text's must beat to be learned from.
 CLEAN_SHARE = 0.95
@@ -200,9 +201,9 @@ def learn(texts: list[tuple[int, str]], kernel: Kernel) -> Model | None:
     basis = (columns @ whiten).astype(np.float32)
 
     symbols, owner = kernel.windows(words)
-    x = np.concatenate(
-        [kernel.sums(symbols[i : i + 20_000], basis) for i in range(0, len(symbols), 20_000)]
-    )
+    x = np.empty((len(symbols), basis.shape[1]), np.float32)
+    for i in range(0, len(symbols), 5_000):
+        x[i : i + 5_000] = kernel.sums(symbols[i : i + 5_000], basis)
     window_clean = np.repeat(c > 0, np.bincount(owner, minlength=len(words)))
     toxic_at = [np.array([place[w] for w in b]) for b in toxic]
     clean_at = [np.array([place[w] for w in b]) for b in clean]
@@ -315,8 +316,17 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5) -> Model | None:
     )
     chosen = bounded_ids(marked)
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
-    rows = bounded_sample(texts.join(chosen, "doc_id"), "toxic", SAMPLE_ROWS, SAMPLE_CHARS)
-    return learn([(r.toxic, r.text) for r in rows], Kernel())
+    sample = bounded_sample(texts.join(chosen, "doc_id"), "toxic", SAMPLE_ROWS, SAMPLE_CHARS)
+
+    def learned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((y, t) for b in batches for y, t in zip(*(c.to_pylist() for c in b.columns)))
+        model = pickle.dumps(learn(rows, Kernel()))
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
+
+    # the sample is bounded, so one task learns from it; only the model comes to the driver
+    one = sample.select(F.col("toxic").cast("int"), "text").repartition(1)
+    found = one.mapInArrow(learned, "model binary").first()
+    return pickle.loads(found["model"]) if found else None
 
 
 def bounded_ids(marked: DataFrame) -> DataFrame:
