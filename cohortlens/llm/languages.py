@@ -35,31 +35,64 @@ UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
+def _marked(word: str) -> list[str]:
+    """Runs of letters in ``word``, each between marks."""
+    return [f"<{letters}>" for letters in _LETTERS.findall(word)]
+
+
 def _grams(word: str) -> list[str]:
     """n-grams of the letters in ``word``; none if it has no letter."""
     return [
         marked[i : i + n]
-        for letters in _LETTERS.findall(word)
-        for marked in (f"<{letters}>",)
+        for marked in _marked(word)
         for n in GRAMS
         for i in range(len(marked) - n + 1)
     ]
 
 
-class Model:
-    """Languages, and for each n-gram the row of its weights, already multiplied by its idf."""
+def _key(gram: str) -> int:
+    """The characters of a gram in one number; 21 bits each, so grams never share one."""
+    out = 0
+    for c in gram:
+        out = out << 21 | ord(c)
+    return out
 
-    def __init__(
-        self, langs: list[str], bias: np.ndarray, place: dict[str, int], weights: np.ndarray
-    ) -> None:
-        self.langs, self.bias, self.place, self.weights = langs, bias, place, weights
-        self.temperature = 1.0
 
-    def word(self, word: str) -> np.ndarray:
-        """Sum of the n-grams' weights, then their number."""
-        grams = _grams(word)
-        rows = [i for i in map(self.place.get, grams) if i is not None]
-        return np.append(self.weights[rows].sum(0), len(grams))
+class Model:
+    """Languages, and for each n-gram its weights, already multiplied by its idf."""
+
+    def __init__(self, langs: list[str], bias: np.ndarray, weights: dict[str, np.ndarray]) -> None:
+        self.langs, self.bias, self.temperature = langs, bias, 1.0
+        keys = np.array([_key(g) for g in weights], np.int64)
+        order = np.argsort(keys)
+        # a last row of zeros stands for n-grams without weight
+        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
+        rows = [*weights.values(), np.zeros(len(langs))]
+        self.weights = np.array(rows)[np.append(order, len(keys)).astype(int)]
+
+    def words(self, words: list[str]) -> np.ndarray:
+        """For each word the sum of its n-grams' weights, then their number."""
+        out = np.zeros((len(words), len(self.langs) + 1))
+        marked = ["".join(_marked(w)) for w in words]
+        some = np.flatnonzero([len(m) > 0 for m in marked])
+        if not len(some):
+            return out
+        lengths = np.array([len(marked[i]) for i in some])
+        starts = np.cumsum(lengths) - lengths
+        one = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32)
+        one = one.astype(np.int64)
+        # a run of letters ends at its closing mark: no n-gram goes on beyond that
+        inside = one != ord(">")
+        two = np.where(inside, one << 21 | np.append(one[1:], 0), -1)
+        three = np.where(
+            inside & np.append(inside[1:], False), two << 21 | np.append(one[2:], [0, 0]), -1
+        )
+        for keys in (one, two, three):
+            place = np.searchsorted(self.keys, keys)
+            place[self.keys[place] != keys] = len(self.keys) - 1
+            out[some, :-1] += np.add.reduceat(self.weights[place], starts)
+            out[some, -1] += np.add.reduceat(keys >= 0, starts, dtype=np.int64)
+        return out
 
     def probabilities(self, total: np.ndarray) -> np.ndarray:
         """Of a text whose words sum up to ``total``."""
@@ -97,7 +130,7 @@ def learn(texts: list[tuple[str, str]], seed: int = 1) -> Model | None:
     fitted = [t for i, t in enumerate(texts) if i % 10 != 9 or first[t[0]] == i]
     examples = _examples(fitted, rng)
     if not examples:
-        return Model(langs, np.zeros(len(langs)), {}, np.zeros((0, len(langs))))
+        return Model(langs, np.zeros(len(langs)), {})
 
     seen = Counter(g for _, grams in examples for g in grams)
     place = {g: i + 1 for i, g in enumerate(sorted(g for g, n in seen.items() if n > 1))}
@@ -129,13 +162,10 @@ def learn(texts: list[tuple[str, str]], seed: int = 1) -> Model | None:
         rng.shuffle(examples)
 
     w = weights(np.arange(len(idf)))
-    used = [(g, i) for g, i in place.items() if w[i].any()]
-    rows = np.array([i for _, i in used], dtype=int)
-    scaled = w[rows] * idf[rows, None] * 10
-    model = Model(langs, w[0], {g: k for k, (g, _) in enumerate(used)}, scaled)
+    scaled = w * idf[:, None] * 10
+    model = Model(langs, w[0], {g: scaled[i] for g, i in place.items() if w[i].any()})
     totals = [
-        (langs.index(lang), sum(map(model.word, text.lower().split()), np.zeros(len(langs) + 1)))
-        for lang, text in apart or fitted
+        (langs.index(lang), model.words(text.lower().split()).sum(0)) for lang, text in apart or fitted
     ]
 
     def loss(temperature: float) -> float:
@@ -146,33 +176,32 @@ def learn(texts: list[tuple[str, str]], seed: int = 1) -> Model | None:
     return model
 
 
-class _Words(dict):
-    """Row of each word in the memo's table; clears itself when full."""
+class _Words:
+    """What a task knows of the words it has met: a row each; starts anew when full."""
 
     def __init__(self, model: Model) -> None:
-        super().__init__()
-        self.model, self.rows = model, np.empty((1024, len(model.langs) + 1))
-
-    def __missing__(self, word: str) -> int:
-        k = len(self)
-        if k == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
-        self.rows[k] = self.model.word(word)
-        self[word] = k
-        return k
-
-    def total(self, words: list[str]) -> np.ndarray:
-        if len(self) > MEMO:
-            self.clear()
-        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return self.rows[at].sum(0)
-
-
-def _chunks(text: str) -> Iterator[list[str]]:
-    """Words of a text, some at a time, so that a very long text needs no long list."""
-    words = text.lower().split()
-    for at in range(0, len(words), 50_000):
-        yield words[at : at + 50_000]
+        self.model = model
+        self.place: dict[str, int] = {}
+        self.rows = np.empty((0, len(model.langs) + 1))
+
+    def totals(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """Sum of the rows of each text's words."""
+        new = list({w for words in texts for w in words if w not in self.place})
+        if len(self.place) + len(new) > MEMO:
+            self.place, self.rows = {}, self.rows[:0]
+            new = list({w for words in texts for w in words})
+        known = len(self.place)
+        if known + len(new) > len(self.rows):
+            more = np.empty((max(len(new), known), self.rows.shape[1]))
+            self.rows = np.concatenate([self.rows[:known], more])
+        for at in range(0, len(new), 20_000):
+            part = new[at : at + 20_000]
+            self.rows[known + at : known + at + len(part)] = self.model.words(part)
+        self.place.update(zip(new, range(known, known + len(new))))
+        return [
+            self.rows[np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))].sum(0)
+            for words in texts
+        ]
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -183,16 +212,13 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         model = shared.value
         words = _Words(model) if model else None
         for batch in slices(batches):
-            langs, scores = [], []
-            for text in batch.column(1).to_pylist():
-                lang, score = UNKNOWN, 0.0
-                if text and model:
-                    total = sum(map(words.total, _chunks(text)), np.zeros(len(model.langs) + 1))
+            langs, scores = [UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows
+            if model:
+                texts = [t.lower().split() if t else [] for t in batch.column(1).to_pylist()]
+                for i, total in enumerate(words.totals(texts)):
                     if total[-1]:
                         p = model.probabilities(total)
-                        lang, score = model.langs[int(p.argmax())], float(p.max())
-                langs.append(lang)
-                scores.append(score)
+                        langs[i], scores[i] = model.langs[int(p.argmax())], float(p.max())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 names=["doc_id", "lang_pred", "score"],

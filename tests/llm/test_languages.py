@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from cohortlens.llm.languages import identify, learn
+from cohortlens.llm.languages import Model, _grams, identify, learn
 from cohortlens.llm.queries import op6_language_id
 
 
@@ -38,5 +38,15 @@ def test_nothing_to_learn(frame):
 
 def test_weights_are_sparse_and_probabilities_sum():
     model = learn([("a", "aba abb baa " * 9), ("b", "xyx yyx xxy " * 9)] * 10)
-    assert 0 < len(model.weights) < len({g for w in "aba abb baa xyx yyx xxy".split() for g in w} | set("abxy")) * 30
-    assert abs(model.probabilities(model.word("abxy")).sum() - 1) < 1e-12
+    assert 0 < len(model.weights) - 1 < len({g for w in "aba abb baa xyx yyx xxy".split() for g in w} | set("abxy")) * 30
+    assert abs(model.probabilities(model.words(["abxy"])[0]).sum() - 1) < 1e-12
+
+
+def test_word_rows_against_their_grams():
+    grams = {g: np.array([i + 1.0, -i]) for i, g in enumerate(_grams("aba,bäb") + ["zzz", "<z", "q"])}
+    model = Model(["x", "y"], np.zeros(2), grams)
+    words = ["aba", "12", "aba,bäb", "", "q", "zz", "b\U00010400z", "a1b", "é"]
+    for word, row in zip(words, model.words(words)):
+        parts = [grams.get(g, np.zeros(2)) for g in _grams(word)]
+        assert row[-1] == len(parts)
+        np.testing.assert_allclose(row[:-1], sum(parts, np.zeros(2)))
