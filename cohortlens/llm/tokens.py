@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm.common import slices
 
-#: Rows looked at to pick the frequent pre-tokens; they steer speed, never a count.
-SAMPLE_ROWS = 2_000
+#: Rows looked at to pick the frequent pre-tokens, and how much of each; this steers speed,
+#: never a count: counting always sees whole texts.
+SAMPLE_ROWS, SAMPLE_CHARS = 1_000, 16_384
 TABLE_ENTRIES = 65_536
 ENTRY_CHARS = 48
 CACHE_ENTRIES = 400_000
@@ -84,32 +85,19 @@ def _added_pattern(spec: dict):
 
 
 def _frequent(docs: DataFrame, spec_text: str) -> dict[str, int]:
-    """Lengths of the most frequent short pre-tokens of some rows; at most TABLE_ENTRIES."""
-    spec = json.loads(spec_text)
+    """Lengths of the most frequent short pre-tokens of a few rows; at most TABLE_ENTRIES.
 
-    def tally(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pattern, added, seen = regex.compile(PRE_TOKEN), _added_pattern(spec), Counter()
-        for batch in slices(batches):
-            for text in batch.column(0).to_pylist():
-                seen.update(p for p in _cut(text or "", pattern, added)[1] if len(p) <= ENTRY_CHARS)
-        top = seen.most_common(TABLE_ENTRIES)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([p for p, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())],
-            names=["piece", "n"],
-        )
-
-    top = (
-        docs.select("text")
-        .limit(SAMPLE_ROWS)
-        .mapInArrow(tally, "piece string, n long")
-        .groupBy("piece")
-        .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "piece")
-        .limit(TABLE_ENTRIES)
-        .collect()
-    )
+    ``take`` reads only as many partitions as it needs, and the sampled text is
+    bounded. Whatever it misses is encoded where it occurs.
+    """
+    pattern, added = regex.compile(PRE_TOKEN), _added_pattern(json.loads(spec_text))
+    seen: Counter = Counter()
+    for (text,) in docs.select(F.substring("text", 1, SAMPLE_CHARS)).take(SAMPLE_ROWS):
+        seen.update(p for p in _cut(text or "", pattern, added)[1] if len(p) <= ENTRY_CHARS)
     encode = _load(spec_text).encode
-    return {r.piece: len(encode(r.piece, add_special_tokens=False).ids) for r in top}
+    return {
+        p: len(encode(p, add_special_tokens=False).ids) for p, _ in seen.most_common(TABLE_ENTRIES)
+    }
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 1024) -> DataFrame:
