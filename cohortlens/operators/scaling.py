@@ -71,15 +71,7 @@ class FeatureMap:
         parts = [F.array(*[s.expression() for s in self.scales])]
         for c, levels in self.levels:
             if levels:
-                known = F.lit(list(levels))
-                parts.append(
-                    F.transform(
-                        known,
-                        lambda level, c=F.col(c): F.coalesce(
-                            (c == level).cast("double"), F.lit(0.0)
-                        ),
-                    )
-                )
+                parts.append(F.transform(F.lit(list(levels)), _is_level(c)))
         return F.concat(*parts)
 
     def features(self) -> Column:
@@ -110,6 +102,10 @@ class FeatureMap:
         )
 
 
+def _is_level(name: str):
+    return lambda level: F.coalesce((F.col(name) == level).cast("double"), F.lit(0.0))
+
+
 def _spread(value: float | None) -> float:
     return value if value else 1.0
 

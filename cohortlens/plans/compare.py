@@ -2,10 +2,14 @@
 
 Uses the train and validation splits only. Each fit is a Spark job; the score
 rows are bounded by the grid, and all decisions are made on the score table.
+
+    spark-submit --py-files cohortlens.zip cohortlens/plans/compare.py \\
+        --splits FOLDER/splits/customer --output REPORTS [--previous EARLIER_REPORTS]
 """
 
 from __future__ import annotations
 
+import argparse
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -18,9 +22,11 @@ from cohortlens.operators.linkage import ward_clusters
 from cohortlens.operators.profiling import flag_correlated_pairs, pearson_matrix
 from cohortlens.operators.profiles import NUMERIC_COLUMNS, cluster_profile
 from cohortlens.operators.scaling import fit_feature_map, pca_loadings
-from cohortlens.session import cut_lineage, kept
+from cohortlens.session import build_session, clear_scratch, cut_lineage, kept
+from cohortlens.sources.tables import read_features, write_report
 
 
+# The published grid.
 @dataclass(frozen=True)
 class Grid:
     """What to fit; the defaults are the full comparison."""
@@ -195,3 +201,41 @@ def _compare(train: DataFrame, validation: DataFrame, grid: Grid) -> dict[str, D
             labelled = assign(points, fit_kmeans(points, k, grid.seed, "monetary_value"))
             reports["winner_profile"] = cluster_profile(labelled)
     return reports
+
+
+def run_comparison(
+    train: DataFrame,
+    validation: DataFrame,
+    out: str,
+    previous: str | None = None,
+    grid: Grid = Grid(),
+) -> dict[str, DataFrame]:
+    """Writes every report of a comparison, with the scores of an earlier one beside them."""
+    reports = compare(train, validation, grid)
+    if previous:
+        scores = reports["scores"]
+        earlier = scores.sparkSession.read.schema(scores.schema).json(f"{previous}/scores")
+        reports["before_after"] = selection.before_after(earlier, scores)
+    write_report(reports, out)
+    return reports
+
+
+def main() -> None:
+    parser = argparse.ArgumentParser(description=__doc__)
+    parser.add_argument("--splits", required=True)
+    parser.add_argument("--output", required=True)
+    parser.add_argument("--previous")
+    parser.add_argument("--seed", type=int, default=Grid.seed)
+    parser.add_argument("--density-sizes", type=int, nargs="*", default=list(Grid.density_sizes))
+    given = parser.parse_args()
+    spark = build_session("cohortlens-compare")
+    train, validation = (
+        read_features(spark, f"{given.splits}/{part}") for part in ("train", "validation")
+    )
+    grid = Grid(seed=given.seed, density_sizes=tuple(given.density_sizes))
+    run_comparison(train, validation, given.output, given.previous, grid)
+    clear_scratch(spark)
+
+
+if __name__ == "__main__":
+    main()

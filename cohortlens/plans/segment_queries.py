@@ -9,9 +9,11 @@ tables are aggregates of the events.
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -218,13 +220,20 @@ def _kmeans(spark, folder):
 
 
 def _inertias(spark, folder):
-    return clustering.kmeans_inertia(_points(spark, folder, "numeric_only"), [3, 4, 5])
+    return clustering.kmeans_inertia(_points(spark, folder, "numeric_only"), [3, 4, 5, 6, 7])
 
 
 def _mixture(spark, folder):
     points = _points(spark, folder)
-    model = clustering.fit_diagonal_mixture(points, 3, 42, max_iter=20)
-    return clustering.assign(points, model).select("customer_id", "cluster")
+    labelled = []
+    for n in (3, 4, 5, 6, 7):
+        model = clustering.fit_diagonal_mixture(points, n, 42)
+        labelled.append(
+            clustering.assign(points, model).select(
+                "customer_id", F.lit(n).alias("components"), "cluster"
+            )
+        )
+    return reduce(DataFrame.unionByName, labelled)
 
 
 def _halves(spark, folder):
@@ -237,8 +246,8 @@ def _candidates(spark, folder):
     rows = selection.evaluate_candidates(
         {
             "baseline_kmeans_2": selection.kmeans_candidate(2, 42),
-            "kmeans_3": selection.kmeans_candidate(3, 42),
-            "gaussian_mixture_3": selection.mixture_candidate(3, 42),
+            **{f"kmeans_{k}": selection.kmeans_candidate(k, 42) for k in range(3, 8)},
+            **{f"gaussian_mixture_{k}": selection.mixture_candidate(k, 42) for k in range(3, 8)},
         },
         fitted,
         split["train"],
@@ -250,16 +259,19 @@ def _candidates(spark, folder):
 
 
 def _sweep(spark, folder):
+    """The sweeps of the comparison: axes, clusters on two axes, robust scales."""
     split = _halves(spark, folder)
     rows = []
-    for n in (2, 3):
-        fitted = scaling.fit_feature_map(split["train"], "pca", n)
+    plans = [("pca", n, 2) for n in (2, 3, 4)] + [("pca", 2, k) for k in (3, 4, 5)]
+    plans += [("robust_numeric", None, 2), ("robust_pca", 3, 2)]
+    for variant, n, k in plans:
+        fitted = scaling.fit_feature_map(split["train"], variant, n)
         rows += selection.evaluate_candidates(
-            {"baseline_kmeans_2": selection.kmeans_candidate(2, 42)},
+            {f"kmeans_{k}": selection.kmeans_candidate(k, 42)},
             fitted,
             split["train"],
             split["validation"],
-            f"pca_{n}",
+            variant if n is None else f"{variant}_{n}",
             42,
         )
     return selection.score_table(spark, rows)
@@ -386,15 +398,8 @@ def _stage_run(spark, folder):
 
 def _comparison_run(spark, folder):
     split = _halves(spark, folder)
-    grid = Grid(
-        kmeans_counts=(3,),
-        mixture_counts=(),
-        ward_counts=(),
-        pca_options=(2,),
-        pca2_counts=(),
-        density_sizes=(),
-        seeds=(42, 43),
-    )
+    # all but the fits that need many rounds: those are queries of their own
+    grid = Grid(ward_counts=(), density_sizes=())
     return compare(split["train"], split["validation"], grid)["selection"]
 
 

@@ -4,7 +4,8 @@ One Spark application. Each stage writes its tables and the next one reads
 them, so a stage never depends on state held by executors of an earlier one.
 The first failing stage ends the run and names itself.
 
-    spark-submit -m cohortlens.plans.stages --input RAW.csv --output FOLDER
+    zip -r cohortlens.zip cohortlens
+    spark-submit --py-files cohortlens.zip cohortlens/plans/stages.py --input RAW.csv --output FOLDER
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from cohortlens.operators.scoring import (
     train_segmentation,
     training_report,
 )
-from cohortlens.session import build_session
+from cohortlens.session import build_session, clear_scratch
 from cohortlens.sources.contract import CATEGORIES, CONTRACT, FILL_VALUES, NULLABLE, snake
 from cohortlens.sources.tables import read_features, write_report, write_table
 from cohortlens.sources.transactions import read_transactions_strict
@@ -246,6 +247,7 @@ def main() -> int:
     options = Options(**{**given, "grid_cells": given["grid_cells"] or None})
     spark = build_session("cohortlens-stages")
     result = run_stages(read_raw_csv(spark, source, multi_line), out, options)
+    clear_scratch(spark)
     print(result)
     return 0 if result.status == "succeeded" else 1
 

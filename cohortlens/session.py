@@ -44,9 +44,27 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/cohortlens-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/cohortlens-{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Deletes all tables that this driver wrote to scratch paths; returns how many.
+
+    A job calls this at its end: frames that still read such a table are lost with it.
+    """
+    gone = 0
+    while _SCRATCH:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        gone += bool(files.delete(path, True))
+    return gone
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
