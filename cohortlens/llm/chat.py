@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlens.session import cut_lineage
+
 #: The control strings of the template. Texts cannot contain them, because
 #: every "<|" inside a text is written as "<\|" and every backslash twice.
 START, MIDDLE, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
@@ -28,23 +30,35 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"\\([\\|])", "$1")
 
 
-def _numbered(turns: DataFrame) -> DataFrame:
-    """Turns with their place ``n`` and first token ``at`` within the conversation."""
+def _written(turns: DataFrame) -> DataFrame:
+    """Turns with their formatted parts, as a table, so that their numbers stay the same."""
     head = F.concat(F.lit(START), escape(F.col("role")), F.lit(MIDDLE))
-    body = escape(F.col("text"))
     rows = (
         turns.select(
             "conv_id",
-            "turn",
+            F.col("turn").cast("long").alias("turn"),
             F.coalesce("role", F.lit("")).alias("role"),
             F.coalesce("text", F.lit("")).alias("text"),
         )
-        .select("conv_id", "turn", "role", "text", head.alias("head"), body.alias("body"))
-        .withColumn("piece", F.concat("head", "body", F.lit(END)))
-        .withColumn("cost", F.floor((F.octet_length("piece") + 3) / 4))
+        .withColumn("head", head)
+        .withColumn("body", escape(F.col("text")))
         .withColumn(
-            "range", F.coalesce(F.floor(F.col("turn") / RANGE_TURNS), F.lit(-(2**61)).cast("long"))
+            "cost",
+            F.floor((F.octet_length("head") + F.octet_length("body") + len(END) + 3) / 4),
         )
+        .withColumn("tie", F.md5("text"))
+        .drop("text")
+    )
+    return cut_lineage(rows.withColumn("uid", F.monotonically_increasing_id()))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """(uid, conv_id, role, cost, n, at): place and first token within the conversation.
+
+    No texts here: a few numbers for each turn go through the windows and joins.
+    """
+    rows = rows.select("uid", "conv_id", "turn", "role", "tie", "cost").withColumn(
+        "range", F.coalesce(F.floor(F.col("turn") / RANGE_TURNS), F.lit(-(2**61)).cast("long"))
     )
     ranges = rows.groupBy("conv_id", "range").agg(
         F.sum("cost").alias("cost"), F.count(F.lit(1)).alias("rows")
@@ -59,7 +73,7 @@ def _numbered(turns: DataFrame) -> DataFrame:
         F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("o_n"),
     )
     inside = Window.partitionBy("conv_id", "range").orderBy(
-        F.col("turn").asc_nulls_first(), "role", "text"
+        F.col("turn").asc_nulls_first(), "role", "tie", "uid"
     )
     return (
         rows.withColumn("at", F.sum("cost").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
@@ -69,14 +83,12 @@ def _numbered(turns: DataFrame) -> DataFrame:
             F.col("conv_id").eqNullSafe(F.col("o_id")) & (F.col("range") == F.col("o_range")),
         )
         .select(
+            "uid",
             "conv_id",
+            "role",
+            "cost",
             (F.col("o_n") + F.col("n") - 1).alias("n"),
             (F.col("o_at") + F.col("at") - F.col("cost")).alias("at"),
-            "cost",
-            "role",
-            "piece",
-            F.length("head").alias("head_chars"),
-            F.length("body").alias("body_chars"),
         )
     )
 
@@ -93,50 +105,42 @@ def format_chats(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY)
     a turn across the end of a stretch is a window by itself. The first system
     turn is repeated at the start of every later window.
 
-    Turns are ordered by turn (null first), then role, then text; equal rows
-    stay apart. A null role or text counts as empty, a null conv_id as a
+    Turns are ordered by turn (null first), then role, then a digest of the
+    text; equal rows stay apart. A null role or text counts as empty, a null conv_id as a
     conversation. Other columns are ignored; an empty table gives no windows.
     """
-    rows = _numbered(turns)
+    texts = _written(turns)
+    rows = cut_lineage(_numbered(texts))
     system = (
         rows.where(F.col("role") == "system")
         .groupBy("conv_id")
-        .agg(F.min_by(F.struct("n", "at", "cost", "piece"), "n").alias("s"))
+        .agg(F.min_by(F.struct("uid", "n", "cost"), "n").alias("s"))
         .select(F.col("conv_id").alias("s_id"), "s")
     )
-    rows = rows.join(system, F.col("conv_id").eqNullSafe(F.col("s_id")), "left").drop("s_id")
-    room = F.greatest(
-        F.lit(budget - history) - F.coalesce(F.col("s.cost"), F.lit(0)), F.lit(1)
-    )
-    rows = (
-        rows.withColumn("room", room)
-        .withColumn("stretch", F.floor(F.col("at") / F.col("room")))
-        .withColumn("last", F.floor((F.col("at") + F.col("cost") - 1) / F.col("room")))
-        .withColumn(
-            "window", 2 * F.col("stretch") + (F.col("last") > F.col("stretch")).cast("long")
-        )
+    room = F.greatest(F.lit(budget - history) - F.coalesce(F.col("s.cost"), F.lit(0)), F.lit(1))
+    stretch = F.floor(F.col("at") / F.col("room"))
+    last = F.floor((F.col("at") + F.col("cost") - 1) / F.col("room"))
+    rows = cut_lineage(
+        rows.join(system, F.col("conv_id").eqNullSafe(F.col("s_id")), "left")
+        .withColumn("room", room)
+        .withColumn("window", 2 * stretch + (last > stretch).cast("long"))
+        .select("uid", "conv_id", "n", "at", "cost", "window", "s")
     )
     windows = rows.groupBy("conv_id", "window").agg(
-        F.min("n").alias("w_n"), F.min("at").alias("w_at")
+        F.min("n").alias("w_n"), F.min("at").alias("w_at"), F.first("s").alias("s")
     )
 
-    fresh = rows.select(
-        "conv_id",
-        "window",
-        F.lit(2).alias("part"),
-        "n",
-        "piece",
-        F.when(F.col("role") == "assistant", F.col("head_chars")).alias("skip"),
-        F.col("body_chars").alias("take"),
+    # which turn stands where: its number, its window and its part of it
+    fresh = rows.select("uid", "window", F.lit(2).alias("part"), "n")
+    kept = windows.where(F.col("w_n") > F.col("s.n")).select(
+        "s.uid", "window", F.lit(0).alias("part"), "s.n"
     )
-    nothing = [F.lit(None).cast("int").alias("skip"), F.lit(None).cast("int").alias("take")]
-    kept = windows.join(
-        system, F.col("conv_id").eqNullSafe(F.col("s_id")) & (F.col("w_n") > F.col("s.n"))
-    ).select("conv_id", "window", F.lit(0).alias("part"), F.col("s.n").alias("n"), "s.piece", *nothing)
     # a turn can be history of windows that begin in [its end, its begin + history]: two
     # stretches of that length, so windows and turns meet on the stretch
     past = (
-        rows.where((F.col("cost") <= history) & ~F.coalesce(F.col("n") == F.col("s.n"), F.lit(False)))
+        rows.where(
+            (F.col("cost") <= history) & ~F.coalesce(F.col("n") == F.col("s.n"), F.lit(False))
+        )
         .withColumn(
             "meet",
             F.explode(
@@ -146,21 +150,35 @@ def format_chats(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY)
                 )
             ),
         )
-        .select(F.col("conv_id").alias("p_id"), "meet", "n", "at", "cost", "piece")
+        .select("uid", F.col("conv_id").alias("p_id"), "meet", "n", "at", "cost")
+    )
+    begins = windows.select(
+        "conv_id", "window", "w_at", F.floor(F.col("w_at") / history).alias("w_meet")
     )
-    begins = windows.withColumn("w_meet", F.floor(F.col("w_at") / history))
     repeated = begins.join(
         past,
         F.col("conv_id").eqNullSafe(F.col("p_id"))
         & (F.col("w_meet") == F.col("meet"))
         & (F.col("at") + F.col("cost") <= F.col("w_at"))
         & (F.col("at") + history >= F.col("w_at")),
-    ).select("conv_id", "window", F.lit(1).alias("part"), "n", "piece", *nothing)
+    ).select("uid", "window", F.lit(1).alias("part"), "n")
 
-    # a window is bounded by the budget, so its turns may meet in one row
+    # the texts move twice: to their places, and into the windows. A window is bounded by
+    # the budget, so its turns may meet in one row
+    learned = (F.col("part") == 2) & (F.col("role") == "assistant")
     built = (
         fresh.unionByName(kept)
         .unionByName(repeated)
+        .join(texts.select("uid", "conv_id", "role", "head", "body"), "uid")
+        .select(
+            "conv_id",
+            "window",
+            "part",
+            "n",
+            F.concat("head", "body", F.lit(END)).alias("piece"),
+            F.when(learned, F.length("head")).alias("skip"),
+            F.when(learned, F.length("body")).alias("take"),
+        )
         .groupBy("conv_id", "window")
         .agg(
             F.array_sort(
