@@ -289,7 +289,8 @@ def search(
 
     merged = (
         dealt.unionByName(spread)
-        .repartition(shards, "shard")
+        # a task for each shard: hashed to partitions, several would share one
+        .repartitionById(shards, F.col("shard").cast("int"))
         .sortWithinPartitions("shard", "block", "vec_id")
         .mapInArrow(run, "query_id long, vec_id long, score double")
     )
