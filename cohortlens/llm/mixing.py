@@ -10,7 +10,7 @@ from its share, as long as no source has run out.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Slots of a period: weights are rounded to multiples of 1 / PERIOD, 1 at least.
@@ -80,6 +80,12 @@ def period_schedule(shares_: DataFrame, period: int) -> DataFrame:
     )
 
 
+def _named() -> list[Column]:
+    """The source as two columns without nulls, to be joined and partitioned alike."""
+    name = F.coalesce(F.col("source").cast("string"), F.lit(""))
+    return [name.alias("_name"), F.col("source").isNull().alias("_nameless")]
+
+
 def mix_sources(
     docs: DataFrame,
     weights: DataFrame | None = None,
@@ -138,22 +144,22 @@ def mix_sources(
     plan = period_schedule(shares(target, period), period)
 
     before = Window.partitionBy("source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    place = ["_name", "_nameless", "_range"]
     offsets = sums.select(
-        F.col("source").alias("_s"),
-        F.col("_range").alias("_r"),
+        *_named(),
+        "_range",
         F.coalesce(F.sum("size").over(before), F.lit(0)).alias("_offset"),
     )
     inside = (
-        Window.partitionBy("source", "_range")
+        Window.partitionBy(*place)
         .orderBy("_key", "_text_key")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    # the rows, and the columns they carry, are dealt out once for window and join
     placed = (
-        rows.withColumn("_run", F.sum("size").over(inside))
-        .join(
-            offsets,
-            F.col("source").eqNullSafe(F.col("_s")) & (F.col("_range") == F.col("_r")),
-        )
+        rows.select("*", *_named())
+        .withColumn("_run", F.sum("size").over(inside))
+        .join(offsets, place)
         .withColumn(
             "block",
             F.floor((F.col("_offset") + F.col("_run") - F.col("size")) / F.lit(block_chars)),
