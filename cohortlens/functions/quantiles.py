@@ -29,15 +29,15 @@ def exact_quantiles(
     the result is the same for every ``interval_values``. Null and NaN are left
     out; infinities are values like any other. Without values a quantile is null.
     """
-    counts = df.agg(*[F.count(_value(c)).alias(c) for c in columns]).first()
-    wanted = {}
-    for c in columns:
-        for p in probabilities if counts[c] else ():
-            position = (counts[c] - 1) * p
-            wanted[c, p] = (math.floor(position), math.ceil(position), position)
-    shares = {(c, k): p for (c, p), (lo, hi, _) in wanted.items() for k in (hi, lo)}
-    if shares:
-        with kept(df.select(*[c for c in columns if counts[c]])) as narrow:
+    wanted, found = {}, {}
+    with kept(df.select(*[_value(c).alias(c) for c in columns])) as narrow:
+        counts = narrow.agg(*[F.count(c).alias(c) for c in columns]).first()
+        for c in columns:
+            for p in probabilities if counts[c] else ():
+                position = (counts[c] - 1) * p
+                wanted[c, p] = (math.floor(position), math.ceil(position), position)
+        shares = {(c, k): p for (c, p), (lo, hi, _) in wanted.items() for k in (hi, lo)}
+        if shares:
             found = _order_statistics(narrow, shares, counts, interval_values)
     result = {}
     for c in columns:
@@ -69,7 +69,10 @@ def _inside(value: Column, low: float | None, high: float | None) -> Column:
 
 
 def _order_statistics(df, targets, counts, interval_values):
-    """Value at each 0-based rank of ``targets`` {(column, rank): its probability}."""
+    """Value at each 0-based rank of ``targets`` {(column, rank): its probability}.
+
+    The columns of ``df`` are doubles without NaN.
+    """
     # open interval (low, high), number of values <= low, number inside
     state = {t: (None, None, 0, counts[t[0]]) for t in targets}
     found: dict[tuple[str, int], float] = {}
@@ -87,7 +90,7 @@ def _order_statistics(df, targets, counts, interval_values):
             own.setdefault(targets[target], []).append(target)
         proposals = []
         for i, ((column, low, high, below, size), own) in enumerate(shared.items()):
-            value = _value(column)
+            value = F.col(column)
             places = [(members[0][1] - below) / size for members in own.values()]
             edges = [e for x in places for e in (max(x - margin, 0.0), min(x + margin, 1.0))]
             within = F.when(_inside(value, low, high), value)
@@ -104,8 +107,8 @@ def _order_statistics(df, targets, counts, interval_values):
                 count.alias(f"{name}{i}")
                 for i, (column, edge) in enumerate(checked)
                 for name, count in (
-                    ("lt", F.count_if(_value(column) < F.lit(edge))),
-                    ("eq", F.count_if(_value(column) == F.lit(edge))),
+                    ("lt", F.count_if(F.col(column) < F.lit(edge))),
+                    ("eq", F.count_if(F.col(column) == F.lit(edge))),
                 )
             ]
         ).first()
@@ -138,7 +141,7 @@ def _order_statistics(df, targets, counts, interval_values):
     # interval_values rows, so that is what comes back per interval
     picked = []
     for i, (column, low, high, _, _) in enumerate(narrow):
-        value = _value(column)
+        value = F.col(column)
         picked.append(
             F.when(
                 _inside(value, low, high),
