@@ -30,7 +30,7 @@ from cohortlens.session import cut_lineage
 SHINGLE = 5
 THRESHOLD = 0.8
 TREES, DEPTH = 16, 8
-TARGET_RECALL = 0.9995
+TARGET_RECALL = 0.99998
 #: Expected texts of a block of a crowded prefix.
 BLOCK = 192
 #: Words whose hashes a task keeps.
