@@ -1,20 +1,34 @@
-"""Mixing sources to target weights by Pfair scheduling, in built-in expressions only.
-
-Each source is cut into blocks of equal size. With weight a out of P, block i
-(from 0) is released at floor(i P / a) and due at ceil((i + 1) P / a); in each
-slot the released block with the earliest deadline goes out. Releases and
-deadlines repeat after P slots, so the schedule of one period serves for all
-blocks, and after any number of slots each source is less than one block away
-from its share, as long as no source has run out.
+"""Mixing sources to target weights by Pfair scheduling; rows pass built-in expressions only.
+
+Each source is cut into blocks of equal size. With share w of the weights, block
+i (from 0) is released at floor(i / w) and due at ceil((i + 1) / w); in each slot
+the released block with the earliest deadline goes out. After any number of slots
+each source is less than one block away from its share, as long as no source has
+run out. The driver holds one number for each block.
+
+With a period P, weights are first rounded to whole slots of P, one slot set
+aside for each source. Releases and deadlines then repeat after P slots, so the
+schedule of one period serves for all blocks; it is kept to the rounded weights,
+and from the given ones a source departs by the same error in each period.
 """
 
 from __future__ import annotations
 
+import heapq
+from array import array
+from fractions import Fraction
+from math import lcm
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Slots of a period: weights are rounded to multiples of 1 / PERIOD, 1 at least.
 PERIOD = 1000
+#: Without a period: sources that the driver schedules at most.
+MOST_SOURCES = 100_000
+#: Slots of a source that stand in one row of the schedule.
+STRETCH = 1024
 #: Characters of a block.
 BLOCK_CHARS = 65_536
 #: Rows of a source are dealt to this many ranges of their hash, so that running sums of a
@@ -80,6 +94,35 @@ def period_schedule(shares_: DataFrame, period: int) -> DataFrame:
     )
 
 
+def weighted_schedule(weights: list[float], blocks: list[int]) -> list[array]:
+    """For each source the slots of its blocks, by earliest deadline first.
+
+    Releases and deadlines come from the weights themselves, in whole numbers. When
+    a source has no blocks left, the others start anew with their own weights.
+    """
+    parts = [Fraction(w) for w in weights]
+    scale = lcm(*(f.denominator for f in parts))
+    size = [int(f * scale) for f in parts]
+    out, slot = [array("q") for _ in weights], 0
+    alive = [j for j, n in enumerate(blocks) if n > 0]
+    while alive:
+        every, done, start = sum(size[j] for j in alive), dict.fromkeys(alive, 0), slot
+        waiting, ready, ended = [(0, j) for j in alive], [], None
+        while ended is None:
+            while waiting and waiting[0][0] <= slot - start:
+                j = heapq.heappop(waiting)[1]
+                heapq.heappush(ready, (-(-(done[j] + 1) * every // size[j]), j))
+            j = heapq.heappop(ready)[1]
+            out[j].append(slot)
+            slot += 1
+            done[j] += 1
+            heapq.heappush(waiting, (done[j] * every // size[j], j))
+            if len(out[j]) == blocks[j]:
+                ended = j
+        alive.remove(ended)
+    return out
+
+
 def _named() -> list[Column]:
     """The source as two columns without nulls, to be joined and partitioned alike."""
     name = F.coalesce(F.col("source").cast("string"), F.lit(""))
@@ -89,7 +132,7 @@ def _named() -> list[Column]:
 def mix_sources(
     docs: DataFrame,
     weights: DataFrame | None = None,
-    period: int = PERIOD,
+    period: int | None = None,
     block_chars: int = BLOCK_CHARS,
     seed: int = 0,
     carry: tuple[str, ...] = (),
@@ -100,15 +143,15 @@ def mix_sources(
     from 0), slot (place of that block in the mixture) and the columns named in
     ``carry``. Rows of a source stand in the order of a hash of id and seed;
     a row belongs to the block in which it starts. Training reads by slot.
-    When a source has no blocks left its slots are left out, and the others go
-    on in their order, so no row is dropped.
+    When a source has no blocks left the others go on in the shares of their own
+    weights, so no row is dropped; with ``period`` its slots are left out.
 
     ``weights`` (source, weight > 0) names the target; without it the square
     root of each source's characters is taken. A source without a weight, and
     one with a null or non-positive weight, counts with the smallest weight
     given. A null source is a source; null and empty texts have size 0;
     repeated rows are all kept; an empty table gives an empty result. More
-    sources than ``period`` are an error.
+    sources than ``period``, or than MOST_SOURCES without one, are an error.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
@@ -138,10 +181,19 @@ def mix_sources(
             .join(least)
             .select("source", F.coalesce("given", "least", F.lit(1.0)).alias("weight"))
         )
-    n_sources = target.limit(period + 1).count()
-    if n_sources > period:
-        raise ValueError(f"more than {period} sources: raise period or join sources first")
-    plan = period_schedule(shares(target, period), period)
+    most = period or MOST_SOURCES
+    if period:
+        n_sources = target.limit(most + 1).count()
+    else:
+        of_source = sums.groupBy("source").agg(F.sum("size").alias("size")).select(
+            F.col("source").alias("_sized"), "size"
+        )
+        known = target.join(of_source, F.col("source").eqNullSafe(F.col("_sized")))
+        name = F.col("source").cast("string").alias("name")
+        found = known.select(name, "weight", "size").limit(most + 1).collect()
+        n_sources = len(found)
+    if n_sources > most:
+        raise ValueError(f"more than {most} sources: raise period or join sources first")
 
     before = Window.partitionBy("source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     place = ["_name", "_nameless", "_range"]
@@ -165,17 +217,38 @@ def mix_sources(
             F.floor((F.col("_offset") + F.col("_run") - F.col("size")) / F.lit(block_chars)),
         )
     )
-    slots = plan.select(
-        F.col("source").alias("_p"), "share", "turn", F.col("slot").alias("_slot")
-    )
-    by_source = slots.groupBy("_p", "share").agg(
-        F.array_sort(F.collect_list(F.struct("turn", "_slot"))).alias("slots")
-    )
-    turn = F.element_at("slots", (F.col("block") % F.col("share") + 1).cast("int"))["_slot"]
-    cycle = F.floor(F.col("block") / F.col("share"))
-    # one row for each source, period slots in all
-    out = placed.join(F.broadcast(by_source), F.col("source").eqNullSafe(F.col("_p"))).withColumn(
-        "slot", cycle * period + turn
-    )
+    # each source's slots by block: one row for each STRETCH of them, or one for a whole period
+    if period:
+        slots = period_schedule(shares(target, period), period).select(
+            F.col("source").alias("_p"), "share", "turn", F.col("slot").alias("_slot")
+        )
+        by_source = slots.groupBy("_p", "share").agg(
+            F.array_sort(F.collect_list(F.struct("turn", "_slot"))).alias("slots")
+        )
+        matches = F.col("source").eqNullSafe(F.col("_p"))
+        turn = F.element_at("slots", (F.col("block") % F.col("share") + 1).cast("int"))["_slot"]
+        slot = F.floor(F.col("block") / F.col("share")) * period + turn
+    else:
+        found.sort(key=lambda r: (r["name"] is not None, r["name"]))
+        plan = weighted_schedule(
+            [r["weight"] for r in found], [r["size"] // block_chars + 1 for r in found]
+        )
+        at = [(j, k) for j, own in enumerate(plan) for k in range(0, len(own), STRETCH)]
+        by_source = docs.sparkSession.createDataFrame(
+            pa.table(
+                {
+                    "_p": pa.array([found[j]["name"] for j, _ in at], pa.string()),
+                    "_stretch": pa.array([k // STRETCH for _, k in at], pa.int64()),
+                    "slots": pa.array(
+                        [plan[j][k : k + STRETCH].tolist() for j, k in at], pa.list_(pa.int64())
+                    ),
+                }
+            )
+        )
+        matches = F.col("source").cast("string").eqNullSafe(F.col("_p")) & (
+            F.floor(F.col("block") / STRETCH) == F.col("_stretch")
+        )
+        slot = F.element_at("slots", (F.col("block") % STRETCH + 1).cast("int"))
+    out = placed.join(F.broadcast(by_source), matches).withColumn("slot", slot)
     carried = [F.col(f"_carry.`{c}`").alias(c) for c in carry]
     return out.select("doc_id", "source", "size", "block", "slot", *carried)

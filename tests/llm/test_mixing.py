@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cohortlens.llm.mixing import mix_sources, period_schedule, shares
+from cohortlens.llm.mixing import mix_sources, period_schedule, shares, weighted_schedule
 
 
 def _plain(share, period):
@@ -76,3 +76,35 @@ def test_edges(frame):
     many = frame([(i, "x", str(i)) for i in range(30)], "doc_id int, text string, source string")
     with pytest.raises(ValueError):
         mix_sources(many, period=20)
+
+
+@pytest.mark.parametrize(
+    "weights",
+    [[0.9, 0.1], [0.9, *[0.01] * 10], [0.5, *[0.5 / 199] * 199], [5.0], [1e-7, 3**0.5, 1.0],
+     [(304e6) ** 0.5, *((28e6 + 7e4 * i) ** 0.5 for i in range(19))]],
+)
+def test_less_than_one_block_from_the_weights(weights):
+    n, every = 12_000, sum(weights)
+    plan = weighted_schedule(weights, [n] * len(weights))
+    slots = {t: j for j, own in enumerate(plan) for t in own if t < n}
+    assert len(slots) == n and all(list(own) == sorted(own) for own in plan)
+    got = [0] * len(weights)
+    for t in range(n):
+        got[slots[t]] += 1
+        if t % 7 == 0 or t == n - 1:
+            assert all(abs(g - (t + 1) * w / every) < 1 + 1e-6 for g, w in zip(got, weights))
+
+
+def test_ended_sources_leave_the_others_their_shares():
+    plan = weighted_schedule([2.0, 1.0, 1.0], [10, 400, 0])
+    assert sorted(t for own in plan for t in own) == list(range(410)) and len(plan[2]) == 0
+    assert max(plan[0]) <= 15
+
+
+def test_rows_follow_the_target_weights(frame):
+    rows = [(i, "x" * 100, s) for s, n in (("a", 1_900), ("b", 250), (None, 10)) for i in range(n)]
+    docs = frame(rows, "doc_id int, text string, source string")
+    weights = frame([("a", 0.895), ("b", 0.1), (None, 0.005)], "source string, weight double")
+    got = mix_sources(docs, weights, block_chars=100).where(F.col("slot") < 2_000)
+    counts = {r.source: r["count"] for r in got.groupBy("source").count().collect()}
+    assert all(abs(counts[s] - 2_000 * w) < 1 for s, w in (("a", 0.895), ("b", 0.1), (None, 0.005)))
