@@ -69,24 +69,36 @@ def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if batch.num_rows:
             yield batch.slice(start)
 
+#: A text of more than this part of a sample's characters is too long for the sample.
+LONG_PART = 5
+
 
 def bounded_sample(rows: DataFrame, key: str, most_rows: int, most_chars: int) -> DataFrame:
     """For each value of ``key`` at most ``most_rows`` rows with at most ``most_chars`` of text.
 
     Rows (doc_id, text, key) are chosen by a hash of their id: a threshold from
     the value's row count keeps about twice the bound, and the smallest hashes of
-    those, up to both bounds, are returned. Few distinct values are expected.
+    those, up to both bounds, are returned. Texts of more than ``most_chars`` /
+    LONG_PART characters are left out beforehand, so they take no room from
+    others; a value that has no shorter text gives the starts of its long ones.
+    Null texts are left out. Few distinct values are expected.
     """
-    counts = rows.groupBy(key).count().collect()
+    longest = max(1, most_chars // LONG_PART)
+    length = F.length("text")
+    counts = rows.groupBy(key).agg(
+        F.count(F.when(length <= longest, 1)).alias("short"), F.count("text").alias("all")
+    )
     order = F.xxhash64(F.col("doc_id").cast("string"))
     keep = F.lit(False)
-    for r in counts:
-        every = max(1, r["count"] // (2 * most_rows))
-        keep = keep | ((F.col(key) == F.lit(r[key])) & (F.pmod(order, F.lit(every)) == 0))
+    for r in counts.collect():
+        every = max(1, (r["short"] or r["all"]) // (2 * most_rows))
+        fits = (length <= longest) if r["short"] else F.col("text").isNotNull()
+        keep = keep | ((F.col(key) == F.lit(r[key])) & fits & (F.pmod(order, F.lit(every)) == 0))
     by = Window.partitionBy(key).orderBy("_order", "text")
     size = F.sum(F.length("text")).over(by.rowsBetween(Window.unboundedPreceding, 0))
     return (
         rows.where(keep)
+        .withColumn("text", F.substring("text", 1, longest))
         .withColumn("_order", order)
         .withColumn("_row", F.row_number().over(by))
         .where(F.col("_row") <= most_rows)

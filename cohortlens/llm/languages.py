@@ -3,7 +3,8 @@
 Features are TF-IDF weights of the 1- to 3-grams inside words, with word ends
 marked. Weights are learned with follow-the-regularised-leader (per-coordinate
 rates, elastic net), then the logits are divided by one fitted temperature.
-Learning takes a bounded sample; prediction reads every whole text in one pass.
+Weights are learned from a bounded sample; the n-grams' document frequencies are
+counted over all learning texts. Prediction reads every whole text in one pass.
 """
 
 from __future__ import annotations
@@ -116,8 +117,50 @@ def _examples(texts: list[tuple[str, str]], rng: random.Random) -> list[tuple[st
     return out
 
 
-def learn(texts: list[tuple[str, str]], seed: int = 1) -> Model | None:
-    """A model from (lang, text); every tenth text only fits the temperature."""
+def sample_grams(texts: list[tuple[str, str]]) -> list[str]:
+    """The distinct n-grams of (lang, text), in order."""
+    words = {w for _, text in texts for w in text.lower().split()}
+    return sorted({g for w in words for g in _grams(w)})
+
+
+def document_frequencies(docs: DataFrame, grams: list[str]) -> tuple[Counter, int]:
+    """In how many texts of ``docs`` each of ``grams`` stands, and the number of texts."""
+    shared = docs.sparkSession.sparkContext.broadcast({g: i for i, g in enumerate(grams)})
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, memo = shared.value, {}
+        # a last place counts the texts
+        n = np.zeros(len(place) + 1, np.int64)
+        for batch in slices(batches):
+            for text in batch.column(0).to_pylist():
+                words = set(text.lower().split())
+                if len(memo) + len(words) > MEMO:
+                    memo.clear()
+                for w in words:
+                    if w not in memo:
+                        memo[w] = np.array([place[g] for g in set(_grams(w)) if g in place], np.int32)
+                found = np.zeros(len(n), bool)
+                if words:
+                    found[np.concatenate([memo[w] for w in words])] = True
+                found[-1] = True
+                n += found
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some])], names=["i", "n"])
+
+    counted = docs.select("text").mapInArrow(run, "i long, n long")
+    rows = counted.groupBy("i").agg(F.sum("n").alias("n")).collect()
+    total = sum(r["n"] for r in rows if r["i"] == len(grams))
+    return Counter({grams[r["i"]]: r["n"] for r in rows if r["i"] < len(grams)}), total
+
+
+def learn(
+    texts: list[tuple[str, str]], seed: int = 1, frequencies: tuple[Counter, int] | None = None
+) -> Model | None:
+    """A model from (lang, text); every tenth text only fits the temperature.
+
+    ``frequencies`` (of each n-gram, and the number of texts) are those of the
+    learning examples unless given.
+    """
     langs = sorted({lang for lang, _ in texts})
     if not langs:
         return None
@@ -132,11 +175,12 @@ def learn(texts: list[tuple[str, str]], seed: int = 1) -> Model | None:
     if not examples:
         return Model(langs, np.zeros(len(langs)), {})
 
-    seen = Counter(g for _, grams in examples for g in grams)
-    place = {g: i + 1 for i, g in enumerate(sorted(g for g, n in seen.items() if n > 1))}
+    learned = {g for _, grams in examples for g in grams}
+    seen, every = frequencies or (Counter(g for _, grams in examples for g in grams), len(examples))
+    place = {g: i + 1 for i, g in enumerate(sorted(g for g in learned if seen[g] > 1))}
     idf = np.ones(len(place) + 1)  # place 0 is the bias
     for g, i in place.items():
-        idf[i] = np.log((1 + len(examples)) / (1 + seen[g])) + 1
+        idf[i] = np.log((1 + every) / (1 + seen[g])) + 1
     z, n = np.zeros((len(idf), len(langs))), np.zeros((len(idf), len(langs)))
 
     def weights(rows: np.ndarray) -> np.ndarray:
@@ -234,23 +278,19 @@ def identify(docs: DataFrame, folds: int = 5) -> DataFrame:
     """Per row of ``docs`` (doc_id, text, lang): doc_id, held_out, lang_pred, score.
 
     Learned from texts with a language whose crc32(doc_id) mod ``folds`` is not
-    0; at most SAMPLE_ROWS rows and SAMPLE_CHARS characters of each language. A
-    null id counts as empty text, so it is held out. Null texts and texts
+    0: weights from at most SAMPLE_ROWS rows and SAMPLE_CHARS characters of each
+    language, document frequencies from all. A null id counts as empty text, so it is held out. Null texts and texts
     without a letter are ``und`` with score 0; so is everything where nothing
     can be learned. Ties go to the first language in order. Repeated rows are
     predicted each; other columns are ignored; an empty table gives no rows.
     """
-    sample = bounded_sample(
-        docs.where(
-            (id_remainder("doc_id", folds) != 0)
-            & F.col("lang").isNotNull()
-            & F.col("text").isNotNull()
-        ).select("doc_id", "text", "lang"),
-        "lang",
-        SAMPLE_ROWS,
-        SAMPLE_CHARS,
-    ).collect()
-    predicted = predict(docs, learn([(r.lang, r.text) for r in sample]))
+    train = docs.where(
+        (id_remainder("doc_id", folds) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull()
+    ).select("doc_id", "text", "lang")
+    sample = bounded_sample(train, "lang", SAMPLE_ROWS, SAMPLE_CHARS).collect()
+    texts = [(r.lang, r.text) for r in sample]
+    counted = document_frequencies(train, sample_grams(texts)) if texts else None
+    predicted = predict(docs, learn(texts, frequencies=counted))
     return predicted.select(
         "doc_id", (id_remainder("doc_id", folds) == 0).alias("held_out"), "lang_pred", "score"
     )

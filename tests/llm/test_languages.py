@@ -1,8 +1,12 @@
 """Language identification: held-out accuracy, calibration, edge cases."""
 
+import zlib
+
 import numpy as np
+import pytest
 
-from cohortlens.llm.languages import Model, _grams, identify, learn
+from cohortlens.llm.common import bounded_sample
+from cohortlens.llm.languages import Model, _grams, document_frequencies, identify, learn
 from cohortlens.llm.queries import op6_language_id
 
 
@@ -50,3 +54,35 @@ def test_word_rows_against_their_grams():
         parts = [grams.get(g, np.zeros(2)) for g in _grams(word)]
         assert row[-1] == len(parts)
         np.testing.assert_allclose(row[:-1], sum(parts, np.zeros(2)))
+
+
+@pytest.mark.parametrize("at", range(12))
+def test_an_over_long_text_removes_no_other(frame, at):
+    # whichever place the long text has in the order of the hash, the others stay
+    rows = [(i, "x" * (2_000 if i == at else 20), "a") for i in range(12)] + [(50, "y" * 3_000, "b")]
+    got = bounded_sample(frame(rows, "doc_id long, text string, lang string"), "lang", 100, 1_000)
+    texts = [(r.lang, r.text) for r in got.collect()]
+    assert sorted(texts) == [("a", "x" * 20)] * 11 + [("b", "y" * 200)]
+
+
+def test_language_with_long_texts_only_is_learned(frame, monkeypatch):
+    monkeypatch.setattr("cohortlens.llm.languages.SAMPLE_CHARS", 4_000)
+    kinds = {"en": "the cat and the dog with this ", "de": "der hund und die katze mit diesem "}
+    rows = [(i, kinds["en"], "en") for i in range(40)] + [(i, kinds["de"] * 200, "de") for i in range(40, 80)]
+    got = identify(frame(rows, "doc_id long, text string, lang string")).collect()
+    assert {(r.doc_id >= 40, r.lang_pred) for r in got} == {(False, "en"), (True, "de")}
+
+
+def test_document_frequencies_of_all_texts(frame, monkeypatch):
+    texts = ["aba ab", "ab", "ba ba", "", "12"] * 7
+    rows = frame([(t,) for t in texts], "text string").repartition(3)
+    seen, every = document_frequencies(rows, ["<a", "aba", "b", "zz"])
+    assert every == 35 and dict(seen) == {"<a": 14, "aba": 7, "b": 21}
+    # the model sees them: a sample of one text a language, frequencies of all
+    given = []
+    monkeypatch.setattr("cohortlens.llm.languages.SAMPLE_ROWS", 1)
+    monkeypatch.setattr(
+        "cohortlens.llm.languages.learn", lambda t, frequencies: given.append((len(t), frequencies[1]))
+    )
+    identify(frame([(i, "some words", "en") for i in range(60)], "doc_id long, text string, lang string"))
+    assert given == [(1, sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(60)))]

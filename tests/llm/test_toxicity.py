@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cohortlens.llm.toxicity import Kernel, drop_toxic, learn, rate
 
@@ -87,3 +88,21 @@ def test_nothing_to_learn(frame):
     docs = frame([(1, "a b c"), (2, None)], "doc_id long, text string")
     assert [r.score for r in rate(docs, labels).collect()] == [0.0, 0.0]
     assert rate(frame([], "doc_id long, text string"), labels).collect() == []
+
+
+def test_over_long_labelled_texts(frame, corpus, monkeypatch):
+    # a toxic text above the bound in the place of the first in the order of the hash
+    monkeypatch.setattr("cohortlens.llm.toxicity.SAMPLE_CHARS", 200_000)
+    docs, labels = corpus
+    long = _text(random.Random(2), 40, 60_000)
+    table = frame(docs, "doc_id long, text string")
+    order = table.where("doc_id % 4 = 0 and crc32(cast(doc_id as string)) % 5 <> 0").orderBy(
+        F.xxhash64(F.col("doc_id").cast("string"))
+    )
+    first = order.first().doc_id
+    rows = [(i, long if i == first else t) for i, t in docs]
+    got = rate(frame(rows, "doc_id long, text string"), frame(labels, "doc_id long, toxic int")).collect()
+    truth = dict(labels)
+    held = [r for r in got if r.held_out]
+    assert sum(r.predicted == truth[r.doc_id] for r in held) >= 0.95 * len(held)
+    assert any(r.predicted for r in held)
