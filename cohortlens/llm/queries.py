@@ -15,13 +15,16 @@ from cohortlens.llm import (
     decontamination,
     graph_search,
     languages,
+    lines,
+    manifest,
     mixing,
     near_duplicates,
+    repair,
     secrets,
     tokens,
     toxicity,
 )
-from cohortlens.llm.common import table
+from cohortlens.llm.common import ascii_lower, table
 
 #: Folder of the public tokenizers' vocabulary files.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -124,6 +127,94 @@ def op10_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
     return chat.chat_digest(chat.format_chats(turns.unionByName(extra)))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+
+    def digest(text):
+        return manifest.leaf_digest(*(docs[c] for c in ("doc_id", "source", "lang", "n_chars")), text)
+
+    # some texts are tampered with; a null id has no decimals and is left alone
+    tampered = F.crc32(docs["doc_id"].cast("string")) % 3 == 0
+    leaves = docs.select(
+        "doc_id",
+        "lang",
+        digest(docs["text"]).alias("leaf"),
+        digest(F.when(tampered, ascii_lower(docs["text"])).otherwise(docs["text"])).alias("claim"),
+    )
+    return manifest.prove(leaves).select(
+        "carry.doc_id",
+        "carry.leaf",
+        "subroot",
+        "root",
+        F.sha2("proof", 256).alias("proof_sha256"),
+        F.col("folded").alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with planted faults, by a checksum of conversation and turn (null: a space)."""
+    space = F.lit(" ")
+    rows = turns.select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text"
+    ).withColumn(
+        "fault",
+        F.crc32(
+            F.concat_ws(
+                ":", *(F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn"))
+            )
+        )
+        % 20,
+    )
+    text = F.coalesce("text", space)
+    changed = (
+        F.when(F.col("fault") == 1, "")
+        .when(F.col("fault") == 2, F.regexp_replace(text, "[.!?]", ""))
+        .otherwise(text)
+    )
+    times = F.when(F.col("fault") == 3, 2).otherwise(1)
+    return rows.where("fault <> 0").select(
+        "conv_id",
+        "turn",
+        F.when(F.col("fault") == 4, "user").otherwise(F.coalesce("role", space)).alias("role"),
+        changed.alias("text"),
+        F.explode(F.sequence(F.lit(1), times)).alias("copy"),
+    )
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations")
+    broken = damaged(turns)
+    whole, edited = repair.repair(broken)
+    span = F.max("turn") - F.min("turn") + 1 - F.countDistinct("turn")
+    gaps = broken.groupBy("conv_id").agg(F.coalesce(span, F.lit(0)).alias("gaps"))
+    # the digest of a conversation needs its whole text in one row; the repair does not
+    said = F.struct("place", F.concat("role", F.lit(":"), "text").alias("said"))
+    digests = (
+        edited.where("edit <> 'D'")
+        .groupBy("conv_id")
+        .agg(F.array_sort(F.collect_list(said)).alias("said"))
+        .select("conv_id", F.array_join("said.said", "\n").alias("said"))
+    )
+    out = turns.select(F.col("conv_id").cast("long").alias("id")).distinct()
+    for side in (whole, gaps, digests):
+        same = F.col("id").eqNullSafe(side["conv_id"])
+        out = out.join(side, same, "left").drop(side["conv_id"])
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return out.select(
+        F.col("id").alias("conv_id"),
+        *(F.coalesce(F.col(c).cast("long"), F.lit(0).cast("long")).alias(c) for c in numbers),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.sha2(F.coalesce("said", F.lit("")), 256).alias("repaired_sha256"),
+    )
+
+
+def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, folder, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 OP1_SQL = f"""
 WITH RECURSIVE p AS (SELECT {mixing.PERIOD} AS n, {mixing.BLOCK_CHARS} AS chars),
 d AS (
@@ -299,6 +390,203 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN covered USING (rid) LEFT JOIN named USING (rid)
 """
 
+
+
+def _crc32(text: str) -> str:
+    """The checksum of an ASCII expression, bit by bit."""
+    return f"""xor(list_reduce([ord(ch) FOR ch IN string_split({text}, '')],
+      lambda c, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0],
+        lambda r, z: xor(r >> 1, 3988292384 * (r & 1)), xor(c, CAST(b AS BIGINT))),
+      CAST(4294967295 AS BIGINT)), 4294967295)"""
+
+
+_FIELDS = " || ".join(
+    f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')"
+    for c in ("doc_id", "source", "lang", "n_chars", "text")
+)
+_FOLDED = _FIELDS.replace(
+    "|| text,", "|| translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+)
+
+
+def _levels(name: str, base: str) -> str:
+    """All nodes (tree, level, n, size, digest) above those of ``base``, by runs of eight."""
+    return f"""{name} AS (
+  SELECT tree, CAST(0 AS BIGINT) AS level, n, size, digest FROM {base}
+  UNION ALL
+  SELECT tree, any_value(level) + 1, n // 8, (any_value(size) + 7) // 8,
+         sha256(string_agg(digest, '' ORDER BY n))
+  FROM {name} WHERE size > 1 GROUP BY tree, n // 8
+)"""
+
+
+def _siblings(name: str, nodes: str) -> str:
+    """What stands left and right of each node in its run."""
+    return f"""{name} AS (
+  SELECT tree, level, n, size,
+         coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {nodes} WHERE size > 1 WINDOW w AS (PARTITION BY tree, level, n // 8 ORDER BY n)
+)"""
+
+
+OP11_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, sha256({_FIELDS}) AS digest,
+         CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 3 = 0 THEN sha256({_FOLDED})
+              ELSE sha256({_FIELDS}) END AS claim
+  FROM documents
+), leaves AS (
+  SELECT *, 'x' || coalesce('=' || lang, '') AS tree,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, digest, rid) - 1 AS n,
+         count(*) OVER (PARTITION BY lang) AS size
+  FROM d
+), {_levels("t", "leaves")},
+subroots AS (
+  SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS n, count(*) OVER () AS size
+  FROM t WHERE size = 1
+), top AS (SELECT '' AS tree, n, size, digest FROM subroots),
+{_levels("u", "top")},
+{_siblings("ts", "t")}, {_siblings("us", "u")},
+steps AS (
+  SELECT rid, ts.level, l, r FROM leaves JOIN ts
+    ON ts.tree = leaves.tree AND ts.n = leaves.n // CAST(pow(8, ts.level) AS BIGINT)
+  UNION ALL
+  SELECT rid, 1000 + us.level, l, r FROM leaves JOIN subroots s ON s.tree = leaves.tree JOIN us
+    ON us.n = s.n // CAST(pow(8, us.level) AS BIGINT)
+), paths AS (
+  SELECT rid, list(l ORDER BY level) AS l, list(r ORDER BY level) AS r,
+         string_agg(l || r, '' ORDER BY level) AS proof
+  FROM steps GROUP BY rid
+), folds AS (
+  SELECT d.rid, claim AS digest, CAST(0 AS BIGINT) AS i, l, r, coalesce(len(l), 0) AS m
+  FROM d LEFT JOIN paths USING (rid)
+  UNION ALL
+  SELECT rid, sha256(l[i + 1] || digest || r[i + 1]), i + 1, l, r, m FROM folds WHERE i < m
+)
+SELECT doc_id, leaves.digest AS leaf, subroots.digest AS subroot, root,
+       sha256(coalesce(proof, '')) AS proof_sha256, folds.digest AS folded_root,
+       folds.digest = root AS verified
+FROM leaves JOIN subroots USING (tree) JOIN folds ON folds.rid = leaves.rid AND folds.i = folds.m
+LEFT JOIN paths ON paths.rid = leaves.rid
+JOIN (SELECT digest AS root FROM u WHERE size = 1) ON true
+"""
+
+
+def _least(*cells: str) -> str:
+    return f"list_min([{', '.join(cells)}])"
+
+
+def _edit(cell: str, price: str, letter: str, said: str = "") -> str:
+    out = f"list_append({cell}.said, {said})" if said else f"{cell}.said"
+    return f"{{'cost': {cell}.cost + {price}, 'audit': {cell}.audit || '{letter}', 'said': {out}}}"
+
+
+_FAR = "{'cost': CAST(1000000 AS BIGINT), 'audit': '', 'said': CAST([] AS VARCHAR[])}"
+_U, _A = "'user:'", "'assistant:'"
+_KEPT = "role || ':' || text"
+
+
+def _new_role(cell: str, letter: str) -> str:
+    keep = f"CASE WHEN stays AND ini = '{letter}' THEN {_edit(cell, 'cut', 'K', _KEPT)} ELSE {_FAR} END"
+    role = "user" if letter == "u" else "assistant"
+    new = f"CASE WHEN stays THEN {_edit(cell, '2 + cut', 'R', f"'{role}:' || text")} ELSE {_FAR} END"
+    return f"{keep}, {new}"
+
+
+#: Cells hold the cheapest edits of a conversation's first rows that end at each place of the
+#: pattern: 0 its start, 1 after the system turn, 2 after a user, 3 after an assistant turn.
+OP12_SQL = rf"""
+WITH RECURSIVE f AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")}
+         % 20 AS fault
+  FROM conversations
+), b AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END
+           AS text,
+         unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM f WHERE fault <> 0
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS n,
+         left(role, 1) AS ini, rtrim(text, E' 	
+') AS t
+  FROM b
+), q AS (
+  SELECT *, t = '' AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again,
+         t <> '' AND NOT regexp_matches(t, '[.!?]$') AS open,
+         lag(ini) OVER (PARTITION BY conv_id ORDER BY n) AS before
+  FROM p
+), r AS (
+  SELECT *, NOT blank AND NOT again AS stays,
+         CAST(CASE WHEN open AND NOT blank AND NOT again THEN 1 ELSE 0 END AS BIGINT) AS cut
+  FROM q
+), k AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+         sum(cut) AS truncated, count(*) AS m,
+         count(*) FILTER (before IS NOT NULL AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM r GROUP BY conv_id
+), z AS (
+  SELECT conv_id, m, CAST(0 AS BIGINT) AS i,
+         {{'cost': CAST(0 AS BIGINT), 'audit': '', 'said': CAST([] AS VARCHAR[])}} AS c0,
+         {_FAR} AS c1,
+         {{'cost': CAST(2 AS BIGINT), 'audit': 'I', 'said': ['user:']}} AS c2,
+         {{'cost': CAST(4 AS BIGINT), 'audit': 'II', 'said': ['user:', 'assistant:']}} AS c3
+  FROM k
+  UNION ALL
+  SELECT conv_id, m, i, r0, r1,
+         {_least("r2", _edit("r0", "2", "I", _U), _edit("r1", "2", "I", _U), _edit("r3", "2", "I", _U))},
+         {_least("r3", _edit("r2", "2", "I", _A),
+                 _edit(_edit("r0", "2", "I", _U), "2", "I", _A),
+                 _edit(_edit("r1", "2", "I", _U), "2", "I", _A))}
+  FROM (
+    SELECT z.conv_id, m, i + 1 AS i, {_edit("c0", "3", "D")} AS r0,
+           {_least(_edit("c1", "3", "D"),
+                   f"CASE WHEN stays AND ini = 's' THEN {_edit('c0', 'cut', 'K', _KEPT)} ELSE {_FAR} END")}
+             AS r1,
+           {_least(_edit("c2", "3", "D"), *(_new_role(c, "u") for c in ("c0", "c1", "c3")))} AS r2,
+           {_least(_edit("c3", "3", "D"), _new_role("c2", "a"))} AS r3
+    FROM z JOIN r ON r.conv_id IS NOT DISTINCT FROM z.conv_id AND r.n = z.i + 1
+  )
+), e AS (
+  SELECT conv_id, {_least("c0", "c3")} AS best FROM z WHERE i = m
+)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost,
+       coalesce(best.audit, '') AS audit,
+       sha256(coalesce(array_to_string(best.said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN k ON k.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+OP13_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS l
+  FROM documents
+), e AS (SELECT rid, doc_id, unnest(l) AS line, unnest(range(len(l))) AS i FROM d),
+k AS (
+  SELECT *, translate(trim(line, E' 	
+'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM e
+), g AS (
+  SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= {lines.LEAST_CHARS}
+  GROUP BY key HAVING count(DISTINCT doc_id) >= {lines.LEAST_DOCS}
+), s AS (
+  SELECT rid, i, line, coalesce(doc_id <> last, false) AS gone FROM k LEFT JOIN g USING (key)
+), o AS (
+  SELECT rid, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+         string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone) AS kept
+  FROM s GROUP BY rid
+)
+SELECT doc_id, n_lines, n_dropped, sha256(coalesce(kept, '')) AS kept_sha256 FROM d JOIN o USING (rid)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mix": op1_source_mix,
     "op2_jaccard_join": op2_jaccard_join,
@@ -310,6 +598,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_decontamination": op9_decontamination,
     "op10_chat_windows": op10_chat_windows,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_line_dedup": op13_line_dedup,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -318,6 +609,9 @@ ORACLE_SQL: dict[str, str] = {
     "op4_secret_scan": OP4_SQL,
     "op9_decontamination": OP9_SQL,
     "op10_chat_windows": OP10_SQL,
+    "op11_merkle_manifest": OP11_SQL,
+    "op12_conversation_repair": OP12_SQL,
+    "op13_line_dedup": OP13_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
