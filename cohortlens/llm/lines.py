@@ -35,7 +35,7 @@ LEAST_CHARS, LEAST_DOCS = 20, 3
 #: Entries of a bucket, moves of a displaced entry, and the load beyond which a filter grows.
 SLOTS, MOVES, LOAD = 4, 500, 0.85
 #: Keys that a shard is made for.
-SHARD_KEYS = 1 << 19
+SHARD_KEYS = 1 << 16
 #: Bytes of all filters of the second level up to which every task gets them.
 FILTER_BYTES = 64 * 1024 * 1024
 #: Keys so frequent that there cannot be more than this many are joined by broadcast.

@@ -4,7 +4,7 @@ Nodes carry labels: the place of their last leaf, then their level. A sweep
 over ascending labels meets every child before its parent; a node's digest waits
 in a priority queue, ordered by label, until the sweep reaches the parent. The
 reversed sweep meets every parent before its children and delivers to each
-child the suffix of its proof. Blocks of 8**5 consecutive nodes are swept by
+child the suffix of its proof. Blocks of 8**4 consecutive nodes are swept by
 one task each. Messages across blocks are rows, which Spark's external sort brings
 to the receiving block in the order of their labels; so no task holds more than a
 block, whatever the size of a tree.
@@ -28,7 +28,7 @@ from cohortlens.session import cut_lineage
 #: Fixed value: children of a node.
 ARITY = 8
 #: Levels that one task climbs; a block has ARITY ** LEVELS nodes.
-LEVELS = 5
+LEVELS = 4
 #: Characters of a digest.
 WIDTH = 64
 

@@ -20,6 +20,7 @@ edits but insertions are as many as its rows; so least parts make least wholes.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,18 +62,22 @@ def _insertions() -> Cell:
 def joined(left: Cell, right: Cell) -> Cell:
     """The least of each nonterminal over all pairs of the two cells."""
     out: Cell = {}
-    for (p, r), (cost, audit) in left.items():
-        for (r_, q), (more, rest) in right.items():
-            if r == r_:
-                new = (cost + more, audit + rest)
-                if (p, q) not in out or new < out[p, q]:
-                    out[p, q] = new
+    for one, two, whole in _RULES:
+        if one in left and two in right:
+            (cost, audit), (more, rest) = left[one], right[two]
+            new = (cost + more, audit + rest)
+            if whole not in out or new < out[whole]:
+                out[whole] = new
     return out
 
 
 _NOTHING = _insertions()
+#: The binary rules: (p, r), (r, q) and (p, q).
+_PAIRS = sorted({*_NOTHING, *((p, q) for (p, _), q in _STEPS.items())})
+_RULES = [((p, r), (r, q), (p, q)) for p, r in _PAIRS for r_, q in _PAIRS if r == r_]
 
 
+@lru_cache(256)
 def row_cell(initial: str, must_go: bool, truncated: bool) -> Cell:
     """The cell of a single row."""
     cell = {(p, p): (DELETE, "D") for p in range(4)}
@@ -86,8 +91,14 @@ def row_cell(initial: str, must_go: bool, truncated: bool) -> Cell:
     return joined(joined(_NOTHING, cell), _NOTHING)
 
 
+@lru_cache(4096)
+def block_cell(rows: tuple[tuple[str, str | None], ...]) -> Cell:
+    """The cell of a block's rows, given as initials and faults; blocks are often alike."""
+    return parsed([row_cell(i, k in ("blank", "duplicate"), k == "truncated") for i, k in rows])
+
+
 def parsed(cells: list[Cell]) -> Cell:
-    """The cell of a block's rows: every span, shortest first, from every split."""
+    """The cell of neighbouring rows: every span, shortest first, from every split."""
     spans = {(i, i + 1): cell for i, cell in enumerate(cells)}
     for length in range(2, len(cells) + 1):
         for i in range(len(cells) - length + 1):
@@ -229,9 +240,7 @@ def repair(turns: DataFrame, block: int = BLOCK, fan: int = FAN) -> tuple[DataFr
         conv, at = key
         initials = [r[3] for r in group]
         kinds = [r[4] for r in group]
-        cell = parsed(
-            [row_cell(i, k in ("blank", "duplicate"), k == "truncated") for i, k in zip(initials, kinds)]
-        )
+        cell = block_cell(tuple(zip(initials, kinds)))
         illegal = sum(not _legal(a, b) for a, b in zip(initials, initials[1:]))
         counts = [kinds.count(k) for k in ("blank", "duplicate", "truncated")]
         size = -(-group[0][2] // block)
