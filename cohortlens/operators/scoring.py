@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from cohortlens.functions.columns import seeded_key
 from cohortlens.operators.clustering import Centres, assign, fit_kmeans
 from cohortlens.operators.profiles import cluster_profile
-from cohortlens.operators.quality import GRID_CELLS, grid_width, quality
+from cohortlens.operators.quality import quality
 from cohortlens.operators.scaling import FeatureMap, fit_feature_map
 from cohortlens.operators.selection import promote_if_better
+from cohortlens.operators.summaries import TOLERANCE
 from cohortlens.session import cut_lineage, kept
 
 METRICS_SCHEMA = "silhouette_score double, davies_bouldin_score double"
@@ -44,23 +45,20 @@ def train_segmentation(
     seed: int = 42,
     n_components: int = 2,
     k: int = 2,
-    grid_cells: int | None = GRID_CELLS,
+    tolerance: float | None = TOLERANCE,
 ) -> Bundle:
     """PCA and k-means on all rows; the scores are therefore in-sample.
 
-    The silhouette is taken over the means of grid cells, ``grid_cells`` of them
-    at most for each cluster, so that its work does not grow with the square of
-    the rows; ``silhouette_distance_error`` bounds what that changes in any
-    distance. Without ``grid_cells`` it is exact and the bound is 0.
+    Beyond some thousand distinct points the silhouette is taken over summaries, so that its
+    work does not grow with the square of the rows; ``silhouette_low`` and
+    ``silhouette_high`` bound the exact value. Without ``tolerance`` it is exact.
     """
     with kept(customer_features):
         fitted = fit_feature_map(customer_features, "pca", n_components)
         points = customer_features.select("monetary_value", fitted.features().alias("features"))
         with kept(points):
             centres = fit_kmeans(points, k, seed, order_by="monetary_value")
-            width, error = grid_width(points, grid_cells) if grid_cells else (None, 0.0)
-            metrics = quality(assign(points, centres), "cluster", width)
-            metrics["silhouette_distance_error"] = error
+            metrics = quality(assign(points, centres), "cluster", tolerance)
         labelled = assign(customer_features.withColumn("features", fitted.features()), centres)
         # written while the features are kept: a row per cluster, read by every later use
         profile = cut_lineage(cluster_profile(labelled))

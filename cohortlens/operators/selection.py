@@ -49,7 +49,7 @@ def evaluate_candidates(
     validation: DataFrame,
     representation: str,
     seed: int,
-    cell_width: float | None = None,
+    tolerance: float | None = None,
 ) -> list[dict]:
     """Fits on train, scores the labels of the validation rows.
 
@@ -66,7 +66,7 @@ def evaluate_candidates(
                     "scoring_scope": "validation",
                     "seed": seed,
                     "n_clusters_or_components": size,
-                    **quality(assign(unseen, model), "cluster", cell_width),
+                    **quality(assign(unseen, model), "cluster", tolerance),
                 }
             )
     return rows
@@ -76,7 +76,7 @@ def evaluate_fit_scope(
     labelled: DataFrame,
     label_columns: dict[str, str],
     representation: str,
-    cell_width: float | None = None,
+    tolerance: float | None = None,
 ) -> list[dict]:
     """Scores labels on the rows they were fitted on, one row per label column."""
     rows = []
@@ -87,14 +87,14 @@ def evaluate_fit_scope(
                 "representation": representation,
                 "scoring_scope": "train_fit",
                 "n_clusters_or_components": labelled.select(column).distinct().count(),
-                **quality(labelled, column, cell_width),
+                **quality(labelled, column, tolerance),
             }
         )
     return rows
 
 
 def evaluate_non_noise(
-    labelled: DataFrame, label: str = "cluster", cell_width: float | None = None
+    labelled: DataFrame, label: str = "cluster", tolerance: float | None = None
 ) -> DataFrame:
     """One row of scores after leaving out noise (label -1), with both counts."""
     kept = labelled.filter(F.col(label) != -1)
@@ -105,7 +105,7 @@ def evaluate_non_noise(
     )
     return counts.select(
         "*",
-        silhouette(kept, label, cell_width).scalar().alias("silhouette_score"),
+        silhouette(kept, label, tolerance).scalar().alias("silhouette_score"),
         davies_bouldin(kept, label).scalar().alias("davies_bouldin_score"),
         F.lit("train_fit_non_noise").alias("scoring_scope"),
     )

@@ -22,6 +22,7 @@ from cohortlens.operators.linkage import ward_clusters
 from cohortlens.operators.profiling import flag_correlated_pairs, pearson_matrix
 from cohortlens.operators.profiles import NUMERIC_COLUMNS, cluster_profile
 from cohortlens.operators.scaling import fit_feature_map, pca_loadings
+from cohortlens.operators.summaries import TOLERANCE
 from cohortlens.session import build_session, clear_scratch, cut_lineage, kept
 from cohortlens.sources.tables import read_features, write_report
 
@@ -43,7 +44,7 @@ class Grid:
     density_sizes: tuple[int, ...] = (200, 500, 1000)
     seeds: tuple[int, ...] = (42, 43, 44, 45, 46)
     max_std: float = selection.MAX_STD
-    cell_width: float | None = None
+    tolerance: float | None = TOLERANCE
 
 
 def _stable_grid(grid: Grid) -> list[tuple[str, str, int | None, int]]:
@@ -87,7 +88,7 @@ def _compare(train: DataFrame, validation: DataFrame, grid: Grid) -> dict[str, D
             validation,
             variant,
             grid.seed,
-            grid.cell_width,
+            grid.tolerance,
         )
 
     matrix = pearson_matrix(train, list(NUMERIC_COLUMNS))
@@ -114,14 +115,14 @@ def _compare(train: DataFrame, validation: DataFrame, grid: Grid) -> dict[str, D
                 points.join(ward, "id"),
                 {f"agglomerative_{k}": f"ward_{k}" for k in grid.ward_counts},
                 "numeric_only",
-                grid.cell_width,
+                grid.tolerance,
             )
         for size in grid.density_sizes:
             labelled = points.join(density_clusters(points, size), "id")
             found = labelled.filter("cluster >= 0").select("cluster").distinct().count()
             if found < 2:
                 raise ValueError(f"min_cluster_size {size} left fewer than two clusters")
-            scored = selection.evaluate_non_noise(labelled, "cluster", grid.cell_width).first()
+            scored = selection.evaluate_non_noise(labelled, "cluster", grid.tolerance).first()
             name = f"hdbscan_min_cluster_size_{size}"
             density_labels[name] = labelled.select("customer_id", "cluster")
             density_rows.append(
@@ -157,7 +158,7 @@ def _compare(train: DataFrame, validation: DataFrame, grid: Grid) -> dict[str, D
                 validation,
                 variant if n is None else f"{variant}_{n}",
                 seed,
-                grid.cell_width,
+                grid.tolerance,
             )
             if variant == "robust_pca":
                 centres = fit_kmeans(fitted.transform(train), k, seed)

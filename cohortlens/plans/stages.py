@@ -18,13 +18,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.operators import cleaning, customers, daily, profiling, sales, splits, validation
-from cohortlens.operators.quality import GRID_CELLS
 from cohortlens.operators.scoring import (
     promote,
     save_model,
     train_segmentation,
     training_report,
 )
+from cohortlens.operators.summaries import TOLERANCE
 from cohortlens.session import build_session, clear_scratch
 from cohortlens.sources.contract import CATEGORIES, CONTRACT, FILL_VALUES, NULLABLE, snake
 from cohortlens.sources.tables import read_features, write_report, write_table
@@ -48,7 +48,7 @@ class Options:
     validation_fraction: float = 0.15
     rolling_window: int = 7
     top_n: int = 10
-    grid_cells: int | None = GRID_CELLS
+    silhouette_tolerance: float | None = TOLERANCE
 
 
 @dataclass(frozen=True)
@@ -189,10 +189,10 @@ def split(spark, _, out: str, o: Options) -> dict:
 
 def train(spark, _, out: str, o: Options) -> dict:
     table = read_features(spark, f"{out}/customer_features")
-    bundle = train_segmentation(table, o.seed, grid_cells=o.grid_cells)
+    bundle = train_segmentation(table, o.seed, tolerance=o.silhouette_tolerance)
     save_model(bundle, f"{out}/models/candidate")
     report = training_report(
-        bundle, table, seed=o.seed, components=2, clusters=2, grid_cells=o.grid_cells
+        bundle, table, seed=o.seed, components=2, clusters=2, tolerance=o.silhouette_tolerance
     )
     write_report({"training": report}, f"{out}/reports")
     promoted = promote(bundle, f"{out}/models/best")
@@ -234,7 +234,7 @@ def main() -> int:
         "validation_fraction",
         "rolling_window",
         "top_n",
-        "grid_cells",
+        "silhouette_tolerance",
     ):
         value = getattr(defaults, name)
         parser.add_argument(f"--{name.replace('_', '-')}", type=type(value), default=value)
@@ -244,7 +244,7 @@ def main() -> int:
     given = vars(parser.parse_args())
     source, out, multi_line = given.pop("input"), given.pop("output"), given.pop("multi_line")
     # 0 asks for the exact silhouette, whose work grows with the square of the rows
-    options = Options(**{**given, "grid_cells": given["grid_cells"] or None})
+    options = Options(**{**given, "silhouette_tolerance": given["silhouette_tolerance"] or None})
     spark = build_session("cohortlens-stages")
     result = run_stages(read_raw_csv(spark, source, multi_line), out, options)
     clear_scratch(spark)

@@ -15,6 +15,7 @@ from cohortlens.operators import (
     scoring,
     selection,
     splits,
+    summaries,
     validation,
 )
 from cohortlens.plans.compare import Grid, run_comparison
@@ -61,23 +62,63 @@ def test_neighbours_of_a_crowded_cell(spark, crowd):
         assert [got[i][k] for k in (1, 2, 3)] == order
 
 
-def test_grid_silhouette_keeps_its_bound(spark):
-    rng = np.random.default_rng(2)
-    x = np.vstack([rng.normal(0, 1, (900, 2)), rng.normal(5, 1, (100, 2))])
-    points = _frame(spark, x, [0] * 900 + [1] * 100)
+@pytest.fixture
+def few_exact(monkeypatch):
+    monkeypatch.setattr(summaries, "EXACT_POINTS", 50)
+
+
+@pytest.mark.parametrize("d", [2, 9, 20])
+def test_silhouette_by_summaries(spark, few_exact, d):
+    rng = np.random.default_rng(d)
+    parts = [rng.normal(0, 1, (1_200, d)), rng.normal(2.5 / d**0.5, 1, (600, d)), rng.normal(9, 0.3, (200, d))]
+    x, labels = np.vstack(parts), [0] * 1_200 + [1] * 600 + [2] * 200
+    x[:100] = x[0]
+    points = _frame(spark, x, labels)
     exact = quality.silhouette(points).first()[0]
-    for cells in (100, 2_500, 40_000):
-        width, error = quality.grid_width(points, cells)
-        folded = quality._weighted_points(points, "cluster", width).collect()
-        assert len(folded) <= 2 * cells and sum(r["weight"] for r in folded) == 1_000
-        # each point moved by less than a diagonal, so distances by less than two
-        means = {}
-        for row, label in zip(x, [0] * 900 + [1] * 100):
-            means.setdefault((tuple(np.floor(row / width)), label), []).append(row)
-        moved = max(np.linalg.norm(np.mean(v, 0) - r) for v in means.values() for r in v)
-        assert 2 * moved <= error
-        assert quality.silhouette(points, cell_width=width).first()[0] == pytest.approx(exact, abs=0.05)
-    assert quality.silhouette(points, cell_width=width).first()[0] == pytest.approx(exact, abs=0.002)
+    widths = []
+    for nodes in (24, 400):
+        row = quality.bounded_silhouette(points, tolerance=1e-6, most_nodes=nodes).first()
+        assert row.nodes <= nodes
+        assert row.silhouette_low <= exact <= row.silhouette_high
+        widths.append(row.silhouette_high - row.silhouette_low)
+    assert widths[1] < widths[0]
+    assert row.silhouette_score == pytest.approx(exact, abs=0.005)
+    # coarse trees do when the tolerance allows
+    assert quality.bounded_silhouette(points, tolerance=2.0, most_nodes=400).first().nodes <= 50
+
+
+def test_each_point_has_its_interval():
+    rng = np.random.default_rng(0)
+    x, weight = rng.normal(0, 1, (500, 6)) * [5, 1, 1, 1, 0.1, 0] + 1e3, rng.integers(1, 4, 500).astype(float)
+    tree = summaries.grow(x, np.zeros(500, int), weight, 20)
+    leaf = tree.leaves(x, np.zeros(500, int))
+    assert len(np.unique(leaf)) == 20
+    means, moments = [], []
+    for i in range(20):
+        rows, w = x[leaf == i], weight[leaf == i]
+        c = w @ rows / w.sum()
+        v, q = rows - c, ((rows - c) ** 2).sum(1)
+        covariance = (v * w[:, None]).T @ v / w.sum()
+        moments.append((w.sum(), c, w @ q / w.sum(), covariance.ravel(), (w * q) @ v / w.sum(), w @ q**2 / w.sum() - (w @ q / w.sum()) ** 2))
+        means.append(pairwise(np.vstack([x, rows]))[:500, 500:] @ w / w.sum())
+    leaves = summaries.Leaves(np.zeros(20, int), *(np.array(m) for m in zip(*moments)))
+    estimate, low, high = leaves.distances(x)
+    exact = np.array(means).T
+    assert (low <= exact + 1e-6).all() and (exact <= high + 1e-6).all()
+    assert abs(estimate - exact).mean() < abs(high - exact).mean()
+
+
+def test_summaries_count_every_point(spark):
+    rng = np.random.default_rng(1)
+    x, labels = np.vstack([rng.normal(0, 1, (900, 3)), np.full((50, 3), 7.0)]), [0] * 900 + [1] * 50
+    rows = quality.distinct_points(_frame(spark, x, labels), "cluster")
+    tree = summaries.grow(x[::9], np.array(labels)[::9], np.ones(len(x[::9])), 30)
+    leaves = summaries.summarise(rows, tree, 3)
+    assert leaves.weight.sum() == 950
+    assert np.allclose(leaves.weight @ leaves.centre, x.sum(0))
+    total = leaves.weight @ (leaves.spread + ((leaves.centre - x.mean(0)) ** 2).sum(1))
+    assert total == pytest.approx(((x - x.mean(0)) ** 2).sum())
+    assert leaves.spread[leaves.label == 1] == pytest.approx([0.0], abs=1e-9)
 
 
 def test_repeated_row_is_folded_before_the_shuffle(spark):
