@@ -5,7 +5,8 @@ import pytest
 from brute import brute_density, brute_ward, pairwise
 from pyspark.sql import functions as F
 
-from cohortlens.operators import clustering, neighbours, quality, scaling, scoring, selection
+from cohortlens.functions.order import numbered
+from cohortlens.operators import clustering, hierarchy, neighbours, quality, scaling, scoring, selection
 from cohortlens.operators.density import density_clusters
 from cohortlens.operators.linkage import ward_clusters
 
@@ -76,6 +77,37 @@ def test_density_equals_single_linkage_by_hand(spark, blobs):
     assert [r["cluster"] for r in labelled] == brute_density(blobs, 6)
 
 
+def test_density_hierarchy_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(hierarchy, "BLOCK_MERGES", 4)
+    rng = np.random.default_rng(12)
+    x = np.vstack([rng.normal(c, s, (n, 2)) for c, s, n in zip(rng.normal(0, 3, (9, 2)), (0.1, 0.3, 1) * 3, (8, 12, 15) * 3)])
+    labelled = density_clusters(frame(spark, x), 4).orderBy("id").collect()
+    expected = brute_density(x, 4)
+    assert [r["cluster"] for r in labelled] == expected and max(expected) >= 4
+
+
+def test_climbing_a_chain():
+    # leaf 0 meets 1, 2, .. one after another: 40 merges above each other
+    rows = [{"place": i, "first": 0, "second": i + 1, "level": float(i + 1)} for i in range(40)]
+    merges, moved = hierarchy._merged(rows, 41)
+    assert [m[1] for m in merges] == [0, *range(41, 80)] and set(moved.values()) == {80}
+    climb = hierarchy._Climb(merges)
+    level = np.arange(0.5, 42.0, 0.5)
+    got = climb.place(np.zeros(len(level), int), level)
+    # a point that joins where two clusters meet stays with its own
+    assert got.tolist() == [0 if v <= 1 else 40 + int(np.ceil(v)) - 1 for v in np.minimum(level, 41)]
+    assert climb.place(np.array([7, 500]), np.array([3.0, 9.0])).tolist() == [7, 500]
+
+
+def test_numbers_follow_the_order(spark):
+    rng = np.random.default_rng(3)
+    values = rng.permutation(5_000).tolist()
+    df = spark.createDataFrame([(v, v % 7) for v in values], "v long, w int").repartition(13)
+    rows = numbered(df, "w", "v").collect()
+    assert [r.place for r in sorted(rows, key=lambda r: (r.w, r.v))] == list(range(5_000))
+    assert numbered(df.limit(0), "v").collect() == []
+
+
 def test_mixture_likelihood_never_falls(spark, blobs):
     model = clustering.fit_diagonal_mixture(frame(spark, blobs), 3, 1, max_iter=12, tol=0.0)
     steps = np.diff(model.history)
