@@ -1,10 +1,12 @@
 """Exact k-nearest neighbours, pruned by distance to pivots.
 
-Vectors are assigned to the cell of their nearest pivot. A vector first meets
-the members of its own cell; the distance of its k-th neighbour found there,
-together with the triangle inequality, tells which other cells can still hold
-a nearer one, and only those are visited. (The scheme is the pivot-based
-partitioning known from k-nearest-neighbour joins on MapReduce.)
+Vectors are assigned to the region of their nearest pivot, and within it to the
+cell of the nearest of the region's own pivots, which tasks choose, so cells stay
+small while the driver knows the first level only. A vector first meets the
+members of its own cell; the distance of its k-th neighbour found there,
+together with the triangle inequality, tells which other regions, and which of
+their cells, can still hold a nearer one, and only those are visited. (The scheme
+is the pivot-based partitioning known from k-nearest-neighbour joins on MapReduce.)
 
 Hot spots are split, not dropped: equal vectors are folded into one vector
 with its few smallest ids, and a crowded cell is cut into blocks of bounded
@@ -18,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Accumulator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -25,7 +28,12 @@ from pyspark.sql import functions as F
 from cohortlens.functions.columns import seeded_key
 from cohortlens.session import cut_lineage
 
+#: Pivots of the first level, and of each region.
 MAX_PIVOTS = 1024
+#: Up to this many vectors the first level alone gives small cells, so each region is one.
+ONE_LEVEL = 50_000
+#: Fewest vectors that a cell of a region is made for.
+CELL_ROWS = 64
 BLOCK_VALUES = 16_384  # doubles per block, about 128 KB
 BLOCK_ROWS = (32, 1024)
 SLACK = 1e-9  # relative widening of bounds against rounding
@@ -48,8 +56,8 @@ def _distinct_vectors(points: DataFrame, id_column: str, k: int) -> DataFrame:
 
 
 def _pivots(vectors: DataFrame, n: int) -> np.ndarray:
-    """About sqrt(n) vectors in hashed order; bounded, so held by the driver."""
-    wanted = min(MAX_PIVOTS, max(1, math.isqrt(n)))
+    """Vectors in hashed order, the square or cube root of n of them; bounded, so held by the driver."""
+    wanted = min(MAX_PIVOTS, max(1, round(n ** (1 / 2 if n <= ONE_LEVEL else 1 / 3))))
     rows = vectors.select("key", "features").orderBy(seeded_key(1, "key"), "key").limit(wanted)
     return np.array([r["features"] for r in rows.collect()])
 
@@ -62,29 +70,92 @@ def distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return np.sqrt(total, out=total)
 
 
-def _to_cells(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
+def _to_regions(vectors: DataFrame, pivots: np.ndarray, counter) -> DataFrame:
     """Adds the nearest pivot's number and distance."""
 
     def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            cells, radii = [], []
+            regions, radii = [], []
             for start in range(0, len(batch), 1024):
                 x = np.vstack(batch["features"].iloc[start : start + 1024].to_numpy())
                 gap = distances(x, pivots)
-                cells.append(gap.argmin(axis=1))
+                regions.append(gap.argmin(axis=1))
                 radii.append(gap.min(axis=1))
-            if cells:
-                yield batch.assign(cell=np.concatenate(cells), radius=np.concatenate(radii))
+            if regions:
+                _add(counter, len(batch) * len(pivots))
+                yield batch.assign(region=np.concatenate(regions), radius=np.concatenate(radii))
 
     return vectors.mapInPandas(
-        nearest, "key long, features array<double>, ids array<long>, cell int, radius double"
+        nearest, "key long, features array<double>, ids array<long>, region int, radius double"
     )
 
 
-def block_counts(rows: DataFrame, block_rows: int) -> DataFrame:
-    """(cell, blocks): one row per occupied cell, so at most MAX_PIVOTS rows to broadcast."""
+def _add(counter, n: int) -> None:
+    if counter is not None:
+        counter.add(n)
+
+
+def _by_region(rows: DataFrame, block_rows: int, *columns: str) -> DataFrame:
+    """Rows per region in blocks of bounded size: region, x (flat) and arrays of columns."""
+    packed = (
+        rows.join(block_counts(rows, block_rows, "region"), "region")
+        .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
+        .groupBy("region", "block")
+        .agg(F.collect_list(F.struct("features", *columns)).alias("rows"))
+    )
+    return packed.select(
+        "region", F.flatten("rows.features").alias("x"), *(F.col(f"rows.{c}").alias(c) for c in columns)
+    )
+
+
+def _second_pivots(regions: DataFrame, sizes: dict[int, int], cell_rows: int) -> DataFrame:
+    """(region, s_x): vectors in hashed order, one for about ``cell_rows`` of the region's."""
+    wanted = F.create_map(
+        *(F.lit(v) for r, n in sizes.items() for v in (r, min(MAX_PIVOTS, max(1, n // cell_rows))))
+    )
+    order = seeded_key(2, "key")
+    by = W.partitionBy("region").orderBy(order, "key")
+    return (
+        regions.withColumn("_place", F.row_number().over(by))
+        .filter((F.col("_place") <= MAX_PIVOTS) & (F.col("_place") <= wanted[F.col("region")]))
+        .groupBy("region")
+        .agg(F.array_sort(F.collect_list(F.struct("_place", "features"))).alias("s"))
+        .select("region", F.flatten("s.features").alias("s_x"))
+    )
+
+
+def _to_cells(regions: DataFrame, pivots: DataFrame, block_rows: int, counter) -> DataFrame:
+    """(key, cell, radius): the nearest second-level pivot of each vector's region."""
+
+    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                x = row.x.reshape(len(row.key), -1)
+                gap = distances(x, row.s_x.reshape(-1, x.shape[1]))
+                _add(counter, gap.size)
+                cell = np.int64(row.region) * MAX_PIVOTS + gap.argmin(axis=1)
+                yield pd.DataFrame({"key": row.key, "cell": cell, "radius": gap.min(axis=1)})
+
+    return (
+        _by_region(regions, block_rows, "key")
+        .join(pivots, "region")
+        .mapInPandas(nearest, "key long, cell long, radius double")
+    )
+
+
+def block_counts(rows: DataFrame, block_rows: int, by: str = "cell") -> DataFrame:
+    """(by, blocks): one row per first-level pivot, so at most MAX_PIVOTS rows to broadcast."""
     return F.broadcast(
-        rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("blocks"))
+        rows.groupBy(by).agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("blocks"))
+    )
+
+
+def _crowded(rows: DataFrame, block_rows: int) -> DataFrame:
+    """(cell, blocks) of the cells with more rows than a block; Spark decides how to join it."""
+    return (
+        rows.groupBy("cell")
+        .agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("blocks"))
+        .filter("blocks > 1")
     )
 
 
@@ -95,10 +166,14 @@ def _packed(rows: DataFrame, block_rows: int, prefix: str, answers: bool) -> Dat
     holds most of the rows becomes many blocks.
     """
     packed = (
-        rows.join(block_counts(rows, block_rows), "cell")
-        .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
+        rows.join(_crowded(rows, block_rows), "cell", "left")
+        .withColumn("block", F.pmod(F.xxhash64("key"), F.coalesce("blocks", F.lit(1))))
         .groupBy("cell", "block")
-        .agg(F.sort_array(F.collect_list(F.struct("key", "features", "ids"))).alias("rows"))
+        .agg(
+            F.sort_array(
+                F.collect_list(F.struct("key", "features", *(["ids"] if answers else [])))
+            ).alias("rows")
+        )
     )
     columns = [
         "cell",
@@ -114,7 +189,7 @@ def _packed(rows: DataFrame, block_rows: int, prefix: str, answers: bool) -> Dat
     return packed.select(*columns)
 
 
-def _nearest_in_block(k: int):
+def _nearest_in_block(k: int, counter):
     """Kernel: the k + 1 nearest ids of each asking vector within one block."""
 
     def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -124,6 +199,7 @@ def _nearest_in_block(k: int):
                 asking = row.q_x.reshape(len(row.q_keys), -1)
                 answering = row.a_x.reshape(len(row.a_counts), -1)
                 gap = np.repeat(distances(asking, answering), row.a_counts, axis=1)
+                _add(counter, len(asking) * len(answering))
                 if gap.shape[1] > k + 1:
                     # ties at the k + 1st distance stay in until ids decide
                     bound = np.partition(gap, k, axis=1)[:, k]
@@ -159,32 +235,58 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _other_cells(pivots: np.ndarray, radii: np.ndarray):
-    """Kernel: cells that may hold a neighbour nearer than the known bound."""
+def _other_regions(pivots: np.ndarray, radii: np.ndarray, counter):
+    """Kernel: regions that may hold a neighbour nearer than the known bound."""
 
     def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for start in range(0, len(batch), 1024):
                 part = batch.iloc[start : start + 1024]
-                gap = distances(np.vstack(part["features"].to_numpy()), pivots)
-                least = gap - radii
+                least = distances(np.vstack(part["features"].to_numpy()), pivots) - radii
+                _add(counter, least.size)
                 bound = part["bound"].to_numpy() * (1 + SLACK)
-                reachable = least <= bound[:, None] + SLACK
-                reachable[np.arange(len(part)), part["cell"].to_numpy()] = False
-                reachable &= radii >= 0
-                out.append(part.assign(cells=[np.flatnonzero(r) for r in reachable]))
+                reachable = (least <= bound[:, None] + SLACK) & (radii >= 0)
+                out.append(part.assign(regions=[np.flatnonzero(r) for r in reachable]))
             if out:
-                yield pd.concat(out)[["key", "features", "ids", "cells"]]
+                yield pd.concat(out)[["key", "features", "cell", "bound", "regions"]]
 
     return candidates
 
 
-def nearest_lists(points: DataFrame, k: int, id_column: str = "id") -> DataFrame:
+def _other_cells(counter):
+    """Kernel: cells of a region, but the own one, that may hold a nearer neighbour."""
+
+    def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                x = row.x.reshape(len(row.key), -1)
+                least = distances(x, row.s_x.reshape(-1, x.shape[1])) - row.s_radius
+                _add(counter, least.size)
+                cells = np.int64(row.region) * MAX_PIVOTS + np.arange(least.shape[1])
+                reachable = least <= row.bound[:, None] * (1 + SLACK) + SLACK
+                reachable &= cells[None, :] != row.cell[:, None]
+                some = reachable.any(axis=1)
+                if not some.any():
+                    continue
+                yield pd.DataFrame(
+                    {
+                        "key": row.key[some],
+                        "features": list(x[some]),
+                        "cells": [cells[r] for r in reachable[some]],
+                    }
+                )
+
+    return candidates
+
+
+def nearest_lists(
+    points: DataFrame, k: int, id_column: str = "id", counter: Accumulator | None = None
+) -> DataFrame:
     """(features, neighbours): per distinct vector its k + 1 nearest (distance, id).
 
     The list includes the vector's own ids at distance 0; ties go to the
-    smaller id.
+    smaller id. ``counter`` adds up the distances that were computed.
     """
     vectors = _distinct_vectors(points, id_column, k)
     shape = vectors.agg(
@@ -193,26 +295,48 @@ def nearest_lists(points: DataFrame, k: int, id_column: str = "id") -> DataFrame
     low, high = BLOCK_ROWS
     block_rows = min(high, max(low, BLOCK_VALUES // max(shape["d"] or 1, 1)))
     pivots = _pivots(vectors, shape["n"])
-    # both are read several times below, so they are written once
-    cells = cut_lineage(_to_cells(vectors, pivots))
-    radii = np.full(len(pivots), -1.0)
-    for row in cells.groupBy("cell").agg(F.max("radius").alias("radius")).collect():
-        radii[row["cell"]] = row["radius"]  # one row per pivot
+    # all tables below are read several times, so they are written once
+    regions = cut_lineage(_to_regions(vectors, pivots, counter))
+    radii, sizes = np.full(len(pivots), -1.0), {}
+    for row in regions.groupBy("region").agg(
+        F.max("radius").alias("radius"), F.count(F.lit(1)).alias("rows")
+    ).collect():  # one row per pivot
+        radii[row["region"]], sizes[row["region"]] = row["radius"], row["rows"]
+    if not sizes:
+        return vectors.select(
+            "features", F.expr("cast(array() as array<struct<distance:double,id:bigint>>)").alias("neighbours")
+        )
+    two_levels = shape["n"] > ONE_LEVEL
+    cells = regions.withColumn("cell", F.col("region").cast("long") * MAX_PIVOTS)
+    if two_levels:
+        cell_rows = max(CELL_ROWS, round(shape["n"] ** (1 / 3)))
+        inner = cut_lineage(_second_pivots(regions, sizes, cell_rows))
+        cells = cut_lineage(
+            regions.drop("radius").join(_to_cells(regions, inner, block_rows, counter), "key")
+        )
+        within = (
+            cells.groupBy("region", "cell")
+            .agg(F.max("radius").alias("radius"))
+            .groupBy("region")
+            .agg(F.array_sort(F.collect_list(F.struct("cell", "radius"))).alias("s"))
+            .select("region", F.col("s.radius").alias("s_radius"))
+        )
+        index = cut_lineage(inner.join(within, "region"))
 
     answers = _packed(cells, block_rows, "a", answers=True)
-    kernel = _nearest_in_block(k)
+    kernel = _nearest_in_block(k, counter)
     schema = "key long, ids array<long>, distances array<double>"
 
-    answer_blocks = block_counts(cells, block_rows)
-
     def visit(asking: DataFrame) -> DataFrame:
         # every block of a cell that asks meets every block that answers as a pair of its
         # own key, so that the pairs of a crowded cell spread over the tasks
         asked = (
             _packed(asking, block_rows, "q", answers=False)
             .drop("block")
-            .join(answer_blocks, "cell")
-            .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .join(_crowded(cells, block_rows), "cell", "left")
+            .withColumn(
+                "block", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))
+            )
             .drop("blocks")
         )
         return (
@@ -225,19 +349,29 @@ def nearest_lists(points: DataFrame, k: int, id_column: str = "id") -> DataFrame
     bounded = cells.join(own, "key").select(
         "key",
         "features",
-        "ids",
         "cell",
         F.when(
             F.size("neighbours") > k, F.element_at("neighbours", -1)["distance"]
         ).otherwise(F.lit(math.inf)).alias("bound"),
     )
-    elsewhere = (
-        bounded.mapInPandas(
-            _other_cells(pivots, radii),
-            "key long, features array<double>, ids array<long>, cells array<int>",
+    reached = bounded.mapInPandas(
+        _other_regions(pivots, radii, counter),
+        "key long, features array<double>, cell long, bound double, regions array<int>",
+    ).select("key", "features", "cell", "bound", F.explode("regions").alias("region"))
+    if two_levels:
+        elsewhere = (
+            _by_region(cut_lineage(reached), block_rows, "key", "cell", "bound")
+            .join(index, "region")
+            .mapInPandas(
+                _other_cells(counter), "key long, features array<double>, cells array<long>"
+            )
+            .select("key", "features", F.explode("cells").alias("cell"))
+        )
+    else:
+        there = F.col("region").cast("long") * MAX_PIVOTS
+        elsewhere = reached.filter(F.col("cell") != there).select(
+            "key", "features", there.alias("cell")
         )
-        .select("key", "features", "ids", F.explode("cells").alias("cell"))
-    )
     nearer = own.select(
         "key",
         F.transform("neighbours", lambda x: x["id"]).alias("ids"),

@@ -41,17 +41,39 @@ def crowd():
 
 
 def test_crowded_cell_meets_in_many_keys(spark, crowd):
-    rows = _frame(spark, crowd).select(F.col("id").alias("key"), "features", F.array("id").alias("ids"))
-    pivots = crowd[-20:]
-    cells = cut_lineage(neighbours._to_cells(rows, np.vstack([crowd[:1], pivots])))
-    packed = neighbours._packed(cells, 32, "a", answers=True)
+    rows = _frame(spark, crowd).select(
+        F.col("id").alias("key"), "features", F.array("id").alias("ids"),
+        F.when(F.col("id") < 1_350, 0).otherwise(F.col("id") % 9 + 1).alias("cell"),
+    )
+    packed = neighbours._packed(rows, 32, "a", answers=True)
     sizes = packed.select("cell", "block", F.size("a_counts").alias("n")).collect()
-    hot = max({r["cell"] for r in sizes}, key=lambda c: sum(r["n"] for r in sizes if r["cell"] == c))
-    blocks = [r["n"] for r in sizes if r["cell"] == hot]
-    assert sum(blocks) >= 1_300 and len(blocks) > 30 and max(blocks) < 100
+    blocks = [r["n"] for r in sizes if r["cell"] == 0]
+    assert sum(blocks) == 1_350 and len(blocks) > 30 and max(blocks) < 100
     assert len({(r["cell"], r["block"]) for r in sizes}) == len(sizes)
 
 
+def test_neighbour_work_grows_slowly(spark):
+    """Distances computed at 5, 20 and 80 thousand points, and the rows against all pairs."""
+    rng = np.random.default_rng(7)
+    every = rng.normal(0, 1, (80_000, 3))
+    counts = []
+    for n in (5_000, 20_000, 80_000):
+        x = every[:n]
+        counter = spark.sparkContext.accumulator(0)
+        rows = [(i, v) for i, v in enumerate(x.tolist())]
+        df = cut_lineage(spark.createDataFrame(rows, "id long, features array<double>"))
+        lists = cut_lineage(neighbours.nearest_lists(df, 4, counter=counter))
+        counts.append(counter.value)
+        assert lists.count() == n
+        some = df.filter("id % 997 = 0").join(lists, "features").select("id", "neighbours").collect()
+        for r in some:
+            gap = np.sqrt(((x - x[r["id"]]) ** 2).sum(1))
+            order = np.lexsort((np.arange(n), gap))[:5]
+            assert [v["id"] for v in r["neighbours"]] == order.tolist()
+    slope = np.log(counts[2] / counts[0]) / np.log(16)
+    assert slope < 1.6 and counts[2] < 0.1 * 80_000**2, counts
+
+
 def test_neighbours_of_a_crowded_cell(spark, crowd):
     got = {}
     for r in neighbours.knn_graph(_frame(spark, crowd), 3).collect():
