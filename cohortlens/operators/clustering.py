@@ -62,6 +62,11 @@ def fit_kmeans(
             tuple(tuple(float(x) for x in c) for c in model.clusterCenters()),
             float(model.summary.trainingCost),
         )
+    return in_order(points, centres, order_by)
+
+
+def in_order(points: DataFrame, centres: Centres, order_by: str | None) -> Centres:
+    """Clusters renumbered by the mean of ``order_by`` (falling), or by their centres without it."""
     if order_by is None:
         order = sorted(range(len(centres.points)), key=lambda i: centres.points[i], reverse=True)
     else:
@@ -89,13 +94,6 @@ def inertia(points: DataFrame, centres: Centres) -> DataFrame:
     return points.agg(F.sum(F.array_min(F.array(*distances))).alias("inertia"))
 
 
-def kmeans_inertia(points: DataFrame, counts: list[int], seed: int = 42) -> DataFrame:
-    """(n_clusters, inertia) of one fit per cluster count."""
-    with kept(points):
-        rows = [(k, fit_kmeans(points, k, seed).inertia) for k in counts]
-    return points.sparkSession.createDataFrame(rows, "n_clusters int, inertia double")
-
-
 @dataclass(frozen=True)
 class DiagonalMixture:
     """Fitted mixture; ``history`` is the mean log-likelihood per round."""
@@ -122,10 +120,10 @@ class DiagonalMixture:
         return F.array_min(F.array(*scores))["label"]
 
 
-_FLOOR = 1e-6  # added to each variance, as a regulariser
+FLOOR = 1e-6  # added to each variance, as a regulariser
 
 
-def _log_densities(x, weights, means, variances):
+def log_densities(x, weights, means, variances):
     """Rows x components: log(weight * density)."""
     constant = np.log(weights) - 0.5 * np.log(2 * np.pi * variances).sum(axis=1)
     precision = 1.0 / variances
@@ -148,7 +146,7 @@ def _expectation(points: DataFrame, weights, means, variances):
             if batch.empty:
                 continue
             x = np.vstack(batch["features"].to_numpy())
-            joint = _log_densities(x, weights, means, variances)
+            joint = log_densities(x, weights, means, variances)
             top = joint.max(axis=1, keepdims=True)
             norm = top + np.log(np.exp(joint - top).sum(axis=1, keepdims=True))
             share = np.exp(joint - norm)
@@ -199,23 +197,23 @@ def _moments(points: DataFrame, label: str):
     n = sum(r["n"] for r in rows)
     weights = np.array([r["n"] / n for r in rows])
     means = np.array([[r[f"m{i}"] for i in range(d)] for r in rows])
-    variances = np.array([[r[f"v{i}"] for i in range(d)] for r in rows]) + _FLOOR
+    variances = np.array([[r[f"v{i}"] for i in range(d)] for r in rows]) + FLOOR
     return n, [r[label] for r in rows], weights, means, variances
 
 
-def _maximised(total: np.ndarray):
+def maximised(total: np.ndarray):
     """New weights, means and variances from the sums of one expectation."""
     d = (total.shape[1] - 2) // 2
     share = total[:, :1] + 10 * np.finfo(float).eps
     means = total[:, 2 : 2 + d] / share
-    variances = np.maximum(total[:, 2 + d :] / share - means**2, 0.0) + _FLOOR
+    variances = np.maximum(total[:, 2 + d :] / share - means**2, 0.0) + FLOOR
     return (share / share.sum()).ravel(), means, variances
 
 
 def mixture_round(points: DataFrame, label: str) -> DataFrame:
     """(label, share, mean_sum, variance_sum) after one round from the groups' moments."""
     _, labels, *start = _moments(points, label)
-    weights, means, variances = _maximised(_expectation(points, *start))
+    weights, means, variances = maximised(_expectation(points, *start))
     rows = [
         (int(c), float(w), float(m.sum()), float(v.sum()))
         for c, w, m, v in zip(labels, weights, means, variances)
@@ -234,7 +232,7 @@ def _fit_mixture(
     for _ in range(max_iter):
         total = _expectation(points, weights, means, variances)
         history.append(float(total[0, 1] / n))
-        weights, means, variances = _maximised(total)
+        weights, means, variances = maximised(total)
         if len(history) > 1 and abs(history[-1] - history[-2]) < tol:
             break
     by_weight = np.argsort(-weights, kind="stable")

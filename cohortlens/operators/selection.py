@@ -6,31 +6,33 @@ Fits are jobs of their own; everything after them works on score tables
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohortlens.operators.clustering import assign, fit_diagonal_mixture, fit_kmeans
-from cohortlens.operators.quality import davies_bouldin, quality, silhouette
+from cohortlens.operators.batched import Fit, fit_many
+from cohortlens.operators.quality import davies_bouldin, quality_many, silhouette
 from cohortlens.operators.scaling import FeatureMap
 from cohortlens.session import kept
 
 SCORE_SCHEMA = (
     "position int, model_name string, representation string, scoring_scope string, seed int, "
     "n_clusters_or_components int, silhouette_score double, davies_bouldin_score double, "
-    "retained_rows long, noise_rows long"
+    "retained_rows long, noise_rows long, reason string"
 )
 MAX_STD = 0.05
 
 
-def kmeans_candidate(k: int, seed: int) -> Callable:
-    return lambda points: (fit_kmeans(points, k, seed), k)
+#: Why a candidate has no scores.
+ONE_CLUSTER = "fewer than two clusters among the scored rows"
+
 
+def kmeans_candidate(k: int, seed: int) -> Fit:
+    return Fit("kmeans", k, seed)
 
-def mixture_candidate(k: int, seed: int) -> Callable:
-    return lambda points: (fit_diagonal_mixture(points, k, seed), k)
+
+def mixture_candidate(k: int, seed: int) -> Fit:
+    return Fit("mixture", k, seed)
 
 
 def score_table(spark: SparkSession, rows: list[dict]) -> DataFrame:
@@ -43,33 +45,39 @@ def score_table(spark: SparkSession, rows: list[dict]) -> DataFrame:
 
 
 def evaluate_candidates(
-    candidates: dict[str, Callable],
+    candidates: list[tuple[str, Fit]],
     fitted: FeatureMap,
     train: DataFrame,
     validation: DataFrame,
     representation: str,
-    seed: int,
     tolerance: float | None = None,
-) -> list[dict]:
-    """Fits on train, scores the labels of the validation rows.
+) -> tuple[list[dict], list]:
+    """Score rows and models: fits on train, scores the labels of the validation rows.
 
-    ``fitted`` was fitted on train only.
+    ``fitted`` was fitted on train only. All candidates are fitted together, and
+    scored together. One that puts all validation rows into one cluster has no
+    scores but a reason.
     """
-    rows = []
-    with kept(fitted.transform(train)) as points, kept(fitted.transform(validation)) as unseen:
-        for name, fit in candidates.items():
-            model, size = fit(points)
-            rows.append(
-                {
-                    "model_name": name,
-                    "representation": representation,
-                    "scoring_scope": "validation",
-                    "seed": seed,
-                    "n_clusters_or_components": size,
-                    **quality(assign(unseen, model), "cluster", tolerance),
-                }
-            )
-    return rows
+    fits = [fit for _, fit in candidates]
+    with kept(fitted.transform(train)) as points:
+        models = fit_many(points, fits)
+    unseen = fitted.transform(validation).select(
+        "features", *(m.label().alias(f"label_{i}") for i, m in enumerate(models))
+    )
+    with kept(unseen):
+        scores = quality_many(unseen, [f"label_{i}" for i in range(len(models))], tolerance)
+    rows = [
+        {
+            "model_name": name,
+            "representation": representation,
+            "scoring_scope": "validation",
+            "seed": fit.seed,
+            "n_clusters_or_components": fit.k,
+            **(found or {"reason": ONE_CLUSTER}),
+        }
+        for (name, fit), found in zip(candidates, scores)
+    ]
+    return rows, models
 
 
 def evaluate_fit_scope(
@@ -79,18 +87,19 @@ def evaluate_fit_scope(
     tolerance: float | None = None,
 ) -> list[dict]:
     """Scores labels on the rows they were fitted on, one row per label column."""
-    rows = []
-    for name, column in label_columns.items():
-        rows.append(
-            {
-                "model_name": name,
-                "representation": representation,
-                "scoring_scope": "train_fit",
-                "n_clusters_or_components": labelled.select(column).distinct().count(),
-                **quality(labelled, column, tolerance),
-            }
-        )
-    return rows
+    columns = list(label_columns.values())
+    scores = quality_many(labelled, columns, tolerance)
+    counts = labelled.agg(*(F.countDistinct(c).alias(c) for c in columns)).first()
+    return [
+        {
+            "model_name": name,
+            "representation": representation,
+            "scoring_scope": "train_fit",
+            "n_clusters_or_components": counts[column],
+            **(found or {"reason": ONE_CLUSTER}),
+        }
+        for (name, column), found in zip(label_columns.items(), scores)
+    ]
 
 
 def evaluate_non_noise(
@@ -112,11 +121,15 @@ def evaluate_non_noise(
 
 
 def seed_stability(scores: DataFrame, *by: str) -> DataFrame:
-    """Mean and population deviation of both scores per candidate over its seeds."""
+    """Mean and population deviation of both scores per candidate over its seeds.
+
+    Without a score for one of them there is no mean and no deviation.
+    """
+    whole = F.count("silhouette_score") == F.count(F.lit(1))
     return scores.groupBy(*by).agg(
         F.count(F.lit(1)).alias("seeds"),
-        F.avg("silhouette_score").alias("silhouette_mean"),
-        F.stddev_pop("silhouette_score").alias("silhouette_std"),
+        F.when(whole, F.avg("silhouette_score")).alias("silhouette_mean"),
+        F.when(whole, F.stddev_pop("silhouette_score")).alias("silhouette_std"),
         F.avg("davies_bouldin_score").alias("davies_bouldin_mean"),
         F.stddev_pop("davies_bouldin_score").alias("davies_bouldin_std"),
     )
@@ -135,7 +148,9 @@ def select_stable(stability: DataFrame, order: str, max_std: float = MAX_STD) ->
         F.when(~excluded, F.col("silhouette_mean") - F.col("silhouette_std")),
     ).withColumn(
         "reason",
-        F.when(excluded, F.lit(f"silhouette standard deviation exceeds {max_std}")),
+        F.when(excluded, F.lit(f"silhouette standard deviation exceeds {max_std}")).when(
+            F.col("silhouette_mean").isNull(), F.lit(ONE_CLUSTER)
+        ),
     )
     best = scored.filter("selection_score is not null").agg(
         F.min(F.struct((-F.col("selection_score")).alias("s"), F.col(order).alias("o")))["o"]

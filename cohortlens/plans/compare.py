@@ -1,7 +1,7 @@
 """Model comparison: candidates, sweeps, stability and the stable winner.
 
-Uses the train and validation splits only. Each fit is a Spark job; the score
-rows are bounded by the grid, and all decisions are made on the score table.
+Uses the train and validation splits only. All fits of a representation share their
+scans; the score rows are bounded by the grid, and all decisions are made on the score table.
 
     spark-submit --py-files cohortlens.zip cohortlens/plans/compare.py \\
         --splits FOLDER/splits/customer --output REPORTS [--previous EARLIER_REPORTS]
@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.operators import selection
-from cohortlens.operators.clustering import assign, fit_kmeans, kmeans_inertia
+from cohortlens.operators.batched import kmeans_inertia
+from cohortlens.operators.clustering import assign, in_order
 from cohortlens.operators.density import density_clusters
 from cohortlens.operators.linkage import ward_clusters
 from cohortlens.operators.profiling import flag_correlated_pairs, pearson_matrix
@@ -67,29 +68,27 @@ def _compare(train: DataFrame, validation: DataFrame, grid: Grid) -> dict[str, D
     spark = train.sparkSession
     reports: dict[str, DataFrame] = {}
 
-    def candidates(seed: int) -> dict:
-        found = {
-            f"baseline_kmeans_{grid.baseline_clusters}": selection.kmeans_candidate(
-                grid.baseline_clusters, seed
-            )
-        }
-        for k in grid.kmeans_counts:
-            found[f"kmeans_{k}"] = selection.kmeans_candidate(k, seed)
-        for k in grid.mixture_counts:
-            found[f"gaussian_mixture_{k}"] = selection.mixture_candidate(k, seed)
-        return found
+    candidates = [
+        (f"baseline_kmeans_{k}", selection.kmeans_candidate(k, grid.seed))
+        for k in (grid.baseline_clusters,)
+    ]
+    candidates += [(f"kmeans_{k}", selection.kmeans_candidate(k, grid.seed)) for k in grid.kmeans_counts]
+    candidates += [
+        (f"gaussian_mixture_{k}", selection.mixture_candidate(k, grid.seed))
+        for k in grid.mixture_counts
+    ]
 
     rows = []
     for variant, n in (("full", None), ("numeric_only", None), ("pca", grid.pca_components)):
-        rows += selection.evaluate_candidates(
-            candidates(grid.seed),
+        found, _ = selection.evaluate_candidates(
+            candidates,
             fit_feature_map(train, variant, n),
             train,
             validation,
             variant,
-            grid.seed,
             grid.tolerance,
         )
+        rows += found
 
     matrix = pearson_matrix(train, list(NUMERIC_COLUMNS))
     reports["customer_correlation"] = matrix
@@ -119,49 +118,47 @@ def _compare(train: DataFrame, validation: DataFrame, grid: Grid) -> dict[str, D
             )
         for size in grid.density_sizes:
             labelled = points.join(density_clusters(points, size), "id")
-            found = labelled.filter("cluster >= 0").select("cluster").distinct().count()
-            if found < 2:
-                raise ValueError(f"min_cluster_size {size} left fewer than two clusters")
-            scored = selection.evaluate_non_noise(labelled, "cluster", grid.tolerance).first()
             name = f"hdbscan_min_cluster_size_{size}"
-            density_labels[name] = labelled.select("customer_id", "cluster")
-            density_rows.append(
-                {
-                    "model_name": name,
-                    "representation": "numeric_only",
-                    "scoring_scope": "train_fit_non_noise",
-                    "n_clusters_or_components": scored["n_clusters"],
-                    **{
-                        c: scored[c]
-                        for c in (
-                            "silhouette_score",
-                            "davies_bouldin_score",
-                            "retained_rows",
-                            "noise_rows",
-                        )
-                    },
-                }
-            )
+            row = {
+                "model_name": name,
+                "representation": "numeric_only",
+                "scoring_scope": "train_fit_non_noise",
+            }
+            counts = labelled.agg(
+                F.count_if(F.col("cluster") >= 0).alias("retained_rows"),
+                F.count_if(F.col("cluster") < 0).alias("noise_rows"),
+                F.countDistinct(F.when(F.col("cluster") >= 0, F.col("cluster"))).alias("n"),
+            ).first()
+            row.update(n_clusters_or_components=counts["n"], retained_rows=counts["retained_rows"])
+            row["noise_rows"] = counts["noise_rows"]
+            if counts["n"] < 2:
+                row["reason"] = selection.ONE_CLUSTER
+            else:
+                scored = selection.evaluate_non_noise(labelled, "cluster", grid.tolerance).first()
+                for c in ("silhouette_score", "davies_bouldin_score"):
+                    row[c] = scored[c]
+                density_labels[name] = labelled.select("customer_id", "cluster")
+            density_rows.append(row)
         reports["inertia"] = kmeans_inertia(points, list(grid.kmeans_counts), grid.seed)
 
     # one fit per candidate and seed, as score rows
-    stable_rows, seed_labels = [], None
+    stable_rows, seed_labels, winners = [], None, {}
     order = {}
     for key, variant, n, k in _stable_grid(grid):
         order[key] = len(order)
         fitted = fit_feature_map(train, variant, n)
-        for seed in grid.seeds:
-            stable_rows += selection.evaluate_candidates(
-                {key: selection.kmeans_candidate(k, seed)},
-                fitted,
-                train,
-                validation,
-                variant if n is None else f"{variant}_{n}",
-                seed,
-                grid.tolerance,
-            )
-            if variant == "robust_pca":
-                centres = fit_kmeans(fitted.transform(train), k, seed)
+        found, models = selection.evaluate_candidates(
+            [(key, selection.kmeans_candidate(k, seed)) for seed in grid.seeds],
+            fitted,
+            train,
+            validation,
+            variant if n is None else f"{variant}_{n}",
+            grid.tolerance,
+        )
+        stable_rows += found
+        winners[key] = (fitted, models[0])
+        if variant == "robust_pca":
+            for seed, centres in zip(grid.seeds, models):
                 labels = assign(fitted.transform(validation), centres).select(
                     F.lit(seed).alias("seed"), "cluster"
                 )
@@ -195,12 +192,11 @@ def _compare(train: DataFrame, validation: DataFrame, grid: Grid) -> dict[str, D
         labels = density_labels[best].withColumnRenamed("customer_id", "_customer")
         same = F.col("customer_id").eqNullSafe(F.col("_customer"))
         reports["winner_profile"] = cluster_profile(train.join(labels, same).drop("_customer"))
-    for key, variant, n, k in _stable_grid(grid):
-        if key == best:
-            fitted = fit_feature_map(train, variant, n)
-            points = train.withColumn("features", fitted.features())
-            labelled = assign(points, fit_kmeans(points, k, grid.seed, "monetary_value"))
-            reports["winner_profile"] = cluster_profile(labelled)
+    if best in winners:
+        fitted, centres = winners[best]
+        points = train.withColumn("features", fitted.features())
+        centres = in_order(points, centres, "monetary_value")
+        reports["winner_profile"] = cluster_profile(assign(points, centres))
     return reports
 
 

@@ -6,7 +6,17 @@ from brute import brute_density, brute_ward, pairwise
 from pyspark.sql import functions as F
 
 from cohortlens.functions.order import numbered
-from cohortlens.operators import clustering, hierarchy, neighbours, quality, scaling, scoring, selection
+from cohortlens.operators import (
+    batched,
+    clustering,
+    hierarchy,
+    neighbours,
+    quality,
+    scaling,
+    scoring,
+    selection,
+    summaries,
+)
 from cohortlens.operators.density import density_clusters
 from cohortlens.operators.linkage import ward_clusters
 
@@ -86,6 +96,71 @@ def test_density_hierarchy_in_blocks(spark, monkeypatch):
     assert [r["cluster"] for r in labelled] == expected and max(expected) >= 4
 
 
+def _assigned(x, model):
+    return ((x[:, None] - np.array(model.points)[None]) ** 2).sum(-1)
+
+
+def test_fits_at_once(spark, blobs):
+    points = frame(spark, blobs)
+    fits = [batched.Fit("kmeans", k, seed) for k in (2, 3, 5) for seed in (1, 2)]
+    fits += [batched.Fit("mixture", 3, 1), batched.Fit("kmeans", 3, 1)]
+    models = batched.fit_many(points, fits)
+    for fit, model in zip(fits, models):
+        if fit.kind == "kmeans":
+            gap = _assigned(blobs, model)
+            label = gap.argmin(1)
+            # a fixed point: each centre is the mean of the points it is nearest to
+            assert set(label) == set(range(fit.k))
+            means = [blobs[label == c].mean(0) for c in range(fit.k)]
+            assert np.allclose(means, model.points, atol=1e-5)
+            assert model.inertia == pytest.approx(gap.min(1).sum())
+    assert models[2] == models[-1]
+    # a model does not depend on its company
+    assert batched.fit_many(points, [fits[4]])[0] == models[4]
+    steps = np.diff(models[6].history)
+    assert (steps > -1e-6).all() and sum(models[6].weights) == pytest.approx(1.0)
+
+
+def test_an_empty_cluster_is_moved(spark):
+    x = np.array([[0.0], [0.1], [5.0], [9.0]])
+    rows = frame(spark, x)
+    found = batched._lloyd(rows, {0: np.array([[0.0], [100.0], [4.0]])}, 1e-9, 50)
+    centres, cost, _ = found[0]
+    assert sorted(c[0] for c in centres) == pytest.approx([0.05, 5.0, 9.0]) and cost == pytest.approx(0.005)
+    # more clusters than different points: some stay empty, and the fit ends
+    model, = batched.fit_many(frame(spark, np.zeros((5, 2))), [batched.Fit("kmeans", 3)])
+    assert model.inertia == 0.0
+
+
+def test_many_labelings_at_once(spark, blobs, monkeypatch):
+    rng = np.random.default_rng(0)
+    labels = np.column_stack([rng.integers(0, k, len(blobs)) for k in (2, 3, 1, 4)])
+    labels[:, 3] = [0] * 66 + [9]
+    rows = [([float(v) for v in x], *map(int, l)) for x, l in zip(blobs, labels)]
+    df = spark.createDataFrame(rows, "features array<double>, a long, b long, c long, d long")
+    found = quality.quality_many(df, ["a", "b", "c", "d"])
+    assert found[2] is None
+    for name, scores in zip("abd", [found[0], found[1], found[3]]):
+        want = quality.quality(df, name)
+        for key, value in want.items():
+            assert scores[key] == pytest.approx(value)
+    monkeypatch.setattr(summaries, "EXACT_POINTS", 10)
+    far = quality.quality_many(df, ["a", "b"], tolerance=0.01)
+    low, high = far[0]["silhouette_low"] - 1e-9, far[0]["silhouette_high"] + 1e-9
+    assert low <= found[0]["silhouette_score"] <= high
+
+
+def test_one_cluster_is_a_row_with_a_reason(spark):
+    scores = selection.score_table(spark, [
+        {"model_name": m, "seed": s, "silhouette_score": v, "davies_bouldin_score": v}
+        for m, s, v in (("a", 1, 0.5), ("a", 2, 0.5), ("b", 1, 0.9), ("b", 2, None))
+    ])
+    chosen = selection.select_stable(selection.seed_stability(scores, "model_name"), "model_name")
+    rows = {r.model_name: r for r in chosen.collect()}
+    assert rows["b"].reason == selection.ONE_CLUSTER and not rows["b"].is_winner
+    assert rows["a"].is_winner and selection.winner(chosen).model_name == "a"
+
+
 def test_climbing_a_chain():
     # leaf 0 meets 1, 2, .. one after another: 40 merges above each other
     rows = [{"place": i, "first": 0, "second": i + 1, "level": float(i + 1)} for i in range(40)]
