@@ -147,14 +147,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> Dat
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
-    """``docs`` without contaminated rows; all other rows unchanged, with all columns."""
+    """``docs`` without contaminated rows; all other rows unchanged, with columns of any name."""
     bad = (
         contamination(docs, benchmark, n)
         .where("contaminated")
-        .select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash"))
+        .select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash"))
         .distinct()
     )
-    same = docs["doc_id"].eqNullSafe(F.col("_bad_id")) & (
-        F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_bad_hash")
+    packed = docs.select(
+        docs["doc_id"].alias("id"),
+        F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("hash"),
+        F.struct(*(docs[c] for c in docs.columns)).alias("row"),
     )
-    return docs.join(bad, same, "left_anti")
+    same = F.col("id").eqNullSafe(F.col("bad_id")) & (F.col("hash") == F.col("bad_hash"))
+    return packed.join(bad, same, "left_anti").select("row.*")

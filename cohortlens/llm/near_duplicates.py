@@ -21,7 +21,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.llm.common import byte_words, slices
@@ -127,11 +127,21 @@ def _read(docs: DataFrame, depth: int) -> DataFrame:
 
 
 def _shingled(texts: DataFrame) -> DataFrame:
-    """(set_id, prefixes, shingles) of rows (set_id, prefixes, text)."""
+    """(set_id, prefixes, shingles) of rows (set_id, prefixes, text).
+
+    Equal rows, which a join on their key brings to one task, are one row here: else every
+    copy of a row would go on to the key that its set is compared under.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
+        known: set[int] = set()
         for batch in slices(batches):
+            ids = batch.column(0).to_pylist()
+            new = [i for i, s in enumerate(ids) if s not in known and ids.index(s) == i]
+            known.update(ids)
+            if len(new) < len(ids):
+                batch = batch.take(pa.array(new, pa.int32()))
             sets = [
                 shingle_set(byte_words(t), hashes).tobytes() for t in batch.column(2).to_pylist()
             ]
@@ -424,26 +434,31 @@ def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataF
     """One row of each class of ``docs``, with all its columns; see ``near_duplicates``.
 
     Rows equal in id and text cannot be told apart, so any one of them stays;
-    rows without words all stay.
+    rows without words all stay. Columns of any name come back as they were.
     """
 
-    def keyed(df: DataFrame, text_hash) -> DataFrame:
-        return df.withColumn(
-            "_stay_id", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-        ).withColumn("_stay_hash", F.xxhash64(text_hash, F.col("doc_id").isNull()))
+    def key(doc_id: Column, text_hash: Column) -> list[Column]:
+        return [
+            F.coalesce(doc_id.cast("string"), F.lit("")).alias("id"),
+            F.xxhash64(text_hash, doc_id.isNull()).alias("hash"),
+        ]
 
-    key = ["_stay_id", "_stay_hash"]
     stay = (
-        keyed(near_duplicates(docs, threshold).where("first"), F.col("text_hash"))
-        .groupBy(*key)
-        .agg(F.min("worded").alias("_stay_one"))
+        near_duplicates(docs, threshold)
+        .where("first")
+        .select(*key(F.col("doc_id"), F.col("text_hash")), "worded")
+        .groupBy("id", "hash")
+        .agg(F.min("worded").alias("one"))
+    )
+    packed = docs.select(
+        *key(docs["doc_id"], F.xxhash64(docs["text"])),
+        F.struct(*(docs[c] for c in docs.columns)).alias("row"),
     )
     # joined and numbered on the same key: one shuffle of the texts
-    nth = F.row_number().over(Window.partitionBy(*key).orderBy(*key))
+    nth = F.row_number().over(Window.partitionBy("id", "hash").orderBy("id", "hash"))
     return (
-        keyed(docs, F.xxhash64("text"))
-        .join(stay, key)
-        .withColumn("_stay_nth", nth)
-        .where(~F.col("_stay_one") | (F.col("_stay_nth") == 1))
-        .select(*docs.columns)
+        packed.join(stay, ["id", "hash"])
+        .withColumn("nth", nth)
+        .where(~F.col("one") | (F.col("nth") == 1))
+        .select("row.*")
     )

@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import pickle
 import re
-import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -29,13 +28,15 @@ from pyspark.sql import functions as F
 from cohortlens.llm.common import bounded_sample, id_remainder, slices
 
 #: Bounds of the learning sample, for each label.
-SAMPLE_ROWS = 1_000
-SAMPLE_CHARS = 3_000_000
+SAMPLE_ROWS = 1_500
+SAMPLE_CHARS = 8_000_000
 DECAY, SPAN = 0.7, 5
-LANDMARKS = 192
+LANDMARKS = 400
 ROUNDS = 5
 #: Share of clean texts whose strongest string a toxic text's must beat to be learned from.
 CLEAN_SHARE = 0.95
+#: Share of the clean texts it learned from that a model may predict as toxic.
+MOST_ALARMS = 0.015
 #: Characters of a string that is compared at once; longer words are cut into stretches.
 WIDTH, STRIDE = 16, 8
 #: Strings of each text that carry its label, and on which a text's score rests.
@@ -43,19 +44,20 @@ WITNESSES = 2
 #: Strings whose scores a task keeps.
 MEMO = 400_000
 
-#: Letters a-z, digits, signs, and shares of all other letters.
+#: Letters a-z, digits, signs, and shares of all other letters, accented ones too.
 SYMBOLS, PAD = 40, 40
 _SPACED = re.compile(r"(?<!\w)\w(?:[\W_]{1,3}\w(?!\w)){2,}")
 _SIGNS = re.compile(r"[\W_]+")
+#: Neighbouring pieces of a few characters, which may be one word that a blank has split.
+_PIECES = re.compile(r"(?<!\S)(?=(\S{1,4}[^\S\n]+\S{1,4})(?!\S))")
 _PATTERNS = [(j, k) for k in range(2, SPAN) for j in range(1, k)]
 
 
 def _symbol_table() -> np.ndarray:
-    """Symbol of each character of the basic plane: accents fall away."""
-    out = np.empty(0x10000, np.int64)
+    """Symbol of each character of the basic plane."""
+    out = np.empty(0x10000, np.int32)
     for code in range(0x10000):
-        c = chr(code).lower()
-        base = unicodedata.normalize("NFKD", c)[0] if 0xC0 <= code < 0x250 else c[0]
+        base = chr(code).lower()[0]
         if "a" <= base <= "z":
             out[code] = ord(base) - 97
         elif base.isdigit():
@@ -68,9 +70,9 @@ def _symbol_table() -> np.ndarray:
 
 
 def strings(text: str) -> list[str]:
-    """Words of ``text`` in lower case, and stretches of spaced-out letters."""
+    """Words of ``text`` in lower case, stretches of spaced-out letters, pairs of short pieces."""
     text = text.lower()
-    return text.split() + _SPACED.findall(text)
+    return text.split() + _SPACED.findall(text) + _PIECES.findall(text)
 
 
 def plain(word: str) -> str:
@@ -201,9 +203,11 @@ def learn(texts: list[tuple[int, str]], kernel: Kernel) -> Model | None:
     basis = (columns @ whiten).astype(np.float32)
 
     symbols, owner = kernel.windows(words)
-    x = np.empty((len(symbols), basis.shape[1]), np.float32)
-    for i in range(0, len(symbols), 5_000):
-        x[i : i + 5_000] = kernel.sums(symbols[i : i + 5_000], basis)
+
+    def values(weights: np.ndarray) -> np.ndarray:
+        parts = range(0, len(symbols), 20_000)
+        return np.concatenate([kernel.sums(symbols[i : i + 20_000], weights) for i in parts])
+
     window_clean = np.repeat(c > 0, np.bincount(owner, minlength=len(words)))
     toxic_at = [np.array([place[w] for w in b]) for b in toxic]
     clean_at = [np.array([place[w] for w in b]) for b in clean]
@@ -230,7 +234,6 @@ def learn(texts: list[tuple[int, str]], kernel: Kernel) -> Model | None:
         if not positive:
             return None
         # the strongest windows of clean texts are the ones to push back
-        value = value if model is None else x @ model[:-1] + model[-1]
         rows = np.flatnonzero(window_clean)
         hard = rows[np.argsort(-value[rows], kind="stable")[:8_000]]
         some = rows[:: max(1, len(rows) // 8_000)]
@@ -243,12 +246,17 @@ def learn(texts: list[tuple[int, str]], kernel: Kernel) -> Model | None:
         )
         rows = np.concatenate([best, negative])
         y = np.concatenate([np.ones(len(best)), -np.ones(len(negative))])
+        # a string weighs as much as the texts that have it: one of many clean texts costs more
         weight = np.concatenate(
-            [np.sqrt(np.array(list(positive.values()), float)), np.ones(len(negative))]
+            [np.array(list(positive.values()), float), c[owner[negative]] * len(clean)]
+        )
+        weight[: len(best)] *= weight[len(best) :].sum() / weight[: len(best)].sum()
+        weight *= len(negative) / weight[len(best) :].sum()
+        x = np.concatenate(
+            [kernel.sums(symbols[rows[i : i + 2_000]], basis) for i in range(0, len(rows), 2_000)]
         )
-        weight[: len(best)] *= len(negative) / weight[: len(best)].sum()
-        model = _squared_hinge(x[rows].astype(np.float64), y, weight, ridge=1.0)
-        value = x @ model[:-1] + model[-1]
+        model = _squared_hinge(x.astype(np.float64), y, weight, ridge=1.0)
+        value = values((basis @ model[:-1]).astype(np.float32)) + model[-1]
         margin = np.full(len(words), -np.inf)
         np.maximum.at(margin, owner, value)
 
@@ -266,6 +274,9 @@ def learn(texts: list[tuple[int, str]], kernel: Kernel) -> Model | None:
         w -= step * min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
     # a stronger string never lowers the score
     out.slopes, out.shift = np.maximum(w[:-1], 0.0), float(w[-1])
+    # nor are more clean texts predicted as toxic than the stated share
+    known = m[len(toxic_at) :, :-1] @ out.slopes + out.shift
+    out.shift -= max(0.0, float(np.quantile(known, 1 - MOST_ALARMS)))
     return out
 
 

@@ -129,3 +129,20 @@ def test_components(spark):
     edges = [(i, i - 1) for i in range(1, 40)] + [(100 + i, 100) for i in range(1, 9)] + [(201, 200)]
     got = dict(nd.components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {i: 0 if i < 40 else 100 if i < 200 else 200 for i in [*range(40), *range(100, 109), 200, 201]}
+
+
+def test_equal_rows_are_compared_once(frame, monkeypatch):
+    """Many equal rows with a near copy: the key that they are compared under gets one row a set."""
+    rng = random.Random(4)
+    words = ["w%d" % rng.randint(0, 999) for _ in range(80)]
+    near = words[:-1] + ["other"]
+    spark = frame([], "x int").sparkSession
+    copies = spark.range(100_000).selectExpr("cast(null as long) doc_id", f"'{' '.join(words)}' text")
+    docs = copies.union(frame([(7, " ".join(near))], "doc_id long, text string"))
+    seen = []
+    compare = nd._compare
+    monkeypatch.setattr(nd, "_compare", lambda m, t: seen.append(m.groupBy("prefix", "first", "second").count()) or compare(m, t))
+    got = nd.near_duplicates(docs).groupBy("class_id", "n_links", "n_copies").count().collect()
+    assert sorted(map(tuple, got), key=str) == [(7, 1, 1, 1), (7, 1, 100_000, 100_000)]
+    # one row for each of the two sets, or one for each task that a broadcast join leaves
+    assert max(r["count"] for r in seen[0].collect()) <= 2 * 16

@@ -74,6 +74,23 @@ def test_run(spark, folder, steps):
     assert sorted(map(tuple, got)) == sorted(map(tuple, steps["source_mix"]))
 
 
+def test_names_of_the_stages_own_columns(spark, folder):
+    """Columns named like any that a stage uses inside come back as they were."""
+    names = """_document _row row rid id hash one nth first worded class_id n_links n_copies set_id bad_id
+    bad_hash text_hash words n_words pos len window items copies contaminated spans hits copy owner base opaque
+    live block slot size _p _stretch _key _text_key _range _name _nameless _run _offset _carry mix_block mix_slot
+    mix_slot_2 score predicted held_out toxic _stay_id _stay_hash _stay_nth _bad_id _bad_hash""".split()
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id < 60")
+    docs = docs.select("*", *(F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")).alias(n) for n in names))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, folder)
+        assert out.columns[: len(docs.columns)] == docs.columns, name
+        assert len(set(out.columns)) == len(out.columns) and out.count() > 0
+        for r in out.collect():
+            assert all(r[n] == f"{n} {r.doc_id}" for n in names), name
+    assert out.columns[-2:] == ["mix_block_2", "mix_slot_3"]
+
+
 def test_odd_rows(spark, tmp_path):
     rng = random.Random(0)
     words = lambda n: " ".join("w%d" % rng.randint(0, 999) for _ in range(n))
