@@ -59,6 +59,76 @@ def _key(gram: str) -> int:
     return out
 
 
+def _word_keys(words: list[str]) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, ...]]:
+    """The keys of all n-grams of ``words``, one array for each n.
+
+    Of the words that have a letter: their place, and where their stretch of the
+    arrays starts. -1 stands where no n-gram starts.
+    """
+    marked = ["".join(_marked(w)) for w in words]
+    some = np.flatnonzero([len(m) > 0 for m in marked])
+    lengths = np.array([len(marked[i]) for i in some], np.int64)
+    starts = np.cumsum(lengths) - lengths
+    one = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32)
+    one = one.astype(np.int64)
+    # a run of letters ends at its closing mark: no n-gram goes on beyond that
+    inside = one != ord(">")
+    two = np.where(inside, one << 21 | np.append(one[1:], 0), -1)
+    three = np.where(
+        inside & np.append(inside[1:], False), two << 21 | np.append(one[2:], [0, 0])[: len(one)], -1
+    )
+    return some, starts, (one, two, three)
+
+
+class _WordGrams:
+    """Of the words that a task has met, which of the given n-grams they hold: one flat list."""
+
+    def __init__(self, grams: list[str]) -> None:
+        keys = np.array([_key(g) for g in grams], np.int64)
+        order = np.argsort(keys)
+        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.gram = np.append(order, -1).astype(np.int32)
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.starts, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.held = np.empty(0, np.int32)
+
+    def _add(self, words: list[str]) -> None:
+        some, starts, every = _word_keys(words)
+        lengths = np.diff(np.append(starts, len(every[0])))
+        owners, found = [], []
+        owner = np.repeat(some, lengths)
+        for keys in every:
+            at = np.searchsorted(self.keys, keys)
+            hit = self.keys[at] == keys
+            owners.append(owner[hit])
+            found.append(self.gram[at[hit]])
+        owner, grams = np.concatenate(owners), np.concatenate(found)
+        counts = np.bincount(owner, minlength=len(words))
+        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
+        self.starts = np.append(self.starts, len(self.held) + np.cumsum(counts) - counts)
+        self.counts = np.append(self.counts, counts)
+        self.held = np.append(self.held, grams[np.argsort(owner, kind="stable")])
+
+    def of(self, texts: list[set[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """(text, n-gram) of all words of the texts, with repetitions."""
+        new = list({w for words in texts for w in words if w not in self.place})
+        if len(self.place) + len(new) > MEMO:
+            self.clear()
+            new = list({w for words in texts for w in words})
+        if new:
+            self._add(new)
+        sizes = [len(words) for words in texts]
+        ids = np.fromiter((self.place[w] for words in texts for w in words), np.int64, sum(sizes))
+        counts = self.counts[ids]
+        text = np.repeat(np.repeat(np.arange(len(texts)), sizes), counts)
+        ends = np.cumsum(counts)
+        at = np.arange(len(text)) + np.repeat(self.starts[ids] - (ends - counts), counts)
+        return text, self.held[at]
+
+
 class Model:
     """Languages, and for each n-gram its weights, already multiplied by its idf."""
 
@@ -74,21 +144,10 @@ class Model:
     def words(self, words: list[str]) -> np.ndarray:
         """For each word the sum of its n-grams' weights, then their number."""
         out = np.zeros((len(words), len(self.langs) + 1))
-        marked = ["".join(_marked(w)) for w in words]
-        some = np.flatnonzero([len(m) > 0 for m in marked])
+        some, starts, every = _word_keys(words)
         if not len(some):
             return out
-        lengths = np.array([len(marked[i]) for i in some])
-        starts = np.cumsum(lengths) - lengths
-        one = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32)
-        one = one.astype(np.int64)
-        # a run of letters ends at its closing mark: no n-gram goes on beyond that
-        inside = one != ord(">")
-        two = np.where(inside, one << 21 | np.append(one[1:], 0), -1)
-        three = np.where(
-            inside & np.append(inside[1:], False), two << 21 | np.append(one[2:], [0, 0]), -1
-        )
-        for keys in (one, two, three):
+        for keys in every:
             place = np.searchsorted(self.keys, keys)
             place[self.keys[place] != keys] = len(self.keys) - 1
             out[some, :-1] += np.add.reduceat(self.weights[place], starts)
@@ -125,25 +184,21 @@ def sample_grams(texts: list[tuple[str, str]]) -> list[str]:
 
 def document_frequencies(docs: DataFrame, grams: list[str]) -> tuple[Counter, int]:
     """In how many texts of ``docs`` each of ``grams`` stands, and the number of texts."""
-    shared = docs.sparkSession.sparkContext.broadcast({g: i for i, g in enumerate(grams)})
+    shared = docs.sparkSession.sparkContext.broadcast(grams)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, memo = shared.value, {}
+        known = _WordGrams(shared.value)
         # a last place counts the texts
-        n = np.zeros(len(place) + 1, np.int64)
+        n = np.zeros(len(shared.value) + 1, np.int64)
         for batch in slices(batches):
-            for text in batch.column(0).to_pylist():
-                words = set(text.lower().split())
-                if len(memo) + len(words) > MEMO:
-                    memo.clear()
-                for w in words:
-                    if w not in memo:
-                        memo[w] = np.array([place[g] for g in set(_grams(w)) if g in place], np.int32)
-                found = np.zeros(len(n), bool)
-                if words:
-                    found[np.concatenate([memo[w] for w in words])] = True
-                found[-1] = True
-                n += found
+            texts = [set(text.lower().split()) for text in batch.column(0).to_pylist()]
+            for at in range(0, len(texts), 32):
+                part = texts[at : at + 32]
+                text, gram = known.of(part)
+                found = np.zeros((len(part), len(n)), bool)
+                found[text, gram] = True
+                found[:, -1] = True
+                n += found.sum(0)
         some = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some])], names=["i", "n"])
 
@@ -279,10 +334,10 @@ def identify(docs: DataFrame, folds: int = 5) -> DataFrame:
 
     Learned from texts with a language whose crc32(doc_id) mod ``folds`` is not
     0: weights from at most SAMPLE_ROWS rows and SAMPLE_CHARS characters of each
-    language, document frequencies from all. A null id counts as empty text, so it is held out. Null texts and texts
-    without a letter are ``und`` with score 0; so is everything where nothing
-    can be learned. Ties go to the first language in order. Repeated rows are
-    predicted each; other columns are ignored; an empty table gives no rows.
+    language, document frequencies from all. A null id counts as empty text, so it is
+    held out. Null texts and texts without a letter are ``und`` with score 0; so is everything where nothing
+    can be learned. Ties go to the first language in order. Texts are read whole, whatever
+    their length. Repeated rows are predicted each; other columns are ignored; an empty table gives no rows.
     """
     train = docs.where(
         (id_remainder("doc_id", folds) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull()

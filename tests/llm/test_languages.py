@@ -5,8 +5,17 @@ import zlib
 import numpy as np
 import pytest
 
-from cohortlens.llm.common import bounded_sample
-from cohortlens.llm.languages import Model, _grams, document_frequencies, identify, learn
+from cohortlens.llm.common import bounded_sample, id_remainder
+from cohortlens.llm.languages import (
+    Model,
+    _grams,
+    _key,
+    _WordGrams,
+    document_frequencies,
+    identify,
+    learn,
+    predict,
+)
 from cohortlens.llm.queries import op6_language_id
 
 
@@ -86,3 +95,32 @@ def test_document_frequencies_of_all_texts(frame, monkeypatch):
     )
     identify(frame([(i, "some words", "en") for i in range(60)], "doc_id long, text string, lang string"))
     assert given == [(1, sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(60)))]
+
+
+def test_word_grams_against_their_definition(monkeypatch):
+    grams = sorted({*_grams("aba,bäb"), "zz", "q", "\U00010400"})
+    monkeypatch.setattr("cohortlens.llm.languages.MEMO", 6)
+    known = _WordGrams(grams)
+    texts = [{"aba", "12"}, set(), {"aba,bäb", "q", "zz", "a1b"}, {"b\U00010400z", "é", "aba"}, {"", "1"}]
+    for part in (texts[:2], texts[1:3], texts, texts[3:]):
+        text, gram = known.of(part)
+        for i, words in enumerate(part):
+            want = {g for w in words for g in _grams(w) if g in grams}
+            assert {grams[g] for g in gram[text == i]} == want
+
+
+def test_scores_against_the_weights(spark, folder):
+    """Each whole text by the definition: weights of its n-grams over their number, one temperature."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    train = docs.where(id_remainder("doc_id", 5) != 0)
+    model = learn([(r["lang"], r["text"]) for r in train.orderBy("doc_id").limit(60).collect()])
+    row = {int(k): w for k, w in zip(model.keys, model.weights)}
+    got = {r.doc_id: r for r in predict(docs, model).collect()}
+    for r in docs.where("doc_id % 7 = 0").collect():
+        grams = [_key(g) for w in r.text.lower().split() for g in _grams(w)]
+        logits = model.bias + sum((row[g] for g in grams if g in row), np.zeros(len(model.langs))) / max(len(grams), 1)
+        p = np.exp(logits / model.temperature - (logits / model.temperature).max())
+        p /= p.sum()
+        if grams:
+            assert got[r.doc_id].lang_pred == model.langs[int(p.argmax())]
+            assert got[r.doc_id].score == pytest.approx(p.max(), abs=1e-9)
