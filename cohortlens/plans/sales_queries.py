@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from cohortlens.operators import daily, dashboard, sales
 from cohortlens.plans.customer_queries import feature_rows
 from cohortlens.plans.registry import Query, over_t
+from cohortlens.session import scratch_path
+from cohortlens.sources.tables import read_date_range, write_by_month
 from cohortlens.sources.transactions import star_transactions
 
 _COLUMNS = ["order_date", "order_id", "net_sales_usd"]
@@ -25,6 +27,13 @@ def _in_range(spark, folder):
     return dashboard.filter_date_range(daily_rows(spark, folder), START, END)
 
 
+def _by_month(spark, folder):
+    """The sales written by month, and the range read back from its months only."""
+    rows, path = _sales(spark, folder), scratch_path(spark, "months")
+    write_by_month(rows, path)
+    return read_date_range(spark, path, rows.schema, START, END)
+
+
 GAPS = """gaps AS (
   SELECT order_date FROM (SELECT CAST(unnest(generate_series(min(order_date), max(order_date), INTERVAL 1 DAY))
     AS DATE) AS order_date FROM t)
@@ -280,6 +289,15 @@ QUERIES = [
         ),
         {"net_sales_usd": 4},
     ),
+    Query(
+        "read_date_range",
+        _by_month,
+        over_t(
+            f"SELECT order_date, order_id, net_sales_usd FROM t "
+            f"WHERE order_date BETWEEN DATE '{START}' AND DATE '{END}'"
+        ),
+        {"net_sales_usd": 4},
+    ),
     Query(
         "range_kpis",
         lambda s, f: dashboard.range_kpis(_in_range(s, f)),

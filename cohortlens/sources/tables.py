@@ -14,6 +14,9 @@ CSV_FORMAT = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
+#: Folder column of tables by month.
+MONTH = "_month"
+
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Overwrite ``path`` with the frame, as parquet or headered CSV."""
@@ -51,6 +54,41 @@ def read_features(
     return df
 
 
+def write_by_month(df: DataFrame, path: str, date_column: str = "order_date") -> None:
+    """Overwrite ``path`` with the frame as parquet, one folder for each month, sorted by date.
+
+    Rows are dealt out by ranges of date and a hash of the row, so a month, or a day, that holds
+    most rows is written by many tasks, and a task writes few months. Rows without a date
+    have a folder of their own. The months are folder names, not a column of the frame.
+    """
+    spread = F.xxhash64(*df.columns)
+    (
+        df.withColumn(MONTH, F.date_format(date_column, "yyyy-MM"))
+        .repartitionByRange(date_column, spread)
+        .sortWithinPartitions(MONTH, date_column)
+        .write.mode("overwrite")
+        .partitionBy(MONTH)
+        .parquet(path)
+    )
+
+
+def read_date_range(
+    spark: SparkSession, path: str, schema, start, end, date_column: str = "order_date"
+) -> DataFrame:
+    """Rows of a ``write_by_month`` table whose date lies in the closed range.
+
+    Only the folders of the range's months are read, and in their files only the row
+    groups whose dates can match. ``schema`` is that of the frame.
+    """
+    first, last = (F.lit(d).cast("date") for d in (start, end))
+    names = schema if isinstance(schema, str) else ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" for f in schema
+    )
+    rows = spark.read.schema(f"{names}, {MONTH} string").parquet(path)
+    months = F.col(MONTH).between(F.date_format(first, "yyyy-MM"), F.date_format(last, "yyyy-MM"))
+    return rows.filter(months & F.col(date_column).between(first, last)).drop(MONTH)
+
+
 def write_report(sections: dict[str, DataFrame], path: str) -> None:
     """One JSON folder per report section; sections are bounded tables."""
     for name, section in sections.items():

@@ -26,7 +26,7 @@ from cohortlens.sources.contract import (
     TEXT,
     Contract,
 )
-from cohortlens.sources.tables import write_table
+from cohortlens.sources.tables import read_date_range, write_by_month, write_table
 from cohortlens.sources.transactions import (
     CoercionError,
     read_transactions,
@@ -294,3 +294,35 @@ def test_split_arguments(spark):
         splits.split_random(spark.range(0), id_column="id")
     with pytest.raises(ValueError):
         splits.split_two_stage(spark.range(2), id_column="id")
+
+
+def test_one_month_is_read_from_its_files_only(spark, tmp_path):
+    path = tmp_path / "sales"
+    days = "date_add(date'2024-01-01', cast(id % 120 as int))"
+    rows = spark.range(6_000).selectExpr(
+        "id", f"case when id % 50 = 0 then null when id % 3 = 0 then date'2024-02-10' else {days} end order_date"
+    )
+    # so few rows would be put into one task
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_by_month(rows, str(path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    folders = sorted(p.name for p in path.iterdir() if p.name.startswith("_month="))
+    assert folders == [f"_month=2024-0{m}" for m in (1, 2, 3, 4)] + ["_month=__HIVE_DEFAULT_PARTITION__"]
+    # a day that holds a third of the rows is written by several tasks
+    assert len(list((path / "_month=2024-02").glob("*.parquet"))) > 1
+    everything = spark.read.parquet(str(path)).drop("_month")
+    assert sorted(map(tuple, everything.collect())) and everything.exceptAll(rows).count() == 0
+    assert everything.count() == 6_000
+    # other months cannot be read any more, and need not be
+    for file in path.glob("_month=*/*.parquet"):
+        if "2024-02" not in str(file):
+            file.write_bytes(b"no parquet")
+    for start, end in (("2024-02-01", "2024-02-29"), ("2024-02-05", "2024-02-10"), ("2024-02-20", "2024-02-01")):
+        got = read_date_range(spark, str(path), rows.schema, start, end)
+        assert got.columns == ["id", "order_date"]
+        assert got.exceptAll(rows).count() == 0
+        assert got.count() == rows.where(f"order_date between '{start}' and '{end}'").count()
+    plan = got._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(_month" in plan and "PushedFilters: [IsNotNull(order_date)" in plan
