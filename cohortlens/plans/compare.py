@@ -20,6 +20,7 @@ from cohortlens.operators.batched import kmeans_inertia
 from cohortlens.operators.clustering import assign, in_order
 from cohortlens.operators.density import density_clusters
 from cohortlens.operators.linkage import ward_clusters
+from cohortlens.operators.microclusters import MOST_MICRO
 from cohortlens.operators.profiling import flag_correlated_pairs, pearson_matrix
 from cohortlens.operators.profiles import NUMERIC_COLUMNS, cluster_profile
 from cohortlens.operators.scaling import fit_feature_map, pca_loadings
@@ -39,6 +40,7 @@ class Grid:
     mixture_counts: tuple[int, ...] = (3, 4, 5, 6, 7)
     ward_counts: tuple[int, ...] = (3, 4, 5, 6, 7)
     ward_neighbours: int = 10
+    ward_most: int | None = MOST_MICRO  # distinct points beyond which micro-clusters are linked
     pca_components: int = 3
     pca_options: tuple[int, ...] = (2, 3, 4)
     pca2_counts: tuple[int, ...] = (3, 4, 5)
@@ -109,7 +111,9 @@ def _compare(train: DataFrame, validation: DataFrame, grid: Grid) -> dict[str, D
     density_rows, density_labels = [], {}
     with kept(points):
         if grid.ward_counts:
-            ward = ward_clusters(points, list(grid.ward_counts), grid.ward_neighbours)
+            ward = ward_clusters(
+                points, list(grid.ward_counts), grid.ward_neighbours, most=grid.ward_most
+            )
             rows += selection.evaluate_fit_scope(
                 points.join(ward, "id"),
                 {f"agglomerative_{k}": f"ward_{k}" for k in grid.ward_counts},

@@ -10,6 +10,7 @@ from cohortlens.operators import (
     batched,
     clustering,
     hierarchy,
+    microclusters,
     neighbours,
     quality,
     scaling,
@@ -19,6 +20,7 @@ from cohortlens.operators import (
 )
 from cohortlens.operators.density import density_clusters
 from cohortlens.operators.linkage import ward_clusters
+from cohortlens.session import cut_lineage
 
 
 def frame(spark, x, labels=None, step=1):
@@ -68,10 +70,11 @@ def test_neighbours_in_a_crowd_of_equal_points(spark):
         assert found[i] == order[:4]
 
 
-def test_ward_equals_greedy_merging(spark, blobs):
+@pytest.mark.parametrize("most", [None, 4096])
+def test_ward_equals_greedy_merging(spark, blobs, most):
     x = blobs[np.r_[0:3, 4:20, 30:45, 55:67]]
     ids = [i * 2 for i in range(len(x))]
-    labelled = ward_clusters(frame(spark, x, step=2), [2, 3, 5], 4).collect()
+    labelled = ward_clusters(frame(spark, x, step=2), [2, 3, 5], 4, most=most).collect()
     expected = brute_ward(x, ids, 4, (2, 3, 5))
     for k in (2, 3, 5):
         groups = {}
@@ -82,6 +85,57 @@ def test_ward_equals_greedy_merging(spark, blobs):
         assert len(groups) == k
 
 
+def test_features_add_up(spark):
+    rng = np.random.default_rng(8)
+    x = np.vstack([rng.normal(1e6, 1, (400, 3)), np.full((200, 3), 1e6)])
+    points = frame(spark, x)
+    tree = microclusters.fit_micro_tree(
+        points.groupBy("features").agg(F.count(F.lit(1)).alias("weight")), 16
+    )
+    placed = microclusters.place_points(points, tree)
+    halves = [placed.filter(F.col("id") % 2 == r) for r in (0, 1)]
+    merged = microclusters.merge_features(*map(microclusters.clustering_features, halves))
+    leaf = {r["id"]: r["leaf"] for r in placed.collect()}
+    rows = microclusters.micro_clusters(merged, tree).collect()
+    assert 1 < len(rows) <= 16 and sum(r["n"] for r in rows) == len(x)
+    for r in rows:
+        own = [i for i in range(len(x)) if leaf[i] == r["leaf"]]
+        assert (r["cluster"], r["n"]) == (own[0], len(own))
+        assert np.allclose(r["centre"], x[own].mean(0), atol=1e-6)
+        scatter = ((x[own] - x[own].mean(0)) ** 2).sum()
+        assert r["scatter"] == pytest.approx(scatter, rel=1e-6, abs=1e-6)
+
+
+def test_ward_on_micro_clusters(spark, blobs):
+    few = ward_clusters(frame(spark, blobs), [3], 4, most=16).collect()
+    exact = ward_clusters(frame(spark, blobs), [3], 4, most=len(blobs)).collect()
+    assert {r["id"] for r in few} == set(range(len(blobs)))
+    both = [{tuple(sorted(r["id"] for r in rows if r["ward_3"] == c)) for c in range(3)} for rows in (few, exact)]
+    assert both[0] == both[1]
+
+
+def test_ward_of_many_points(spark):
+    """A hundred thousand points, a third of them equal, against the places they were drawn from."""
+    places = np.array([(0, 0, 0), (9, 0, 0), (0, 9, 0), (0, 0, 9)], float)
+    rows = spark.range(100_000).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 4).alias("own"),
+    )
+    centre = F.array(*[F.array(*[F.lit(v) for v in p]) for p in places.tolist()])[F.col("own")]
+    noise = F.array(*[F.randn(7 + i) for i in range(3)])
+    points = cut_lineage(
+        rows.select(
+            "id", "own",
+            F.when(F.col("id") % 3 == 0, centre)
+            .otherwise(F.zip_with(centre, noise, lambda x, e: x + e)).alias("features"),
+        )
+    )
+    labelled = ward_clusters(points, [4]).join(points.select("id", "own"), "id")
+    counts = labelled.groupBy("ward_4", "own").count().collect()
+    assert sum(r["count"] for r in counts) == 100_000
+    assert sum(max(r["count"] for r in counts if r["ward_4"] == c) for c in range(4)) > 99_900
+
+
 def test_density_equals_single_linkage_by_hand(spark, blobs):
     labelled = density_clusters(frame(spark, blobs), 6).orderBy("id").collect()
     assert [r["cluster"] for r in labelled] == brute_density(blobs, 6)
