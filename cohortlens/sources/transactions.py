@@ -15,6 +15,7 @@ from cohortlens.sources.contract import (
     TEXT,
     Contract,
 )
+from cohortlens.sources.records import csv_records
 from cohortlens.sources.tables import CSV_FORMAT
 
 
@@ -56,6 +57,19 @@ MISSING_CELLS = (
 _MALFORMED = "_malformed_record"
 
 
+def _parsed_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Records as cells; the first of each file is its header."""
+    records = csv_records(spark, path).filter(F.col("record") > 1)
+    options = {**CSV_FORMAT, "columnNameOfCorruptRecord": _MALFORMED}
+    cells = F.from_csv("text", schema.toDDL(), options)
+    parsed = records.withColumn("cells", cells)
+    lost = F.when(F.col("closed"), F.col(f"cells.`{_MALFORMED}`")).otherwise(F.col("text"))
+    return parsed.select(
+        *[F.col(f"cells.`{c}`").alias(c) for c in schema.names if c != _MALFORMED],
+        lost.alias(_MALFORMED),
+    )
+
+
 def read_cells(
     spark: SparkSession,
     path: str,
@@ -65,22 +79,25 @@ def read_cells(
     """Text cells of a headered CSV, and its malformed records.
 
     Quotes inside quoted cells are doubled. Quoted line breaks need
-    ``multi_line``, which reads each file in one task. A record with more or
-    fewer cells than the header is malformed: it is in the second frame
-    (record) only, as it was written.
+    ``multi_line``, which writes the lines to a scratch table and puts records together
+    there (``records.csv_records``). A record with more or fewer cells than the header is
+    malformed: it is in the second frame (record) only, as it was written. With
+    ``multi_line`` so is each line after a quote that is never closed.
     """
     names = spark.read.options(**CSV_FORMAT).option("header", True).csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in (*names, _MALFORMED)])
-    raw = (
-        spark.read.options(**CSV_FORMAT)
-        .schema(schema)
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("columnNameOfCorruptRecord", _MALFORMED)
-        # with fewer columns to read the parser would not notice extra or absent cells
-        .option("columnPruning", False)
-        .csv(path)
-    )
+    if multi_line:
+        raw = _parsed_records(spark, path, schema)
+    else:
+        raw = (
+            spark.read.options(**CSV_FORMAT)
+            .schema(schema)
+            .option("header", True)
+            .option("columnNameOfCorruptRecord", _MALFORMED)
+            # with fewer columns to read the parser would not notice extra or absent cells
+            .option("columnPruning", False)
+            .csv(path)
+        )
     malformed = F.col(_MALFORMED).isNotNull()
     cells = raw.filter(~malformed).select(
         *[F.when(~F.col(f"`{c}`").isin(*missing_cells), F.col(f"`{c}`")).alias(c) for c in names]

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -26,9 +27,11 @@ from cohortlens.sources.contract import (
     TEXT,
     Contract,
 )
-from cohortlens.sources.tables import read_date_range, write_by_month, write_table
+from cohortlens.sources.records import csv_records
+from cohortlens.sources.tables import CSV_FORMAT, read_date_range, write_by_month, write_table
 from cohortlens.sources.transactions import (
     CoercionError,
+    read_cells,
     read_transactions,
     read_transactions_strict,
 )
@@ -199,6 +202,60 @@ def test_csv_loses_nothing(spark, tmp_path):
     assert none.count() == 0
 
 
+def _one_task(spark, path, names):
+    """The cells as one task reads them from the whole file."""
+    schema = ", ".join(f"`{c}` string" for c in names)
+    df = spark.read.options(**CSV_FORMAT).schema(schema).option("header", True)
+    return df.option("multiLine", True).csv(path)
+
+
+def test_csv_records_in_byte_ranges(spark, tmp_path, monkeypatch):
+    """Records meet across the ends of byte ranges, in every way a range can start."""
+    rng = random.Random(4)
+    pieces = ["a", "bb ", "\n", ",", '"', '""', "\n\n", "long text of a cell", "\r\n", ',"', '",', " "]
+    for number, end in enumerate(("\n", "\r\n")):
+        path = tmp_path / f"{number}.csv"
+        with open(path, "w", newline="") as out:
+            out.write("id,text,more" + end)
+            for i in range(400):
+                cells = ["".join(rng.choices(pieces, k=rng.randint(0, 5))) for _ in range(2)]
+                if end == "\n":
+                    cells = [c.replace("\r\n", "") for c in cells]
+                else:
+                    cells = [c.replace("\r\n", "\n").replace("\n", end) for c in cells]
+                quoted = ['"' + c.replace('"', '""') + '"' for c in cells]
+                if i % 9 == 0:
+                    quoted[1] = 'six 6" inch'
+                out.write(",".join([str(i), *quoted]) + end)
+    size = 200
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        records = csv_records(spark, str(tmp_path))
+        cells, malformed = read_cells(spark, str(tmp_path), multi_line=True, missing_cells=("",))
+        got = sorted(map(str, cells.collect()))
+        assert records.filter("not closed").isEmpty() and malformed.isEmpty()
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 50
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    expected = _one_task(spark, str(tmp_path), ["id", "text", "more"]).fillna("").collect()
+    assert got == sorted(str(type(r)(**{k: v or None for k, v in r.asDict().items()})) for r in expected)
+    assert len(got) == 800
+
+
+def test_csv_quote_that_never_closes(spark, tmp_path):
+    path = tmp_path / "open.csv"
+    path.write_text('n,text\n1,a\n\n2,"b\nc"\n3,"d\n4,e\n5,f\n')
+    cells, malformed = read_cells(spark, str(path), multi_line=True)
+    assert sorted(map(tuple, cells.collect())) == [("1", "a"), ("2", "b\nc")]
+    assert sorted(r["record"] for r in malformed.collect()) == ['3,"d', "4,e", "5,f"]
+    empty = tmp_path / "header.csv"
+    empty.write_text("n,text\n")
+    cells, malformed = read_cells(spark, str(empty), multi_line=True)
+    assert cells.isEmpty() and malformed.isEmpty() and cells.columns == ["n", "text"]
+
+
 def test_csv_cells(spark, tmp_path):
     path = tmp_path / "raw.csv"
     path.write_text("n,x,f,note\n1.5,2.5,TRUE,a\nbad,nan,0,b\n,oops,maybe,c\n")
