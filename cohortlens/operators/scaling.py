@@ -11,11 +11,15 @@ from dataclasses import asdict, dataclass, replace
 
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from cohortlens.functions.order import numbered
 from cohortlens.functions.quantiles import exact_quantiles
 from cohortlens.functions.vectors import dot, literal_vector
+from cohortlens.session import cut_lineage, scratch_path
 
 # The columns of each kind, in their published order.
 STANDARD_COLUMNS = (
@@ -132,7 +136,10 @@ def fit_robust(df: DataFrame, columns) -> tuple[Scale, ...]:
 
 
 def fit_levels(df: DataFrame, columns) -> tuple[tuple[str, tuple[str, ...]], ...]:
-    """Sorted levels per category column; the fitted transform holds one entry for each."""
+    """Sorted levels per category column; the fitted transform holds one entry for each.
+
+    For the few levels of the published columns: ``level_table`` serves any number.
+    """
     found = df.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("level")) for c in columns]))
     ).filter(F.col("level").isNotNull())
@@ -142,6 +149,80 @@ def fit_levels(df: DataFrame, columns) -> tuple[tuple[str, tuple[str, ...]], ...
     return tuple((c, tuple(sorted(levels[c]))) for c in columns)
 
 
+def level_table(df: DataFrame, columns) -> DataFrame:
+    """(column, level, place): all levels in the order of column and level, places from 0.
+
+    A table for any number of levels: each task reduces its rows to levels first, and places come from
+    sorted ranges. Missing values are no level.
+    """
+    found = (
+        df.select(
+            F.inline(
+                F.array(
+                    *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level")) for c in columns]
+                )
+            )
+        )
+        .filter(F.col("level").isNotNull())
+        .distinct()
+    )
+    return cut_lineage(numbered(found, "column", "level"))
+
+
+def sparse_features(
+    df: DataFrame, scales: tuple[Scale, ...], levels: DataFrame, columns, *keep: str
+) -> DataFrame:
+    """``keep`` and features (size, indices, values): scaled columns first, then one-hot places.
+
+    ``levels`` is a ``level_table`` of the fitting rows. A row holds one entry for each scaled
+    column and each known level, however many levels there are; a missing or unknown level
+    has none. Each category column is one join that Spark broadcasts or shuffles by size.
+    """
+    first = len(scales)
+    rows = df.select(
+        F.struct(*keep).alias("_kept") if keep else F.lit(0).alias("_kept"),
+        F.array(*[s.expression() for s in scales]).cast("array<double>").alias("_scaled"),
+        *[F.col(c).cast("string").alias(f"_level{i}") for i, c in enumerate(columns)],
+    )
+    for i, c in enumerate(columns):
+        own = levels.filter(F.col("column") == c).select(
+            F.col("level").alias(f"_level{i}"),
+            (F.col("place") + first).cast("int").alias(f"_place{i}"),
+        )
+        rows = rows.join(own, f"_level{i}", "left")
+    places = F.array_sort(F.array_compact(F.array(*[F.col(f"_place{i}") for i in range(len(columns))])))
+    numbers = F.sequence(F.lit(0), F.lit(first - 1)) if first else F.array().cast("array<int>")
+    size = levels.agg((F.count(F.lit(1)) + first).cast("int").alias("_size"))
+    return rows.join(size).select(
+        *[F.col(f"_kept.`{c}`").alias(c) for c in keep],
+        F.struct(
+            F.col("_size").alias("size"),
+            F.concat(numbers, places).alias("indices"),
+            F.concat("_scaled", F.transform(places, lambda _: F.lit(1.0))).alias("values"),
+        ).alias("features"),
+    )
+
+
+def as_vectors(df: DataFrame) -> DataFrame:
+    """``df`` with its sparse features as vectors, as the fits of Spark take them.
+
+    A vector is stored as a structure of these very fields, so the frame is written as a
+    table and read back with the vector's type: no row passes through Python.
+    """
+    stored = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.col("features.size").alias("size"),
+        F.col("features.indices").alias("indices"),
+        F.col("features.values").alias("values"),
+    )
+    path = scratch_path(df.sparkSession, "vectors")
+    df.withColumn("features", stored).write.parquet(path)
+    fields = [
+        T.StructField("features", VectorUDT()) if f.name == "features" else f for f in df.schema
+    ]
+    return df.sparkSession.read.schema(T.StructType(fields)).parquet(path)
+
+
 def fit_pca(df: DataFrame, fitted: FeatureMap, n_components: int) -> FeatureMap:
     """Adds a centred projection; the largest loading of each axis is positive."""
     if n_components <= 0:

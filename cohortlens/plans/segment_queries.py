@@ -78,6 +78,27 @@ def _robust(spark, folder):
     )
 
 
+def _one_hot_sparse(spark, folder):
+    """Orders by customer and day: as many levels as there are customers and days."""
+    orders = spark.read.parquet(f"{folder}/orders.parquet").select(
+        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").cast("string").alias("day"),
+        F.col("o_totalprice").cast("double"),
+    )
+    columns = ("day", "o_custkey")
+    # levels come from most orders, so that some levels of the others are unknown
+    levels = scaling.level_table(orders.filter("o_orderkey % 5 <> 0"), columns)
+    scales = (scaling.Scale("o_totalprice", 1000.0, 10.0),)
+    hot = scaling.sparse_features(orders, scales, levels, columns, "o_orderkey")
+    ones = F.expr("slice(features.indices, 2, 2)")
+    return hot.select(
+        "o_orderkey",
+        F.col("features.size").alias("width"),
+        F.col("features.values")[0].alias("price"),
+        F.size(ones).alias("known"),
+        F.aggregate(ones, F.lit(0), lambda total, place: total + place).alias("places"),
+    )
+
+
 def _one_hot(spark, folder):
     df = feature_table(spark, folder).select("customer_id", *scaling.CATEGORY_COLUMNS)
     hot = scaling.one_hot_columns(
@@ -721,6 +742,22 @@ QUERIES = [
         ),
         {c: 6 for c in scaling.STANDARD_COLUMNS},
     ),
+    Query(
+        "one_hot_sparse",
+        _one_hot_sparse,
+        """WITH o AS (SELECT o_orderkey, o_totalprice, CAST(o_custkey AS VARCHAR) AS c,
+                             CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS d FROM orders),
+                found AS (SELECT 0 AS k, d AS level FROM o WHERE o_orderkey % 5 <> 0
+                          UNION SELECT 1, c FROM o WHERE o_orderkey % 5 <> 0),
+                l AS (SELECT *, row_number() OVER (ORDER BY k, level) AS place FROM found)
+           SELECT o_orderkey, (SELECT count(*) + 1 FROM l) AS width,
+                  (o_totalprice - 1000) / 10 AS price,
+                  CAST((a.place IS NOT NULL) AS BIGINT) + CAST((b.place IS NOT NULL) AS BIGINT) AS known,
+                  coalesce(a.place, 0) + coalesce(b.place, 0) AS places
+           FROM o LEFT JOIN l a ON a.k = 0 AND a.level = d
+                  LEFT JOIN l b ON b.k = 1 AND b.level = c""",
+        {"price": 4},
+    ),
     Query(
         "one_hot",
         _one_hot,

@@ -5,6 +5,7 @@ import json
 import numpy as np
 import pytest
 from brute import pairwise
+from pyspark.ml.feature import Normalizer
 from pyspark.sql import functions as F
 
 from cohortlens.operators import (
@@ -149,6 +150,32 @@ def test_repeated_row_is_folded_before_the_shuffle(spark):
     assert validation.check_duplicates(df).first()[0] == 4_999
 
 
+def test_hundred_thousand_levels(spark):
+    """Sparse rows, a hot level and an unknown one, and a fit on the vectors."""
+    rows = spark.range(200_000).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("level "), F.col("id"))).alias("a"),
+        F.when(F.col("id") % 2 == 0, F.lit("even")).alias("b"),
+        (F.col("id") % 10).cast("double").alias("x"),
+    )
+    levels = scaling.level_table(rows.filter("id <> 100000"), ["a", "b"])
+    known = 133_333 - 1 + 2  # ids that 3 does not divide but one, "hot" and "even"
+    width = 1 + known
+    assert levels.count() == known
+    scales = scaling.fit_standard(rows, ["x"])
+    hot = scaling.sparse_features(rows, scales, levels, ["a", "b"], "id")
+    picked = {r["id"]: r["features"] for r in hot.filter("id in (0, 1, 100000)").collect()}
+    place = {r["level"]: r["place"] + 1 for r in levels.filter("level in ('hot', 'level 1', 'even')").collect()}
+    assert picked[0]["indices"] == [0, place["hot"], place["even"]]
+    assert picked[1]["indices"] == [0, place["level 1"]] and picked[1]["values"][1:] == [1.0]
+    assert picked[100_000]["indices"] == [0, place["even"]] and picked[1]["size"] == width
+    vectors = scaling.as_vectors(hot)
+    one = vectors.filter("id = 0").first()["features"]
+    assert one.size == width and one.indices.tolist() == picked[0]["indices"]
+    norms = Normalizer(inputCol="features", outputCol="unit").transform(vectors.limit(5)).collect()
+    assert all(abs(r["unit"].norm(2) - 1) < 1e-9 for r in norms)
+
+
 def test_many_category_levels(spark):
     df = spark.range(3_000).select(F.concat(F.lit("level "), "id").alias("c"), F.col("id").cast("double"))
     (name, levels), = scaling.fit_levels(df, ["c"])
