@@ -175,16 +175,40 @@ def distinct_counts(df: DataFrame, columns: list[str] | None = None) -> DataFram
     )
 
 
+#: Up to this many values a sketch of 512 registers cannot overrate a column beyond SKETCH_SLACK.
+SKETCHED_LIMIT, SKETCH_SLACK = 100, 2
+
+
+def few_valued(df: DataFrame, limit: int, columns: list[str] | None = None) -> DataFrame:
+    """(column, distinct_values) of the numeric columns with at most ``limit`` values.
+
+    One pass of mergeable sketches rules out columns of many values, so that those are never
+    shuffled; the others are counted exactly. The first pass cannot lose a column: n values
+    set n of its 512 registers at most, which it reads as 512 ln(512 / (512 - n)) values or
+    fewer, and that is below twice n up to SKETCHED_LIMIT. Beyond that limit all are counted.
+    """
+    df = nan_to_null(df)
+    columns = columns or numeric_columns(df)
+    if columns and limit <= SKETCHED_LIMIT:
+        sketches = [
+            F.approx_count_distinct(F.col(c).cast("double"), 0.05).alias(f"c{i}")
+            for i, c in enumerate(columns)
+        ]
+        seen = df.agg(*sketches).first()
+        columns = [c for c, n in zip(columns, seen) if n <= SKETCH_SLACK * (limit + 1)]
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, distinct_values bigint")
+    return distinct_counts(df, columns).filter(F.col("distinct_values") <= limit)
+
+
 def near_zero_variance(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    return distinct_counts(df, columns).filter("distinct_values <= 1").select("column")
+    return few_valued(df, 1, columns).select("column")
 
 
 def numeric_categorical_candidates(
     df: DataFrame, low_cardinality_max: int = 20, columns: list[str] | None = None
 ) -> DataFrame:
-    return distinct_counts(df, columns).filter(
-        F.col("distinct_values") <= low_cardinality_max
-    )
+    return few_valued(df, low_cardinality_max, columns)
 
 
 def categorical_profile(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cohortlens.operators import (
     clustering,
     neighbours,
+    profiling,
     quality,
     scaling,
     scoring,
@@ -150,6 +151,22 @@ def test_repeated_row_is_folded_before_the_shuffle(spark):
     assert validation.check_duplicates(df).first()[0] == 4_999
 
 
+def test_few_valued_columns(spark):
+    """Columns at, below and above the limit; unique columns never reach the exact count."""
+    n = 20_000
+    df = spark.range(n).select(
+        *[(F.col("id") % m).cast("double").alias(f"m{m}") for m in (1, 2, 19, 20, 21, 30, 99, 100, 101)],
+        F.col("id").alias("unique"),
+        F.when(F.col("id") % 2 == 0, -0.0).otherwise(0.0).alias("zeros"),
+        F.lit(None).cast("double").alias("empty"),
+    )
+    for limit in (1, 20, 100, 150):
+        got = {r["column"]: r["distinct_values"] for r in profiling.few_valued(df, limit).collect()}
+        expected = {f"m{m}": m for m in (1, 2, 19, 20, 21, 30, 99, 100, 101) if m <= limit}
+        assert got == {**expected, "zeros": 1, "empty": 0}
+    assert profiling.few_valued(df.select("unique"), 20).isEmpty()
+
+
 def test_hundred_thousand_levels(spark):
     """Sparse rows, a hot level and an unknown one, and a fit on the vectors."""
     rows = spark.range(200_000).select(
