@@ -25,7 +25,7 @@ from cohortlens.operators.scoring import (
     training_report,
 )
 from cohortlens.operators.summaries import TOLERANCE
-from cohortlens.session import build_session, clear_scratch
+from cohortlens.session import build_session, clear_scratch, cut_lineage
 from cohortlens.sources.contract import CATEGORIES, CONTRACT, FILL_VALUES, NULLABLE, snake
 from cohortlens.sources.tables import read_features, write_report, write_table
 from cohortlens.sources.transactions import read_transactions_strict
@@ -127,17 +127,17 @@ def profile(spark, _, out: str, o: Options) -> dict:
 
 
 def clean(spark, _, out: str, o: Options) -> dict:
-    df = cleaning.fix_dtypes(
-        cleaning.drop_exact_duplicates(read_features(spark, f"{out}/validated"))
-    )
-    cleaned = cleaning.fill_not_applicable(df, o.fill_values)
-    write_table(cleaned, f"{out}/preprocessed")
+    validated = read_features(spark, f"{out}/validated")
+    # rows are compared once; all that follows reads the rows that stayed
+    stayed = cut_lineage(cleaning.drop_exact_duplicates(validated))
+    df = cleaning.fix_dtypes(stayed)
+    write_table(cleaning.fill_not_applicable(df, o.fill_values), f"{out}/preprocessed")
     written = read_features(spark, f"{out}/preprocessed")
     outliers = spark.read.json(f"{out}/reports/profile/outliers")
     write_report(
         {
-            "removed_duplicates": validation.check_duplicates(
-                read_features(spark, f"{out}/validated")
+            "removed_duplicates": spark.createDataFrame(
+                [(validated.count() - stayed.count(),)], "duplicate_rows bigint"
             ),
             "filled": cleaning.count_filled(df, o.fill_values),
             "remaining_missing": cleaning.remaining_missing(written, o.max_null_rate),
