@@ -289,16 +289,20 @@ found AS (
   WHERE keep AND NOT EXISTS (SELECT 1 FROM found f
                              WHERE f.rid = o.rid AND f.keep AND f.s < o.e AND o.s < f.e)
 ), every AS (SELECT * FROM found WHERE keep UNION ALL SELECT * FROM opaque),
-owners AS (SELECT v, count(DISTINCT coalesce('x' || source, '')) AS n FROM every GROUP BY v),
-kept AS (
-  SELECT rid, kind, rank, s, n, kind || ':' || s || ':' || e AS w
-  FROM every JOIN owners USING (v) WHERE kind <> 'owned' OR n <= 1
+owners AS (
+  SELECT v, (count(DISTINCT coalesce('x' || every.source, '')) <= {secrets.MOST_OWNERS}
+             OR count(DISTINCT t) <= {secrets.MOST_OWNERS})
+            AND count(DISTINCT t) <= {secrets.MOST_TEXTS} AS live
+  FROM every JOIN d USING (rid) GROUP BY v
+), kept AS (
+  SELECT rid, kind, rank, s, live, kind || ':' || s || ':' || e AS w
+  FROM every JOIN owners USING (v) WHERE kind <> 'owned' OR live
 ), one AS (
   SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign,
          count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
          string_agg(w, ',' ORDER BY s, rank) FILTER (kind <> 'owned') AS base,
          string_agg(w, ',' ORDER BY s, rank) AS spans,
-         count(*) FILTER (n <= 1) AS n_live, count(*) FILTER (n > 1) AS n_copied
+         count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_copied
   FROM kept GROUP BY rid
 )
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
@@ -511,7 +515,8 @@ WITH RECURSIVE f AS (
 ), p AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS n,
          left(role, 1) AS ini, rtrim(text, E' 	
-') AS t
+
+') AS t
   FROM b
 ), q AS (
   SELECT *, t = '' AS blank,
@@ -571,7 +576,8 @@ WITH d AS (
 ), e AS (SELECT rid, doc_id, unnest(l) AS line, unnest(range(len(l))) AS i FROM d),
 k AS (
   SELECT *, translate(trim(line, E' 	
-'),
+
+'),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
   FROM e
 ), g AS (

@@ -1,9 +1,10 @@
 """Secret scans with corpus-wide ownership frequency, in built-in expressions only.
 
 Patterns propose spans. The hash of each proposed value is counted by distinct
-owners and documents over the whole corpus: a value that several owners carry is
-a copied example, a value of one owner looks live. Pattern spans are always
-reported; opaque mixed strings become spans only when their owner is the only one.
+owners and repositories over the whole corpus. A repository is a distinct text, so
+copies of one document count once, whoever holds them. A value that is widely copied is
+an example, any other looks live. Pattern spans are always reported; opaque mixed
+strings become spans only while they look live.
 """
 
 from __future__ import annotations
@@ -31,6 +32,10 @@ LEAST_ASSIGNED = 12
 #: What the method adds: long strings that mix lower case, upper case and digits.
 OPAQUE = "[A-Za-z0-9+/_-]{20,}"
 
+#: A value is widely copied if it stands in more texts, and with more owners, than
+#: MOST_OWNERS, or in more than MOST_TEXTS whoever owns them.
+MOST_OWNERS, MOST_TEXTS = 2, 20
+
 KINDS = ("assign", "access", "hex", "owned")
 SPAN = "struct<start:int,rank:int,end:int,kind:string,hash:string>"
 NONE = f"cast(array() as array<{SPAN}>)"
@@ -123,62 +128,70 @@ def proposed(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def ownership(spans: DataFrame) -> DataFrame:
-    """(hash, n_owners, n_docs) from rows (hash, owner, doc_id).
+    """(hash, n_owners, n_texts) from rows (hash, owner, repository).
 
-    Pairs of value and document, then of value and owner, are folded before each
+    Pairs of value and owner, and of value and repository, are folded before the
     shuffle, so neither a much copied value nor a large owner gathers in a task.
-    A null owner counts as one owner of its own, as does a null document.
+    A null owner counts as one owner of its own.
     """
+    owner = F.concat(F.lit("owner"), F.coalesce(F.concat(F.lit(":"), "owner"), F.lit("")))
     return (
-        spans.groupBy("hash", "owner", "doc_id")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("hash", "owner")
-        .agg(F.sum("one").alias("docs"))
+        spans.select("hash", F.explode(F.array(owner, "repository")).alias("holder"))
+        .distinct()
         .groupBy("hash")
-        .agg(F.count(F.lit(1)).alias("n_owners"), F.sum("docs").alias("n_docs"))
+        .agg(
+            F.count_if(F.col("holder").startswith("owner")).alias("n_owners"),
+            F.count_if(~F.col("holder").startswith("owner")).alias("n_texts"),
+        )
     )
 
 
-def _judged(rows: DataFrame, max_owners: int) -> DataFrame:
-    """(rid, spans): reported spans of a written table (rid, doc_id, owner, base, opaque)."""
+def _judged(rows: DataFrame, most_owners: int, most_texts: int) -> DataFrame:
+    """(rid, spans): reported spans of a written table (rid, repository, owner, base, opaque)."""
     each = rows.select(
-        "rid", "doc_id", "owner", F.explode(F.concat("base", "opaque")).alias("s")
-    ).select("rid", "doc_id", "owner", "s", F.col("s.hash").alias("hash"))
-    owners = ownership(each)
+        "rid", "repository", "owner", F.explode(F.concat("base", "opaque")).alias("s")
+    ).select("rid", "repository", "owner", "s", F.col("s.hash").alias("hash"))
+    spread = (F.col("n_owners") > most_owners) & (F.col("n_texts") > most_owners)
+    live = ~(spread | (F.col("n_texts") > most_texts))
     span = F.struct(
-        "s.start",
-        "s.rank",
-        "s.end",
-        "s.kind",
-        "hash",
-        "n_owners",
-        "n_docs",
-        (F.col("n_owners") <= max_owners).alias("live"),
+        "s.start", "s.rank", "s.end", "s.kind", "hash", "n_owners", "n_texts", live.alias("live")
     )
     return (
-        each.join(owners, "hash")
-        .where((F.col("s.kind") != "owned") | (F.col("n_owners") <= max_owners))
+        each.join(ownership(each), "hash")
+        .where((F.col("s.kind") != "owned") | live)
         .groupBy("rid")
         .agg(F.array_sort(F.collect_list(span)).alias("spans"))
     )
 
 
-def find_secrets(docs: DataFrame, owner: str = "source", max_owners: int = 1) -> DataFrame:
+def _repository() -> Column:
+    """A digest of the text; only texts with candidates need one. Digests hold no letter o."""
+    return F.when(F.size("base") + F.size("opaque") > 0, F.md5(F.coalesce("text", F.lit(""))))
+
+
+def find_secrets(
+    docs: DataFrame,
+    owner: str = "source",
+    most_owners: int = MOST_OWNERS,
+    most_texts: int = MOST_TEXTS,
+) -> DataFrame:
     """Per row of ``docs`` (doc_id, text, owner): doc_id and ``spans``.
 
     A span has start, end (code points, end exclusive), kind, the value's hash,
-    n_owners and n_docs that carry the value, and ``live`` (n_owners <=
-    max_owners). Spans are ordered by start, then kind as in KINDS. Null and
-    empty texts have none; repeated rows are returned each and count as one
-    document; a null owner is an owner. Other columns are ignored; an empty
-    table gives an empty result.
+    n_owners and n_texts that carry the value, and ``live``: not widely copied, which is
+    more than ``most_owners`` of both, or more than ``most_texts`` texts. Spans are ordered
+    by start, then kind as in KINDS; a value at a threshold itself is live. Null and
+    empty texts have none, very long ones are scanned whole; repeated rows, and copies of
+    a text under any id or owner, are returned each and count as one text; a null owner
+    is an owner. Other columns are ignored; an empty table gives an empty result.
     """
     rows = cut_lineage(
         proposed(docs.select("doc_id", F.col(owner).alias("owner"), "text"))
+        .withColumn("repository", _repository())
         .drop("text")
         .withColumn("rid", F.monotonically_increasing_id())
     )
-    judged = _judged(rows, max_owners)
+    judged = _judged(rows, most_owners, most_texts)
     none = F.expr("array()").cast(judged.schema["spans"].dataType)
     return (
         rows.select("rid", "doc_id")
@@ -212,21 +225,30 @@ def _masked(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) > 0, F.concat(F.array_join(state["out"], ""), rest)).otherwise(text)
 
 
-def mask_secrets(docs: DataFrame, owner: str = "source", max_owners: int = 1) -> DataFrame:
+def mask_secrets(
+    docs: DataFrame,
+    owner: str = "source",
+    most_owners: int = MOST_OWNERS,
+    most_texts: int = MOST_TEXTS,
+) -> DataFrame:
     """``docs`` with all columns, reported spans masked in ``text``; n_chars follows the text.
 
     Only rows with opaque candidates wait for the corpus counts; all others are
-    masked where they are read. Rows without spans stay as they are.
+    masked where they are read. Rows without spans stay as they are, columns of any
+    other name too. Edge cases as in ``find_secrets``.
     """
     row = F.struct(*(docs[c] for c in docs.columns)).alias("row")
     packed = docs.select(
         row, F.col("doc_id").alias("doc_id"), F.col(owner).alias("owner"), F.col("text").alias("text")
     )
     rows = cut_lineage(
-        proposed(packed).drop("text").withColumn("rid", F.monotonically_increasing_id())
+        proposed(packed)
+        .withColumn("repository", _repository())
+        .drop("text")
+        .withColumn("rid", F.monotonically_increasing_id())
     )
     open_rows = F.size("opaque") > 0
-    judged = _judged(rows.drop("row"), max_owners)
+    judged = _judged(rows.drop("row"), most_owners, most_texts)
     plain = rows.where(~open_rows).select("row", F.col("base").alias("spans"))
     waited = (
         rows.where(open_rows)

@@ -43,11 +43,33 @@ def test_base_spans(frame):
 
 def test_ownership(frame):
     rows = {r.doc_id: r.spans for r in find_secrets(frame(DOCS, SCHEMA)).collect()}
-    # one owner: added; two owners: an example; copies of one owner (here null): added
-    assert [(s.kind, s.n_owners) for s in rows[5]] == [("owned", 1)]
-    assert rows[6] == [] and [(s.kind, s.n_docs) for s in rows[7]] == [("owned", 1)]
+    assert [(s.kind, s.n_owners, s.n_texts) for s in rows[5]] == [("owned", 1, 1), ("owned", 2, 2)]
+    assert [s.n_owners for s in rows[6]] == [2] and [(s.kind, s.n_texts) for s in rows[7]] == [("owned", 1)]
     assert [s.kind for s in rows[9]] == ["assign"]  # a base span stands for what it covers
-    assert {s.n_docs for s in rows[8]} == {1} and len(rows[8]) == 500
+    assert {s.n_texts for s in rows[8]} == {1} and len(rows[8]) == 500
+
+
+def _kinds(frame, rows, **limits):
+    docs = frame([(i, t, s, "kept") for i, (t, s) in enumerate(rows)], "doc_id long, text string, source string, repository string")
+    found = find_secrets(docs, **limits).collect()
+    masked = {r.doc_id: r.text for r in mask_secrets(docs, **limits).collect()}
+    for r in found:
+        assert ("[owned]" in masked[r.doc_id]) == any(s.kind == "owned" for s in r.spans)
+    return [len(r.spans) for r in sorted(found, key=lambda r: r.doc_id)]
+
+
+def test_widely_copied(frame):
+    # three owners with three texts: an example; a copy of one text in many sources is not
+    assert _kinds(frame, [(f"{s} {MIXED}", s) for s in "abc"]) == [0, 0, 0]
+    assert _kinds(frame, [(f"x {MIXED}", s) for s in "abcdef"] + [(f"x {MIXED}", None)]) == [1] * 7
+    assert _kinds(frame, [(f"x {MIXED}", "a"), (f"y {MIXED}", "b"), (f"x {MIXED}", "c")]) == [1] * 3
+    # one owner: live up to twenty texts, an example beyond
+    assert _kinds(frame, [(f"{i} {MIXED}", "a") for i in range(20)]) == [1] * 20
+    assert _kinds(frame, [(f"{i} {MIXED}", "a") for i in range(21)]) == [0] * 21
+    assert _kinds(frame, [(f"{i} {MIXED}", "a") for i in range(5)], most_texts=4) == [0] * 5
+    # base spans stay, and say so
+    base = find_secrets(frame([(i, f"{i} {KEY}", "abc"[i % 3], 0) for i in range(30)], SCHEMA))
+    assert {(s.kind, s.live, s.n_texts) for r in base.collect() for s in r.spans} == {("access", False, 30)}
 
 
 def test_masking(frame):
@@ -57,8 +79,8 @@ def test_masking(frame):
     rows = {r.doc_id: r for r in got.collect()}
     assert rows[1].text == "é [assign]\" and [access], [hex] x"
     assert rows[1].n_chars == len(rows[1].text)
-    assert rows[3].text is None and rows[4].text == "" and rows[6].text == DOCS[5][1]
-    assert rows[5].text == f"own [owned] here 😀 {MIXED}z"
+    assert rows[3].text is None and rows[4].text == "" and rows[6].text == "copied [owned]"
+    assert rows[5].text == "own [owned] here 😀 [owned]"
     assert got.count() == len(DOCS)
 
 
