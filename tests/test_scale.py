@@ -86,6 +86,28 @@ def test_neighbours_of_a_crowded_cell(spark, crowd):
         assert [got[i][k] for k in (1, 2, 3)] == order
 
 
+@pytest.mark.parametrize("blocks", [3, 24])
+def test_silhouette_moves_each_point_few_times(spark, monkeypatch, blocks):
+    # 100,000 vectors of 64 numbers were 391 blocks, each sent to all the others
+    assert quality._block_count(100_000, 64, 10) == 24
+    monkeypatch.setattr(quality, "_BLOCKS", blocks)
+    rng = np.random.default_rng(6)
+    x = rng.normal(0, 1, (1_500, 4))
+    labels = rng.integers(0, 3, len(x))
+    points = _frame(spark, x, labels)
+    packed = quality._blocks(quality.distinct_points(points, "cluster"), blocks)
+    pairs = quality._block_pairs(packed, blocks).select("block", "block_right").collect()
+    assert sorted(map(tuple, pairs)) == [(a, b) for a in range(blocks) for b in range(a, blocks)]
+    gap, rows = pairwise(x), np.arange(len(x))
+    share = np.eye(3)[labels]
+    sums, sizes = gap @ share, share.sum(0)
+    a = sums[rows, labels] / (sizes[labels] - 1)
+    others = sums / sizes
+    others[rows, labels] = np.inf
+    b = others.min(1)
+    assert quality.silhouette(points).first()[0] == pytest.approx(np.mean((b - a) / np.maximum(a, b)))
+
+
 @pytest.fixture
 def few_exact(monkeypatch):
     monkeypatch.setattr(summaries, "EXACT_POINTS", 50)
