@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from cohortlens.operators import profiling
-from cohortlens.plans.customer_queries import FEATURES_SQL, feature_rows
+from cohortlens.plans.customer_queries import FEATURES_SQL, feature_table
 from cohortlens.plans.registry import Query, over_t
 from cohortlens.sources.transactions import star_transactions
 
@@ -272,14 +272,14 @@ QUERIES = [
     ),
     Query(
         "customer_pearson_matrix",
-        lambda s, f: profiling.pearson_matrix(feature_rows(s, f), CUSTOMER_NUMERIC),
+        lambda s, f: profiling.pearson_matrix(feature_table(s, f), CUSTOMER_NUMERIC),
         _with_features(_C_CTE, _C_ROWS),
         {"pearson": 6},
     ),
     Query(
         "customer_flag_correlated_pairs",
         lambda s, f: profiling.flag_correlated_pairs(
-            profiling.pearson_matrix(feature_rows(s, f), CUSTOMER_NUMERIC),
+            profiling.pearson_matrix(feature_table(s, f), CUSTOMER_NUMERIC),
             CUSTOMER_NUMERIC,
             0.50,
             inclusive=False,

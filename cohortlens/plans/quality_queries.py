@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortlens.operators import cleaning, validation
-from cohortlens.operators.customers import customer_features
 from cohortlens.operators.profiling import iqr_outliers
-from cohortlens.plans.customer_queries import features_sql
+from cohortlens.plans.customer_queries import feature_table, features_sql
 from cohortlens.plans.registry import Query, over_t
 from cohortlens.sources.contract import CONTRACT, FILL_VALUES, RANGES, snake
 from cohortlens.sources.transactions import STAR_COLUMNS, star_transactions
@@ -107,7 +106,7 @@ def _summary(spark, folder):
 
 
 def _scoring_input(spark, folder):
-    features = customer_features(star_transactions(spark, folder), AS_OF)
+    features = feature_table(spark, folder, AS_OF)
     accepted, rejected = validation.check_scoring_input(features)
     return accepted.select(
         "customer_id", F.lit("accepted").alias("outcome"), F.lit("").alias("failed_columns")

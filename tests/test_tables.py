@@ -383,3 +383,19 @@ def test_one_month_is_read_from_its_files_only(spark, tmp_path):
         assert got.count() == rows.where(f"order_date between '{start}' and '{end}'").count()
     plan = got._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(_month" in plan and "PushedFilters: [IsNotNull(order_date)" in plan
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["customer_pearson_matrix", "customer_flag_correlated_pairs", "customer_lookup", "attach_profile", "check_scoring_input"],
+)
+def test_features_are_made_once(spark, folder, name, monkeypatch):
+    import __spark_entry__ as entry
+    from cohortlens.operators import customers
+
+    made = []
+    original = customers.customer_features
+    monkeypatch.setattr(customers, "customer_features", lambda *a: made.append(a) or original(*a))
+    result = entry.queries()[name](spark, folder)
+    # every pass reads the written features; the lines are not joined and grouped again
+    assert len(made) == 1 and not any("lineitem" in f for f in result.inputFiles())
