@@ -76,6 +76,26 @@ def test_neighbour_work_grows_slowly(spark):
     assert slope < 1.6 and counts[2] < 0.1 * 80_000**2, counts
 
 
+def test_neighbour_search_sends_vectors_to_few_shards(spark):
+    """Where distances prune nothing a vector met each cell by itself, one copy for each."""
+    pivots, sizes = np.eye(50), {r: 2_000 for r in range(50)} | {7: 60_000}
+    first, parts = neighbours._shards(pivots, sizes, 12)
+    assert parts[7] == 5 and (first + parts).max() <= 24
+    of_shard = np.zeros(int((first + parts).max()))
+    for r, n in sizes.items():
+        of_shard[first[r] : first[r] + parts[r]] += n / parts[r]
+    assert of_shard.min() > 0 and of_shard.max() <= -(-sum(sizes.values()) // 12)
+    x = np.random.default_rng(9).normal(0, 1, (900, 24))
+    got = {}
+    for r in neighbours.knn_graph(_frame(spark, x), 5).collect():
+        got.setdefault(r["src"], {})[r["rank"]] = (r["dst"], r["distance"])
+    gap = pairwise(x)
+    for i in range(len(x)):
+        order = [j for j in np.lexsort((np.arange(len(x)), gap[i])) if j != i][:5]
+        assert [got[i][k][0] for k in range(1, 6)] == order
+        np.testing.assert_allclose([got[i][k][1] for k in range(1, 6)], gap[i][order])
+
+
 def test_neighbours_of_a_crowded_cell(spark, crowd):
     got = {}
     for r in neighbours.knn_graph(_frame(spark, crowd), 3).collect():
