@@ -316,3 +316,16 @@ def test_scratch_is_cleared(spark):
     assert kept.count() == 3 and clear_scratch(spark) >= 1
     with pytest.raises(Exception):
         spark.read.parquet(kept.inputFiles()[0]).count()
+
+
+def test_duplicates_are_looked_for_among_few_rows(spark, monkeypatch):
+    rows = [(i, f"text {i}", float(i), {"a": i}) for i in range(500)]
+    rows += [(None, "x", 0.0, {"a": 1}), (None, "x", -0.0, {"a": 1}), (None, "x", 0.0, {"a": 2})]
+    rows += [(1, None, float("nan"), None)] * 3 + [(None, None, None, None)] * 2
+    df = spark.createDataFrame(rows, "id long, text string, v double, m map<string,long>")
+    held = []
+    monkeypatch.setattr(validation, "cut_lineage", lambda d: held.append(cut_lineage(d)) or held[-1])
+    # the third row of "x" has the hash of the first two, but another map
+    assert validation.check_duplicates(df).first()[0] == 1 + 2 + 1
+    assert held[0].columns == ["_row_hash"] and held[0].count() == 3
+    assert validation.check_duplicates(df.filter("id < 0")).first()[0] == 0
