@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.operators import (
     clustering,
+    density,
     neighbours,
     profiling,
     quality,
@@ -329,3 +330,17 @@ def test_duplicates_are_looked_for_among_few_rows(spark, monkeypatch):
     assert validation.check_duplicates(df).first()[0] == 1 + 2 + 1
     assert held[0].columns == ["_row_hash"] and held[0].count() == 3
     assert validation.check_duplicates(df.filter("id < 0")).first()[0] == 0
+
+
+def test_tree_where_nothing_is_pruned(spark, monkeypatch):
+    """The same tree from pairs of blocks, with many equal distances, as from pruned rounds."""
+    x = np.random.default_rng(3).integers(0, 4, (260, 4)).astype(float)
+    _, vectors = density._vectors(_frame(spark, x), 4, "id")
+    trees = []
+    for unpruned in (2, -1):
+        monkeypatch.setattr(density, "UNPRUNED", unpruned)
+        trees.append(sorted(map(tuple, density.spanning_tree(vectors).select("a", "b", "level").collect())))
+    assert len(trees[0]) == len(np.unique(x, axis=0)) - 1 and trees[0] == trees[1]
+    # an edge is kept by its own pair of blocks only, and each pair keeps a forest
+    edges = density._pair_trees(vectors, vectors.count()).select("a", "b").collect()
+    assert len(edges) == len(set(map(tuple, edges))) and set(t[:2] for t in trees[0]) <= set(map(tuple, edges))
