@@ -204,6 +204,23 @@ def test_many_labelings_at_once(spark, blobs, monkeypatch):
     assert low <= found[0]["silhouette_score"] <= high
 
 
+def test_one_pass_over_the_distances_for_all_labelings(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    x = np.round(rng.normal(0, 1, (700, 3)), 1)
+    x[:40] = x[0]
+    labels = np.column_stack([rng.integers(0, k, len(x)) for k in (2, 5)] + [x[:, 0] > 0, [7] * 699 + [9]])
+    rows = [([float(v) for v in p], *map(int, l)) for p, l in zip(x, labels)]
+    df = spark.createDataFrame(rows, "features array<double>, a long, b long, c long, d long")
+    want = [quality.silhouette(df, c).first()[0] for c in "abcd"]
+    monkeypatch.setattr(summaries, "EXACT_POINTS", 10)
+    # no labeling is taken by itself, with or without a tolerance
+    monkeypatch.setattr(quality, "quality_of", None)
+    for tolerance in (None, 0.1):
+        found = quality.quality_many(df, list("abcd"), tolerance)
+        assert [r["silhouette_score"] for r in found] == pytest.approx(want, abs=1e-12)
+        assert all(r["silhouette_low"] == r["silhouette_high"] for r in found)
+
+
 def test_one_cluster_is_a_row_with_a_reason(spark):
     scores = selection.score_table(spark, [
         {"model_name": m, "seed": s, "silhouette_score": v, "davies_bouldin_score": v}
