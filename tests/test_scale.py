@@ -304,6 +304,28 @@ def test_comparison_is_written_with_the_run_before(spark, folder, tmp_path):
     assert spark.read.json(f"{second}/selection").count() >= 1
 
 
+def test_plans_of_a_representation_share_fits_and_distances(spark, folder, monkeypatch):
+    from cohortlens.plans.segment_queries import feature_table
+
+    parts = splits.frames(splits.split_random(feature_table(spark, folder)))
+    plans = [("a", "pca", 2, 2), ("b", "robust_pca", 2, 2), ("c", "pca", 2, 3), ("d", "pca", 2, 2)]
+    plans = [(name, v, n, selection.kmeans_candidate(k, 42)) for name, v, n, k in plans]
+    alone = [
+        selection.evaluate_candidates(
+            [(name, fit)], scaling.fit_feature_map(parts["train"], v, n), parts["train"], parts["validation"], f"{v}_{n}"
+        )
+        for name, v, n, fit in plans
+    ]
+    asked, fit_many = [], selection.fit_many
+    monkeypatch.setattr(selection, "fit_many", lambda p, fits: asked.append(len(fits)) or fit_many(p, fits))
+    rows, made = selection.evaluate_plans(plans, parts["train"], parts["validation"])
+    assert sorted(asked) == [1, 2]
+    for row, (fitted, model), ((want,), (same,)) in zip(rows, made, alone):
+        assert {k: v for k, v in row.items() if isinstance(v, str)} == {k: v for k, v in want.items() if isinstance(v, str)}
+        assert row["silhouette_score"] == pytest.approx(want["silhouette_score"])
+        assert np.ravel(model.points) == pytest.approx(np.ravel(same.points))
+
+
 def test_training_report(spark):
     report = scoring.training_report(
         _bundle(spark, 0.5), spark.range(5), seed=1
