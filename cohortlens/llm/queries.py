@@ -81,7 +81,7 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_ppm_score(spark: SparkSession, folder: str) -> DataFrame:
-    return compression.score_texts(table(spark, folder, "documents"))
+    return compression.score_texts(table(spark, folder, "documents"), order=compression.ORDER)
 
 
 def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:

@@ -23,12 +23,12 @@ def _bytes(text):
     return (text or "").encode().lower()
 
 
-def _code(text, counts):
+def _code(text, counts, most=2):
     """Coder that walks contexts from long to short, with escapes and exclusion."""
     total, data = 0.0, [*_bytes(text), END]
     for i, s in enumerate(data):
         ruled = set()
-        for order in range(min(2, i), -1, -1):
+        for order in range(min(most, i), -1, -1):
             seen = {x: n for x, n in counts[tuple(data[i - order : i])].items() if x not in ruled}
             if not seen:
                 continue
@@ -44,14 +44,14 @@ def _code(text, counts):
     return total
 
 
-def _trie(texts):
+def _trie(texts, most=2):
     from collections import defaultdict
 
     counts = defaultdict(Counter)
     for text in texts:
         data = [*_bytes(text), END]
         for i, s in enumerate(data):
-            for order in range(min(2, i) + 1):
+            for order in range(min(most, i) + 1):
                 counts[tuple(data[i - order : i])][s] += 1
     return counts
 
@@ -84,3 +84,15 @@ def test_words_beyond_the_broadcast(frame, monkeypatch):
 
 def test_empty_table(frame):
     assert score_texts(frame([], "doc_id long, text string")).collect() == []
+
+
+@pytest.mark.parametrize("order, most", [(0, 1 << 20), (4, 1 << 20), (5, 40), (4, 0)])
+def test_deeper_contexts(frame, monkeypatch, order, most):
+    """Code lengths of any order, whether paths are broadcast or joined."""
+    monkeypatch.setattr("cohortlens.llm.compression.FREQUENT_PATHS", most)
+    got = score_texts(frame(DOCS, "doc_id long, text string, score double"), order=order).collect()
+    counts = _trie([t for i, t, _ in DOCS if _fold(i) != 2], order)
+    want = sorted((str(i), _code(t, counts, order)) for i, t, _ in DOCS)
+    got = sorted((str(r.doc_id), r.score) for r in got)
+    assert [r[0] for r in got] == [r[0] for r in want]
+    np.testing.assert_allclose([r[1] for r in got], [r[1] for r in want], rtol=1e-9)
