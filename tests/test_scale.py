@@ -386,3 +386,59 @@ def test_distance_totals_by_products(spark):
     order = np.lexsort((*block.place.T, block.x[:, 0]))
     mine = np.lexsort((*place[:600].T, x[:600, 0] - x[:600, 0].mean()))
     np.testing.assert_allclose(block.totals[order], (pairwise(x) @ share)[:600][mine], rtol=1e-9)
+
+
+def test_many_labels_take_the_exact_pass(spark, few_exact, monkeypatch):
+    """Beyond EXACT_PASS points each label had trees of its own, however many labels."""
+    monkeypatch.setattr(quality, "EXACT_PASS", 400)
+    rng = np.random.default_rng(13)
+    x = rng.normal(0, 1, (600, 3))
+    labels = rng.integers(0, 3, (600, 3))
+    rows = [(v, *map(int, c)) for v, c in zip(x.tolist(), labels)]
+    df = cut_lineage(spark.createDataFrame(rows, "features array<double>, a int, b int, c int"))
+    gap, at = pairwise(x), np.arange(len(x))
+    for found, own in zip(quality.quality_many(df, ["a", "b", "c"], 0.005), labels.T):
+        share = np.eye(3)[own]
+        sums, sizes = gap @ share, share.sum(0)
+        others = sums / sizes
+        others[at, own] = np.inf
+        a, b = sums[at, own] / (sizes[own] - 1), others.min(1)
+        assert found["silhouette_low"] == found["silhouette_high"]
+        assert found["silhouette_score"] == pytest.approx(np.mean((b - a) / np.maximum(a, b)), abs=1e-9)
+
+
+def test_features_are_made_once_for_both_halves(spark, folder, monkeypatch):
+    """The split counted, cut and wrote a table that every step made again."""
+    from cohortlens.plans import segment_queries
+
+    made = spark.sparkContext.accumulator(0)
+    table = segment_queries.feature_table
+
+    def counted(spark, folder):
+        rows = table(spark, folder)
+
+        def seen(batches):
+            for batch in batches:
+                made.add(len(batch))
+                yield batch
+
+        return rows.mapInPandas(seen, rows.schema)
+
+    monkeypatch.setattr(segment_queries, "feature_table", counted)
+    halves = segment_queries._halves(spark, folder)
+    n = sum(half.count() for half in halves.values())
+    assert made.value == n == table(spark, folder).count()
+
+
+def test_group_moments_in_one_scan(spark):
+    rng = np.random.default_rng(14)
+    x = rng.normal(0, 1, (500, 3))
+    centres = {0: x[:2], 7: x[10:15]}
+    found = batched._group_moments(_frame(spark, x).select("features"), centres)
+    for i, c in centres.items():
+        own = pairwise(np.vstack([c, x]))[len(c) :, : len(c)].argmin(1)
+        for k in range(len(c)):
+            mine = x[own == k]
+            np.testing.assert_allclose(
+                found[i][k], np.hstack([len(mine), mine.sum(0), (mine * mine).sum(0)])
+            )
