@@ -442,3 +442,25 @@ def test_group_moments_in_one_scan(spark):
             np.testing.assert_allclose(
                 found[i][k], np.hstack([len(mine), mine.sum(0), (mine * mine).sum(0)])
             )
+
+
+def test_neighbours_by_products(spark):
+    """A pair of vectors of 64 numbers cost 64 numpy passes, and each shard sent a list to be merged."""
+    rng = np.random.default_rng(15)
+    x = rng.normal(3, 1, (900, 20))
+    x[100:140] = x[0]
+    x[200:260, :] = x[0] + 1e-9 * rng.normal(0, 1, (60, 20))
+    gap = neighbours.distances(x[:300], x)
+    block = neighbours._Block(x[:300], np.arange(300) // 40, np.sort(gap, axis=1)[:, 60], 6, None)
+    ids = rng.permutation(len(x))
+    for at in (0, 500):
+        part = slice(at, 500 if at == 0 else None)
+        n = len(x[part])
+        block.meet(x[part], np.arange(n) // 64, ids[part], np.ones(n, int))
+    lists = [row for batch in block.lists() for row in batch.to_pylist()]
+    for i, row in enumerate(lists):
+        order = np.lexsort((ids, gap[i]))[:7]
+        assert [v["id"] for v in row["neighbours"]] == ids[order].tolist()
+        assert [v["distance"] for v in row["neighbours"]] == gap[i][order].tolist()
+        assert row["features"] == x[i].tolist()
+    assert len(lists) == 300
