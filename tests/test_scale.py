@@ -479,11 +479,12 @@ def test_block_tree_follows_the_order_of_edges(whole):
         reach, turned = density._reaches(x[a], core[a], x[b], core[b], a is b)
         exact = np.maximum(neighbours.distances(x[a], x[b]), np.maximum(core[a][:, None], core[b]))
         np.testing.assert_allclose(reach, exact, rtol=1e-12)
-        assert np.array_equal(turned, reach.T) and (not whole or np.array_equal(reach, exact))
+        np.testing.assert_allclose(turned.T, exact, rtol=1e-12)
+        assert not whole or np.array_equal(reach, exact)
         one = {"l_x": x[a].ravel(), "l_key": keys[a], "l_core": core[a]}
         one |= {"r_x": x[b].ravel(), "r_key": keys[b], "r_core": core[b]}
         found = pd.concat(density._block_tree([pd.DataFrame([one])]))
-        got = {(min(r.a, r.b), max(r.a, r.b)) for r in found.itertuples()}
+        got = {(r.a, r.b) for r in found.itertuples()}
         edges = sorted(
             (exact[i, j], min(p, q), max(p, q))
             for i, p in enumerate(keys[a]) for j, q in enumerate(keys[b]) if p != q
@@ -499,3 +500,5 @@ def test_block_tree_follows_the_order_of_edges(whole):
                 up[root(p)] = root(q)
                 wanted.add((p, q))
         assert got == wanted and len(found) == len(wanted)
+        level = {(min(p, q), max(p, q)): v for v, p, q in edges}
+        assert all(level[r.a, r.b] == r.level for r in found.itertuples())
